@@ -14,89 +14,98 @@ from ..functions.text import is_blank, python_float
 _metric_ids = count(1)
 
 RECORD = "_record"
+_TEXTS = ("order_id", "customer_id", "product_id", "payment_method", "timestamp")
+_NUMBERS = ("quantity", "price", "tax_amount")
 
 
-def _field(name: str) -> str:
-    return f"_f_{name}"
+def _kind(name: str) -> Column:
+    """Observed JSON type of a field: NULL when absent, ``VOID`` for a JSON null."""
+    return F.col(f"_k_{name}")
 
 
-def _kind(name: str) -> str:
-    return f"_k_{name}"
+def _scalar(name: str) -> Column:
+    """The field as text or as DOUBLE; only meaningful together with its kind."""
+    return F.col(f"_v_{name}")
 
 
-def _text(name: str) -> Column:
-    return F.try_variant_get(F.col(_field(name)), "$", "string")
+def parse_record(df: DataFrame, value: str = "value") -> DataFrame:
+    """Parse each text once into a VARIANT; NULL for text that is no JSON value."""
+    return df.withColumn(RECORD, F.try_parse_json(F.col(value)))
 
 
-def _number(name: str) -> Column:
-    return F.try_variant_get(F.col(_field(name)), "$", "double")
+def field_kind(name: str) -> Column:
+    return F.schema_of_variant(F.try_variant_get(F.col(RECORD), f"$.{name}", "variant"))
 
 
-def with_fields(df: DataFrame, value: str = "value", fields: tuple[str, ...] = REQUIRED_FIELDS) -> DataFrame:
-    """Parse each record once and add one VARIANT column and one type column per field.
+def with_fields(df: DataFrame, typed: bool = False) -> DataFrame:
+    """Replace the parsed record by one type column and one plain value column per field.
 
-    Three projections, so that the parse and the lookups stay single in the plan.
-    An absent field is SQL NULL, a JSON null has type ``VOID``.
+    The lookups and their readings are two projections, so each lookup stays single.
+    Only short scalars leave them: every VARIANT carries a copy of the record's keys.
     """
-    parsed = df.withColumn(RECORD, F.try_parse_json(F.col(value)))
-    looked_up = parsed.select(
-        "*", *[F.try_variant_get(F.col(RECORD), f"$.{f}", "variant").alias(_field(f)) for f in fields]
-    )
-    return looked_up.select("*", *[F.schema_of_variant(F.col(_field(f))).alias(_kind(f)) for f in fields])
+    record = F.col(RECORD)
+    found = [F.try_variant_get(record, f"$.{f}", "variant").alias(f"_f_{f}") for f in REQUIRED_FIELDS]
+    looked_up = df.select("*", record.isNull().alias("_broken"), *found)
+    columns = [F.schema_of_variant(F.col(f"_f_{f}")).alias(f"_k_{f}") for f in REQUIRED_FIELDS]
+    columns += [F.try_variant_get(F.col(f"_f_{f}"), "$", "string").alias(f"_v_{f}") for f in _TEXTS]
+    columns += [F.try_variant_get(F.col(f"_f_{f}"), "$", "double").alias(f"_v_{f}") for f in _NUMBERS]
+    if typed:
+        columns.append(F.struct(*typed_columns()).alias("record"))
+    return looked_up.select("*", *columns).drop(RECORD, *[f"_f_{f}" for f in REQUIRED_FIELDS])
 
 
 def without_fields(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith(("_f_", "_k_", RECORD))])
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith(("_k_", "_v_", "_broken", "_iso"))])
 
 
 def _is_string(name: str) -> Column:
-    return F.col(_kind(name)) == "STRING"
+    return _kind(name) == "STRING"
 
 
 def _is_number(name: str) -> Column:
-    kind = F.col(_kind(name))
-    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    return _kind(name).isin("BIGINT", "DOUBLE", "FLOAT") | _kind(name).startswith("DECIMAL")
+
+
+def _literal(name: str, value: str) -> Column:
+    """The field as it stands in the text. Parses again, so it is kept for rare cases."""
+    return F.get_json_object(F.col(value), f"$.{name}")
 
 
 def _is_integer(name: str, value: str) -> Column:
-    kind = F.col(_kind(name))
     # Integers beyond 64 bit arrive as DECIMAL(p,0) or DOUBLE; the literal text tells them from floats.
-    wide = F.rlike(kind, F.lit(r"^DECIMAL\((?:19|[23]\d),0\)$")) | (kind == "DOUBLE")
-    literal = F.get_json_object(F.col(value), f"$.{name}")
-    return (kind == "BIGINT") | (wide & ~F.rlike(literal, F.lit("[.eE]")))
+    wide = F.rlike(_kind(name), F.lit(r"^DECIMAL\((?:19|[23]\d),0\)$")) | (_kind(name) == "DOUBLE")
+    return (_kind(name) == "BIGINT") | (wide & ~F.rlike(_literal(name, value), F.lit("[.eE]")))
 
 
 def _shown(name: str, value: str) -> Column:
     """A JSON value as Python would print it; arrays and objects as JSON."""
-    kind, field = F.col(_kind(name)), F.col(_field(name))
     return (
-        F.when(kind == "STRING", _text(name))
-        .when(kind == "VOID", F.lit("None"))
-        .when(kind == "BOOLEAN", F.initcap(_text(name)))
-        .when(kind == "BIGINT", _text(name))
-        .when(_is_integer(name, value), F.get_json_object(F.col(value), f"$.{name}"))
-        .when(_is_number(name), python_float(_number(name)))
-        .otherwise(F.to_json(field))
+        F.when(_kind(name).isin("STRING", "BIGINT"), _scalar(name))
+        .when(_kind(name) == "VOID", F.lit("None"))
+        .when(_kind(name) == "BOOLEAN", F.initcap(_scalar(name)))
+        .when(_is_integer(name, value), _literal(name, value))
+        .when(_is_number(name), python_float(_literal(name, value).try_cast("double")))
+        .otherwise(_scalar(name))
     )
 
 
 def _text_rules(name: str) -> list[tuple[Column, Column]]:
     return [
         (~_is_string(name), F.lit(f"{name} must be a string")),
-        (_is_string(name) & is_blank(_text(name)), F.lit(f"{name} cannot be empty")),
+        (_is_string(name) & is_blank(_scalar(name)), F.lit(f"{name} cannot be empty")),
     ]
 
 
 def _amount_rules(name: str) -> list[tuple[Column, Column]]:
     return [
         (~_is_number(name), F.lit(f"{name} must be a number")),
-        (_is_number(name) & (_number(name) < 0), F.lit(f"{name} cannot be negative")),
+        (_is_number(name) & (_scalar(name) < 0), F.lit(f"{name} cannot be negative")),
     ]
 
 
 def _rules(rules: RuleSet, value: str) -> list[tuple[Column, Column]]:
     """(condition, message) pairs of a record that has all fields, in report order."""
-    checks = [(F.col(_kind(f)) == "VOID", F.lit(f"NULL value is not allowed: {f}")) for f in REQUIRED_FIELDS]
+    checks = [(_kind(f) == "VOID", F.lit(f"NULL value is not allowed: {f}")) for f in REQUIRED_FIELDS]
     if rules.order_id_type == "string":
         checks += _text_rules("order_id")
     else:
@@ -104,21 +113,21 @@ def _rules(rules: RuleSet, value: str) -> list[tuple[Column, Column]]:
     checks += _text_rules("customer_id")
     checks += _text_rules("product_id")
     if rules.products is not None:
-        known = _is_string("product_id") & _text("product_id").isin(*rules.products)
+        known = _is_string("product_id") & _scalar("product_id").isin(*rules.products)
         checks.append((~known, F.concat(F.lit(f"{PRODUCT_RULE}: "), _shown("product_id", value))))
     whole = _is_integer("quantity", value)
     checks += [
         (~whole, F.lit("quantity must be an integer")),
-        (whole & (_number("quantity") <= 0), F.lit("quantity must be greater than 0")),
+        (whole & (_scalar("quantity") <= 0), F.lit("quantity must be greater than 0")),
     ]
     checks += _amount_rules("price")
     checks += _amount_rules("tax_amount")
-    accepted = _is_string("payment_method") & _text("payment_method").isin(*rules.payment_methods)
+    accepted = _is_string("payment_method") & _scalar("payment_method").isin(*rules.payment_methods)
     checks.append((~accepted, F.concat(F.lit(f"{PAYMENT_RULE}: "), _shown("payment_method", value))))
     checks += [
         (~_is_string("timestamp"), F.lit("timestamp must be a string")),
         (
-            _is_string("timestamp") & ~is_iso8601(_text("timestamp")),
+            _is_string("timestamp") & ~is_iso8601(_scalar("timestamp")),
             F.lit("timestamp must be a valid ISO 8601 datetime"),
         ),
     ]
@@ -131,26 +140,26 @@ def _collect(checks: list[tuple[Column, Column]]) -> Column:
 
 def error_list(rules: RuleSet, value: str = "value") -> Column:
     """Ordered errors of a frame made by ``with_fields``."""
-    missing = [(F.col(_field(f)).isNull(), F.lit(f"Missing required field: {f}")) for f in REQUIRED_FIELDS]
+    missing = [(_kind(f).isNull(), F.lit(f"Missing required field: {f}")) for f in REQUIRED_FIELDS]
     incomplete = missing[0][0]
     for absent, _ in missing[1:]:
         incomplete = incomplete | absent
     return (
-        F.when(F.col(RECORD).isNull(), F.array(F.lit(MALFORMED)))
+        F.when(F.col("_broken"), F.array(F.lit(MALFORMED)))
         .when(incomplete, _collect(missing))
         .otherwise(_collect(_rules(rules, value)))
     )
 
 
 def typed_columns() -> list[Column]:
-    """Typed transaction columns of a frame made by ``with_fields``; NULL where the value does not fit."""
+    """Typed transaction columns from the looked-up fields; NULL where the value does not fit."""
     columns = []
     for field in TYPED_SCHEMA:
+        found = F.col(f"_f_{field.name}")
         if field.name == "timestamp":
-            columns.append(iso8601_timestamp(_text("timestamp")).alias("timestamp"))
+            columns.append(iso8601_timestamp(F.try_variant_get(found, "$", "string")).alias(field.name))
         else:
-            kind = field.dataType.simpleString()
-            columns.append(F.try_variant_get(F.col(_field(field.name)), "$", kind).alias(field.name))
+            columns.append(F.try_variant_get(found, "$", field.dataType.simpleString()).alias(field.name))
     return columns
 
 
@@ -169,9 +178,7 @@ def validate(
     name ``metrics``, and it keeps a later filter on ``errors`` from being pushed below
     the parse, where it would be evaluated once more per reference.
     """
-    checked = with_fields(df, value).withColumn("errors", error_list(rules, value))
-    if typed:
-        checked = checked.withColumn("record", F.struct(*typed_columns()))
+    checked = with_fields(parse_record(df, value), typed).withColumn("errors", error_list(rules, value))
     checked = without_fields(checked).withColumn("is_valid", F.size("errors") == 0)
     return checked.observe(
         metrics or f"validate_{next(_metric_ids)}",

@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
     }
     for key, setting in {**defaults, **settings}.items():
