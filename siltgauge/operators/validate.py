@@ -37,7 +37,7 @@ def field_kind(name: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(F.col(RECORD), f"$.{name}", "variant"))
 
 
-def with_fields(df: DataFrame, typed: bool = False) -> DataFrame:
+def with_fields(df: DataFrame, typed: tuple[str, ...] = ()) -> DataFrame:
     """Replace the parsed record by one type column and one plain value column per field.
 
     The lookups and their readings are two projections, so each lookup stays single.
@@ -50,7 +50,7 @@ def with_fields(df: DataFrame, typed: bool = False) -> DataFrame:
     columns += [F.try_variant_get(F.col(f"_f_{f}"), "$", "string").alias(f"_v_{f}") for f in _TEXTS]
     columns += [F.try_variant_get(F.col(f"_f_{f}"), "$", "double").alias(f"_v_{f}") for f in _NUMBERS]
     if typed:
-        columns.append(F.struct(*typed_columns()).alias("record"))
+        columns.append(F.struct(*typed_columns(typed)).alias("record"))
     return looked_up.select("*", *columns).drop(RECORD, *[f"_f_{f}" for f in REQUIRED_FIELDS])
 
 
@@ -151,10 +151,10 @@ def error_list(rules: RuleSet, value: str = "value") -> Column:
     )
 
 
-def typed_columns() -> list[Column]:
+def typed_columns(names: tuple[str, ...] = REQUIRED_FIELDS) -> list[Column]:
     """Typed transaction columns from the looked-up fields; NULL where the value does not fit."""
     columns = []
-    for field in TYPED_SCHEMA:
+    for field in (TYPED_SCHEMA[name] for name in names):
         found = F.col(f"_f_{field.name}")
         if field.name == "timestamp":
             columns.append(iso8601_timestamp(F.try_variant_get(found, "$", "string")).alias(field.name))
@@ -167,12 +167,12 @@ def validate(
     df: DataFrame,
     rules: RuleSet = RuleSet(),
     value: str = "value",
-    typed: bool = False,
+    typed: tuple[str, ...] = (),
     metrics: str | None = None,
 ) -> DataFrame:
     """Add ``is_valid`` and ``errors`` to a frame (batch or stream) with one JSON record per row.
 
-    With ``typed`` a struct column ``record`` carries the typed transaction as well.
+    ``typed`` names fields to be returned with their proper types in a struct column ``record``.
 
     The result passes through ``observe``: it reports rows and valid rows under the
     name ``metrics``, and it keeps a later filter on ``errors`` from being pushed below

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.draws import draw
 from ..operators.inject import inject
 from ..operators.synth import ISO_TEXT, tax
 
@@ -75,3 +76,143 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty(spark: SparkSession, sf_dir: str, kind: str = "all", rate: float = 0.05, count: int | None = None) -> DataFrame:
     return dirty_from_events(table(spark, sf_dir, "events"), kind, rate, count)
+
+
+def stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completion times of three stages per event."""
+    key = F.col("event_id")
+    arrived = F.unix_micros(F.col("ts").cast("timestamp"))
+    lags = {}
+    done = arrived
+    for name, limit in (("ingest", 16), ("process", 32), ("store", 46)):
+        done = done + draw(SEED, name, key) % limit * 1000
+        lags[f"t_{name}"] = F.timestamp_micros(done)
+    events = table(spark, sf_dir, "events")
+    return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), *[c.alias(n) for n, c in lags.items()])
+
+
+def offsets(spark: SparkSession, sf_dir: str, consumed_until: str) -> tuple[DataFrame, DataFrame]:
+    """Produced and consumed offsets of a topic with three partitions; nobody reads partition 2."""
+    events = table(spark, sf_dir, "events").select(
+        (F.col("event_id") % 3).cast("int").alias("partition_id"), F.floor(F.col("event_id") / 3).alias("offset"), "ts"
+    )
+    consumed = events.where((F.col("ts") <= F.lit(consumed_until).cast("timestamp_ntz")) & (F.col("partition_id") != 2))
+    return events.select("partition_id", "offset"), consumed.select("partition_id", "offset")
+
+
+EDGE_KINDS = 48
+#: JSON literals of timestamps around the limits of ISO 8601
+EDGE_TIMES = (
+    "not-a-valid-date",
+    "20240115",
+    "2024-W03-4",
+    "2024W034",
+    "2024-02-30T10:00:00",
+    "2023-02-29",
+    "2024-02-29",
+    "2020-W53-7",
+    "2021-W53",
+    "2024-01-15T24:00:00",
+    "2024-01-15T10:30:00+24:00",
+    "2024-01-15T10:30:00+05:30",
+    "2024-01-15T10:30:00Z",
+    "2024-01-15 10:30",
+    "2024-01-15T10:30:00,123456789Z",
+    "2024",
+    "2024-1-5",
+    "T10:30:00",
+    "0000-01-01",
+    "9999-W52-6",
+    "2024-01-15T103000+0530",
+    "2024-01-15x10:30",
+    " 2024-01-15",
+    "20240115T103000",
+)
+
+
+def _edge_field(name: str, plain: str, literals: dict[int, str | None]) -> str:
+    """SQL for one JSON member: a fixed literal for some kinds, nothing for None, else the plain value."""
+    branches = "".join(
+        f" WHEN {kind} THEN " + ("NULL" if text is None else f"concat('\"{name}\":', {text})")
+        for kind, text in literals.items()
+    )
+    return f"CASE kind{branches} ELSE concat('\"{name}\":', {plain}) END"
+
+
+def edge_value(quoted_timestamp: str) -> str:
+    """JSON text of a record that breaks the rule of its ``kind``, as SQL that Spark and other engines read alike."""
+    text = "concat('\"', {}, '\"')".format
+    backslash = "chr(92)"
+    times = " ".join(f"WHEN {i} THEN '\"{t}\"'" for i, t in enumerate(EDGE_TIMES))
+    time = f"CASE time_index {times} END"
+    members = [
+        _edge_field(
+            "order_id", text("order_id"), {10: "'\"   \"'", 11: "'12345'", 12: "'null'", 13: "'\"\"'", 14: None}
+        ),
+        _edge_field(
+            "customer_id",
+            text("customer_id"),
+            {15: f"concat('\"', {backslash}, 't', {backslash}, 'u00a0\"')", 16: "'true'", 17: "'null'", 18: None}
+            | {44: "'null'", 46: None},
+        ),
+        _edge_field(
+            "product_id", text("product_id"), {19: "'\"\"'", 20: "'{\"a\":1}'", 21: "'null'", 22: "'\"P999_INVALID\"'"}
+        ),
+        _edge_field(
+            "quantity",
+            "cast(quantity AS string)",
+            {23: "'2.0'", 24: "'true'", 25: "'\"2\"'", 26: f"'{'1' * 30}'", 27: "'0'", 28: "'-5'", 29: "'null'"}
+            | {44: "'-5'", 46: "'-5'"},
+        ),
+        _edge_field(
+            "price",
+            "cast(price AS string)",
+            {30: "'-100'", 31: "'true'", 32: "'\"499.99\"'", 33: "'2e3'", 44: "'-100'"},
+        ),
+        _edge_field(
+            "tax_amount",
+            "cast(tax_amount AS string)",
+            {33: "'0'", 34: "'-50'", 35: "'\"50.00\"'", 36: "'null'", 44: "'-20'"},
+        ),
+        _edge_field(
+            "payment_method",
+            text("payment_method"),
+            {37: "'12345'", 38: "'true'", 39: "'null'", 40: "'\"Bitcoin\"'", 44: "'\"Bitcoin\"'"},
+        ),
+        _edge_field(
+            "timestamp",
+            text(quoted_timestamp),
+            {44: "'\"invalid-date\"'", 45: "'1700000000'", 46: None} | {k: time for k in (9, 41, 42, 43)},
+        ),
+    ]
+    extra = "CASE kind WHEN 8 THEN '\"unexpected_field\":\"x\"' END"
+    body = f"concat('{{', concat_ws(',', {', '.join([*members, extra])}), '}}')"
+    return f"CASE kind WHEN 47 THEN '{{\"order_id\":\"broken' ELSE {body} END"
+
+
+def edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per event, about half of them faulty in one of many ways."""
+    drawn = clean(spark, sf_dir).withColumns(
+        {
+            "kind": draw(SEED, "edge", F.col("event_id")) % EDGE_KINDS,
+            "time_index": draw(SEED, "edge_time", F.col("event_id")) % len(EDGE_TIMES),
+        }
+    )
+    return drawn.select("event_id", F.expr(edge_value("`timestamp`")).alias("value"))
+
+
+def clean_from_orders(orders: DataFrame) -> DataFrame:
+    """Transactions with integer ids that have gaps; ``o_orderkey`` is the row key."""
+    price = F.col("o_totalprice").cast("decimal(12,2)")
+    quantity = (F.col("o_orderkey") % 5 + 1).cast("int")
+    return orders.select(
+        "o_orderkey",
+        (F.col("o_orderkey") * 4 + 3).alias("order_id"),
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_id"),
+        F.concat(F.lit("P"), (F.col("o_orderkey") % 10 + 501).cast("string")).alias("product_id"),
+        quantity.alias("quantity"),
+        price.alias("price"),
+        tax(price, quantity).alias("tax_amount"),
+        F.lit("Cash").alias("payment_method"),
+        F.date_format("o_orderdate", ISO_TEXT).alias("timestamp"),
+    )

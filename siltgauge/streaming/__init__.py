@@ -1,0 +1 @@
+"""Structured Streaming: validation, windows with late data, duplicates."""

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from pyspark.sql import functions as F
 
 from cases import BASE, CONTRACT, EXTRA, changed
-from siltgauge.contract import RuleSet
+from siltgauge.contract import REQUIRED_FIELDS, RuleSet
 from siltgauge.functions.iso8601 import is_iso8601, iso8601_timestamp
 from siltgauge.functions.text import is_blank, python_float
 from siltgauge.operators.validate import validate
@@ -67,7 +67,7 @@ def test_one_parse_under_filters(spark):
 
 def test_typed_record(spark):
     frame = spark.createDataFrame([(changed(timestamp="2026-W34-3T12:30:00+02:00"),)], "value string")
-    record = validate(frame, typed=True).select("record.*").collect()[0]
+    record = validate(frame, typed=REQUIRED_FIELDS).select("record.*").collect()[0]
     assert record.order_id == "ORD001" and record.quantity == 2
     assert str(record.price) == "499.99"
     assert record.timestamp.astimezone(timezone.utc).isoformat().startswith("2026-08-19T10:30:00")
