@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,11 +12,23 @@ from ..contract import PAYMENT_RULE, PRODUCT_RULE, REQUIRED_FIELDS
 from .lookup import left_join_skewed
 from .validate import RECORD, field_kind, parse_record
 
+_metric_ids = count(1)
 
-def text_field(value: str, name: str) -> Column:
-    """A field of a JSON text, only if it is a string."""
-    found = F.try_variant_get(F.try_parse_json(F.col(value)), f"$.{name}", "variant")
-    return F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(found, "$", "string"))
+
+def with_text_fields(df: DataFrame, names: Sequence[str], value: str = "value") -> DataFrame:
+    """Add string fields of the records as columns; NULL where the field is no string.
+
+    One parse per record. ``observe`` keeps later filters on the new columns above it.
+    """
+    parsed = parse_record(df, value)
+    found = [F.try_variant_get(F.col(RECORD), f"$.{n}", "variant").alias(f"_f_{n}") for n in names]
+    texts = [
+        F.when(F.schema_of_variant(F.col(f"_f_{n}")) == "STRING", F.try_variant_get(F.col(f"_f_{n}"), "$", "string"))
+        for n in names
+    ]
+    looked_up = parsed.select("*", *found)
+    read = looked_up.select(*df.columns, *[text.alias(n) for text, n in zip(texts, names)])
+    return read.observe(f"fields_{next(_metric_ids)}", F.count(F.lit(1)).alias("rows"))
 
 
 # --- product domain ---------------------------------------------------------

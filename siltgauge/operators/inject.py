@@ -7,6 +7,7 @@ the ground truth: ``anomaly_category`` and ``anomaly_detail``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count as counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ from .sampling import check_fraction, picked_by_rate, picked_exactly
 from .slots import with_slot
 from .synth import check_count, generate_transactions
 
+_metric_ids = counter(1)
+
 NEGATIVE_PRICE = "negative_price"
 NUMERIC_DETAILS = tuple(f"invalid_numeric_negative_{part}" for part in ("price", "quantity", "tax"))
 PRODUCT_DETAIL = f"invalid_enum_product_{BAD_PRODUCT}"
@@ -162,6 +165,7 @@ def inject(
     id_at: Callable[[Column], Column] | None = None,
     type_field: str = "price",
     value: str = "value",
+    metrics: str | None = None,
 ) -> DataFrame:
     """Corrupt a share of a transaction frame.
 
@@ -171,6 +175,10 @@ def inject(
     A duplicate id repeats the id of a uniformly drawn earlier row. With ``slot`` (dense
     row position) and ``id_at`` (id of a position) that is arithmetic on the row itself,
     in batch and stream. Without them positions are counted and looked up, batch only.
+
+    The result passes through ``observe``: it reports rows and corrupted rows under the name
+    ``metrics``, and it stops later filters on the text from being pushed into the nested
+    choices that build it, where each reference would repeat all of them.
     """
     check_kind(kind)
     check_fraction(rate)
@@ -201,7 +209,12 @@ def inject(
 
     rows = rows.withColumn("anomaly_detail", _details(seed, row_key, F.col("anomaly_category"), type_field))
     rows = rows.withColumns(_corrupted_values(seed, row_key))
-    return rows.select(*others, _shaped_json().alias(value), "anomaly_category", "anomaly_detail")
+    shaped = rows.select(*others, _shaped_json().alias(value), "anomaly_category", "anomaly_detail")
+    return shaped.observe(
+        metrics or f"inject_{next(_metric_ids)}",
+        F.count(F.lit(1)).alias("rows"),
+        F.count("anomaly_category").alias("anomalous_rows"),
+    )
 
 
 def generate_anomalous_transactions(

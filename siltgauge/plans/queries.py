@@ -210,7 +210,7 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dirty_ids(dirty: DataFrame) -> DataFrame:
-    return dirty.select("event_id", "ingest_ts", checks.text_field("value", "order_id").alias("order_id"))
+    return checks.with_text_fields(dirty.select("event_id", "ingest_ts", "value"), ["order_id"]).drop("value")
 
 
 @query
@@ -220,7 +220,8 @@ def dq_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dirty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.dirty(spark, sf_dir).select("event_id", checks.text_field("value", "product_id").alias("product_id"))
+    dirty = fx.dirty(spark, sf_dir).select("event_id", "value")
+    return checks.with_text_fields(dirty, ["product_id"]).drop("value")
 
 
 @query

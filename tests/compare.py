@@ -43,7 +43,7 @@ def differences(spark, connection, sf_dir, function, sql):
         return len(got), [f"columns {sorted(frame.columns)} != {sorted(wanted_columns)}"]
     a, b = ordered(got, frame.columns), ordered(wanted, wanted_columns)
     complaints = [] if len(a) == len(b) else [f"{len(a)} rows, expected {len(b)}"]
-    only_a, only_b = [r for r in a if r not in set(b)], [r for r in b if r not in set(a)]
+    only_a, only_b = sorted(set(a) - set(b), key=repr), sorted(set(b) - set(a), key=repr)
     complaints += [f"only in spark: {r}" for r in only_a[:3]] + [f"only in sql: {r}" for r in only_b[:3]]
     if not complaints and a != b:
         complaints = ["multiplicities differ"]
