@@ -418,7 +418,12 @@ def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "duplicates")
     ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).select("event_id", "order_id")
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    # state with a time to live asks for empty batches for ever, so a run to the end goes without them
+    with settings(
+        spark,
+        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+        spark__sql__streaming__noDataMicroBatches__enabled="false",
+    ):
         flagged = _landed(spark, stream_duplicates.flag_stream_duplicates(ids, "order_id", "event_id"), base)
     return flagged.where("is_duplicate").select("event_id", "order_id")
 
@@ -428,3 +433,11 @@ def stream_distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "distinct")
     ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).withWatermark("ingest_ts", "1 hour")
     return _landed(spark, stream_duplicates.drop_stream_duplicates(ids, "order_id", "event_id").select("order_id"), base)
+
+
+@query
+def stream_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_dir(spark, "repeated")
+    ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).withWatermark("ingest_ts", "1 hour")
+    found = stream_duplicates.duplicate_keys_per_window(ids, "order_id", "ingest_ts", "24 hours")
+    return with_seconds(_landed(spark, found, base), "window_start")

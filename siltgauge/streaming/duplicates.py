@@ -1,4 +1,9 @@
-"""Repeated order ids on a stream."""
+"""Repeated order ids on a stream.
+
+``duplicate_keys_per_window`` and ``drop_stream_duplicates`` run on built-in state and are
+the ones for heavy streams. ``flag_stream_duplicates`` marks the single rows and pays a
+call into Python for every key of a micro-batch.
+"""
 
 from __future__ import annotations
 
@@ -60,6 +65,7 @@ class _FirstOfKey(StatefulProcessor):
         pass
 
 
+# Column names must not start with an underscore here: the Python worker renames such columns.
 def _pass(stream: DataFrame, key: str, route: str, flag: str, order: str, ttl_hours: int) -> DataFrame:
     schema = T.StructType([*stream.schema.fields, T.StructField(flag, T.BooleanType())])
     return stream.groupBy(key, route).transformWithStateInPandas(
@@ -82,16 +88,27 @@ def flag_stream_duplicates(
     state has to be bounded. Needs the RocksDB state store.
     """
     columns = stream.columns
-    salted = stream.withColumn("_route", F.pmod(F.xxhash64(order), F.lit(SALTS)).cast("int"))
-    first_pass = _pass(salted, key, "_route", "_early", order, ttl_hours)
+    salted = stream.withColumn("dup_route", F.pmod(F.xxhash64(order), F.lit(SALTS)).cast("int"))
+    first_pass = _pass(salted, key, "dup_route", "dup_early", order, ttl_hours)
     # the salt as -2, -3, ... for rows that are settled; -1 where the second pass decides
-    route = F.when(F.col("_early") | F.col(key).isNull(), -F.col("_route") - 2).otherwise(F.lit(_UNDECIDED))
-    routed = first_pass.select(*columns, route.cast("int").alias("_route"))
-    return _pass(routed, key, "_route", flag, order, ttl_hours).drop("_route")
+    route = F.when(F.col("dup_early") | F.col(key).isNull(), -F.col("dup_route") - 2).otherwise(F.lit(_UNDECIDED))
+    routed = first_pass.select(*columns, route.cast("int").alias("dup_route"))
+    return _pass(routed, key, "dup_route", flag, order, ttl_hours).drop("dup_route")
 
 
 def drop_stream_duplicates(stream: DataFrame, key: str, order: str) -> DataFrame:
     """Keep one row per key within the watermark of the stream; salted like the flags."""
-    salted = stream.withColumn("_route", F.pmod(F.xxhash64(order), F.lit(SALTS)))
-    once = salted.dropDuplicatesWithinWatermark([key, "_route"]).drop("_route")
+    salted = stream.withColumn("dup_route", F.pmod(F.xxhash64(order), F.lit(SALTS)))
+    once = salted.dropDuplicatesWithinWatermark([key, "dup_route"]).drop("dup_route")
     return once.dropDuplicatesWithinWatermark([key])
+
+
+def duplicate_keys_per_window(stream: DataFrame, key: str, time: str, width: str = "24 hours") -> DataFrame:
+    """Keys that occur more than once inside a window of a watermarked stream.
+
+    A plain streaming aggregate: rows are combined before the shuffle, so a frequent key
+    costs no more than a rare one.
+    """
+    counted = stream.where(F.col(key).isNotNull()).groupBy(F.window(time, width).alias("_w"), key)
+    repeated = counted.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return repeated.select(F.col("_w.start").alias("window_start"), key, "n")
