@@ -10,7 +10,10 @@ from .lookup import left_join_skewed
 
 def key_groups(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per non-NULL key: rows and the first ``order`` tuple. Combines before the shuffle."""
-    present = df.select(*keys, F.struct(*order).alias("_order")).dropna(subset=keys)
+    present = df
+    for key in keys:
+        present = present.where(F.col(key).isNotNull())
+    present = present.select(*keys, F.struct(*order).alias("_order"))
     return present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_order").alias("_first"))
 
 

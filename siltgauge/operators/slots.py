@@ -20,9 +20,10 @@ def with_slot(df: DataFrame, key: str, slot: str = "slot", buckets: int | None =
     size = buckets or int(session.conf.get("spark.sql.shuffle.partitions"))
     probabilities = [i / size for i in range(1, size)]
     cuts = sorted(set(df.approxQuantile(key, probabilities, 0.25 / size))) if probabilities else []
-    splits = [-math.inf, *cuts, math.inf]
-    placed = Bucketizer(splits=splits, inputCol=key, outputCol="_bucket").transform(df)
-    if len(splits) == 2:
+    if cuts:
+        splits = [-math.inf, *cuts, math.inf]
+        placed = Bucketizer(splits=splits, inputCol=key, outputCol="_bucket").transform(df)
+    else:
         placed = df.withColumn("_bucket", F.lit(0.0))
     ahead = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

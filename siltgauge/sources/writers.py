@@ -47,9 +47,15 @@ def split_by_verdict(validated: DataFrame, path: str, checkpoint: str) -> Stream
     )
 
 
+def _read_verdict(spark: SparkSession, path: str, verdict: str) -> DataFrame:
+    # partition values are text; comparing them as text prunes the other folder
+    rows = spark.read.parquet(path).where(F.col("is_valid").cast("string") == verdict)
+    return rows.withColumn("is_valid", F.col("is_valid").cast("boolean"))
+
+
 def read_accepted(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("is_valid")).drop("errors")
+    return _read_verdict(spark, path, "true").drop("errors")
 
 
 def read_quarantined(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).where(~F.col("is_valid"))
+    return _read_verdict(spark, path, "false")
