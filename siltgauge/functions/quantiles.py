@@ -16,16 +16,19 @@ def _magnitude_bucket(value: Column) -> Column:
     return F.when(value < 0, -bucket).otherwise(bucket)
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, points: dict[str, float]) -> DataFrame:
-    """Nearest-rank quantiles of a BIGINT column, one column per entry of ``points``.
+def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Rows per group and value as ``n``; combines before the shuffle."""
+    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
-    The builtin ``percentile`` gathers every distinct value of a group in one buffer. Here
-    values are counted first, a bounded histogram tells in which bucket the rank lies, and
-    only that bucket is put in order.
+
+def exact_quantiles(counts: DataFrame, by: Sequence[str], value: str, points: dict[str, float]) -> DataFrame:
+    """Nearest-rank quantiles of a BIGINT column from its ``value_counts``, one column per entry of ``points``.
+
+    The builtin ``percentile`` gathers every distinct value of a group in one buffer. Here a
+    bounded histogram tells in which bucket the rank lies, and only that bucket is put in order.
     """
     by = list(by)
-    valued = df.where(F.col(value).isNotNull())
-    counted = valued.groupBy(*by, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = counts.select(*by, F.col(value).alias("_value"), F.col("n").alias("_n"))
     counted = counted.withColumn("_bucket", _magnitude_bucket(F.col("_value")))
 
     group = Window.partitionBy(*by)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import exact_quantiles, value_counts
 
 WARNING, INFO, SUCCESS = "warning", "info", "success"
 RUNNING, MONITORING = "Running", "Monitoring"
@@ -101,10 +101,13 @@ def stage_latency(
         for name, begin, end in spans
     ]
     long = df.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
-    summary = long.groupBy("stage").agg(
-        F.count("ms").alias("n"), (F.sum("ms") / F.count("ms")).alias("avg_ms"), F.max("ms").alias("max_ms")
+    counts = value_counts(long, ["stage"], "ms")
+    summary = counts.groupBy("stage").agg(
+        F.sum("n").alias("n"),
+        (F.sum(F.col("ms") * F.col("n")) / F.sum("n")).alias("avg_ms"),
+        F.max("ms").alias("max_ms"),
     )
-    return summary.join(exact_quantiles(long, ["stage"], "ms", points), "stage", "left")
+    return summary.join(exact_quantiles(counts, ["stage"], "ms", points), "stage", "left")
 
 
 def flow_status(metrics: DataFrame, flow: str, floor_pct: float = 90.0) -> DataFrame:

@@ -169,16 +169,19 @@ def validate(
     value: str = "value",
     typed: tuple[str, ...] = (),
     metrics: str | None = None,
+    parsed: str | None = None,
 ) -> DataFrame:
     """Add ``is_valid`` and ``errors`` to a frame (batch or stream) with one JSON record per row.
 
     ``typed`` names fields to be returned with their proper types in a struct column ``record``.
+    ``parsed`` names a VARIANT column that holds the record already; it is dropped.
 
     The result passes through ``observe``: it reports rows and valid rows under the
     name ``metrics``, and it keeps a later filter on ``errors`` from being pushed below
     the parse, where it would be evaluated once more per reference.
     """
-    checked = with_fields(parse_record(df, value), typed).withColumn("errors", error_list(rules, value))
+    records = parse_record(df, value) if parsed is None else df.withColumnRenamed(parsed, RECORD)
+    checked = with_fields(records, typed).withColumn("errors", error_list(rules, value))
     checked = without_fields(checked).withColumn("is_valid", F.size("errors") == 0)
     return checked.observe(
         metrics or f"validate_{next(_metric_ids)}",

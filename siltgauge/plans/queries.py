@@ -95,11 +95,11 @@ def emit_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ingest_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records packed into JSON arrays of at most 500 and taken apart again."""
-    records = fx.edge(spark, sf_dir).where(F.try_parse_json("value").isNotNull())
+    records = fx.dirty(spark, sf_dir)
     packed = records.groupBy(F.floor(F.col("event_id") / 500).alias("array_id")).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value")
     )
-    checked = validate(readers.records_of_array(packed))
+    checked = validate(readers.records_of_array(packed), parsed="parsed")
     return checked.groupBy("array_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_valid").alias("n_valid"))
 
 

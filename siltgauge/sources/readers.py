@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def records_of_array(df: DataFrame, value: str = "value") -> DataFrame:
-    """Split a JSON array of objects into one row per object, each with its own text."""
+def records_of_array(df: DataFrame, value: str = "value", parsed: str = "parsed") -> DataFrame:
+    """Split a JSON array into one row per element: the VARIANT ``parsed`` and its text ``value``.
+
+    Pass ``parsed`` on to ``validate``: the text is printed anew, where ``2.0`` reads ``2``.
+    An array that cannot be read gives one row without a record, which no validation accepts.
+    """
     others = [c for c in df.columns if c != value]
-    return df.select(*others, F.explode(F.from_json(F.col(value), "array<string>")).alias(value))
+    split = df.select(*others, F.explode_outer(F.from_json(F.col(value), "array<variant>")).alias(parsed))
+    return split.withColumn(value, F.to_json(parsed))
 
 
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from siltgauge.functions.quantiles import exact_quantiles
+from siltgauge.functions.quantiles import exact_quantiles, value_counts
 from siltgauge.operators import aggregates, checks, duplicates, metrics
 from siltgauge.operators.lookup import left_join_skewed
 from siltgauge.operators.validate import validate
@@ -54,7 +54,7 @@ def test_exact_quantiles(spark):
     rows = [(g, v) for g, values in groups.items() for v in values] + [("one", None)]
     frame = spark.createDataFrame(rows, "g string, v long").repartition(8)
     points = {"low": 0.0, "p10": 0.1, "p50": 0.5, "p95": 0.95, "high": 1.0}
-    for row in exact_quantiles(frame, ["g"], "v", points).collect():
+    for row in exact_quantiles(value_counts(frame, ["g"], "v"), ["g"], "v", points).collect():
         values = sorted(groups[row.g])
         for name, p in points.items():
             assert row[name] == values[max(math.ceil(p * len(values)), 1) - 1], (row.g, name)

@@ -184,9 +184,12 @@ def test_json_files(spark, tmp_path):
     broken = changed(quantity="@@").replace('"@@"', "2.0")
     (tmp_path / "array.json").write_text("[\n  " + ",\n  ".join([*records, broken]) + "\n]")
     frame = readers.read_json_array(spark, str(tmp_path / "array.json"))
-    errors = [r.errors for r in validate(frame).collect()]
+    errors = [r.errors for r in validate(frame, parsed="parsed").collect()]
     assert errors[:10] == [["order_id must be a string"]] * 10
     assert errors[10] == ["quantity must be an integer"]
+    (tmp_path / "cut.json").write_text("[" + records[0] + ", {")
+    cut = validate(readers.read_json_array(spark, str(tmp_path / "cut.json")), parsed="parsed")
+    assert [r.errors for r in cut.collect()] == [["Malformed record"]]
 
     lines = spark.createDataFrame([(r,) for r in records], "value string")
     writers.write_json_lines(lines, str(tmp_path / "lines"))
