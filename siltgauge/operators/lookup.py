@@ -26,21 +26,25 @@ def left_join_skewed(
     """``rows LEFT JOIN lookup`` on ``keys``; ``lookup`` holds each key at most once.
 
     Rows of a hot key are spread over SALTS tasks and the one lookup row of that key is
-    repeated for each of them. The list of hot keys is broadcast: by its definition it has
-    fewer than HOT_SHARE rows, whatever the size of the table. Rows with a NULL key match
-    nothing and are spread as well. The salt is the number of the input partition, so a
-    recomputed task sends its rows to the same place again.
+    repeated for each of them. Only 64-bit hashes of hot keys are broadcast, and by the
+    definition of hot there are fewer than HOT_SHARE of them, whatever the size of the table
+    or of its keys; a key that shares a hash is spread too, with the same result. Rows with
+    a NULL key match nothing and are spread as well. The salt is the number of the input
+    partition, so a recomputed task sends its rows to the same place again.
 
     ``counts`` (keys and ``_n``) may be passed in when the caller has them already.
     """
     counts = key_counts(rows, keys) if counts is None else counts
     total = counts.agg(F.sum("_n")).scalar()
-    hot = counts.where(F.col("_n") * F.lit(HOT_SHARE) > total).select(*keys, F.lit(True).alias("_hot"))
-    hot = hot.where(~_any_null(keys))
+    hashed = F.xxhash64(*keys).alias("_hash")
+    hot = counts.where(F.col("_n") * F.lit(HOT_SHARE) > total).select(hashed).distinct()
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
 
+    marked = rows.select("*", hashed, (F.spark_partition_id() % SALTS).alias("_part")).join(hot, "_hash", "left")
     spread = F.col("_hot").isNotNull() | _any_null(keys)
-    salted_rows = rows.withColumn("_part", F.spark_partition_id() % SALTS).join(F.broadcast(hot), keys, "left")
-    salted_rows = salted_rows.withColumn("_salt", F.when(spread, F.col("_part")).otherwise(F.lit(0)))
+    salted_rows = marked.withColumn("_salt", F.when(spread, F.col("_part")).otherwise(F.lit(0)))
     copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_lookup = lookup.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_rows.drop("_hot", "_part").join(salted_lookup, [*keys, "_salt"], "left").drop("_salt")
+    salted_lookup = lookup.select("*", hashed).join(hot, "_hash", "left").withColumn("_salt", F.explode(copies))
+    helpers = ["_hash", "_hot"]
+    joined = salted_rows.drop(*helpers, "_part").join(salted_lookup.drop(*helpers), [*keys, "_salt"], "left")
+    return joined.drop("_salt")

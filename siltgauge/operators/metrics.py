@@ -56,7 +56,8 @@ def running_total(windows: DataFrame, time: str = "window_start", n: str = "n")
     Days are summed up first; only they (one row per day) pass through a window without
     partitions. Inside a day the running sum is partitioned by day.
     """
-    daily = windows.withColumn("_day", F.to_date(time))
+    # without the filter the join would add it to one side only, and the input would be read twice
+    daily = windows.withColumn("_day", F.to_date(time)).where(F.col("_day").isNotNull())
     ahead = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         daily.groupBy("_day")
@@ -75,11 +76,28 @@ def running_total(windows: DataFrame, time: str = "window_start", n: str = "n")
 def change_from_previous(
     windows: DataFrame, by: Sequence[str] = (), n: str = "n", step: str = "1 hour", time: str = "window_start"
 ) -> DataFrame:
-    """Change in percent from the window one ``step`` earlier; NULL when that one is empty or absent."""
-    base = windows.select(*by, (F.col(time) + F.expr(f"interval {step}")).alias(time), F.col(n).alias("previous_n"))
+    """Change in percent from the window one ``step`` earlier; NULL when that one is empty or absent.
+
+    Every window also reports its count to the window one step later, and both meet in one
+    aggregate. A self-join would read and validate the input twice.
+    """
+    row = F.struct(*[F.col(c) for c in windows.columns])
+    nothing = F.lit(None).cast(dict(windows.dtypes)[n])
+    reports = F.array(
+        F.struct(F.col(time).alias("_at"), row.alias("_row"), nothing.alias("previous_n")),
+        F.struct(
+            (F.col(time) + F.expr(f"interval {step}")).alias("_at"),
+            F.when(F.lit(False), row).alias("_row"),
+            F.col(n).alias("previous_n"),
+        ),
+    )
+    lined = windows.select(*by, F.explode(reports).alias("_report")).select(*by, "_report.*")
+    met = lined.groupBy(*by, "_at").agg(
+        F.first("_row", ignorenulls=True).alias("_row"), F.max("previous_n").alias("previous_n")
+    )
     change = (F.col(n) - F.col("previous_n")) * F.lit(100.0) / F.col("previous_n")
-    joined = windows.join(base, [*by, time], "left")
-    return joined.withColumn("change_pct", F.when(F.col("previous_n") != 0, change))
+    found = met.where(F.col("_row").isNotNull()).select("_row.*", "previous_n")
+    return found.withColumn("change_pct", F.when(F.col("previous_n") != 0, change))
 
 
 def stage_latency(

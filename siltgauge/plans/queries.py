@@ -215,7 +215,8 @@ def _dirty_ids(dirty: DataFrame) -> DataFrame:
 
 @query
 def dq_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = duplicates.flag_duplicates(_dirty_ids(fx.dirty(spark, sf_dir)), ["order_id"], ["ingest_ts", "event_id"])
+    # event ids rise with the arrival time, so they alone tell the first row
+    flagged = duplicates.flag_duplicates(_dirty_ids(fx.dirty(spark, sf_dir)), ["order_id"], ["event_id"])
     return flagged.where("is_duplicate").select("event_id", "order_id")
 
 
@@ -263,14 +264,13 @@ def detection_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     product = F.col("record.product_id")
     narrow = checked.select(
         "event_id",
-        "ingest_ts",
         F.coalesce("anomaly_category", F.lit("clean")).alias("anomaly_category"),
         (~F.col("is_valid")).alias("by_rules"),
         (F.size(checks.unexpected_fields()) > 0).alias("by_fields"),
         (product.isNotNull() & ~product.isin(*SYNTH_PRODUCTS)).alias("by_domain"),
         F.col("record.order_id").alias("order_id"),
     )
-    flagged = duplicates.flag_duplicates(narrow, ["order_id"], ["ingest_ts", "event_id"], "by_duplicates")
+    flagged = duplicates.flag_duplicates(narrow, ["order_id"], ["event_id"], "by_duplicates")
     return checks.detection_matrix(flagged, detectors=("by_rules", "by_fields", "by_domain", "by_duplicates"))
 
 

@@ -36,6 +36,12 @@ def test_duplicates_with_a_hot_key(spark):
         first[k] = min(first.get(k, (t, i)), (t, i))
     got = {r.i: r.is_duplicate for r in duplicates.flag_duplicates(frame, ["k"], ["t", "i"]).collect()}
     assert got == {i: k is not None and (t, i) != first[k] for i, k, t in rows}
+    unique = [(i, k, i) for i, k, _ in rows]
+    least = {}
+    for i, k, _ in unique:
+        least[k] = min(least.get(k, i), i)
+    got = {r.i: r.is_duplicate for r in duplicates.flag_duplicates(frame, ["k"], ["i"]).collect()}
+    assert got == {i: k is not None and i != least[k] for i, k, _ in unique}
     counts = {r.k: (r.n, r.surplus) for r in duplicates.duplicate_keys(frame, ["k"], ["t", "i"]).collect()}
     for k, (n, surplus) in counts.items():
         assert n == sum(1 for r in rows if r[1] == k) and surplus == n - 1
