@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import count
 
 from pyspark.sql import Column, DataFrame
@@ -138,8 +139,13 @@ def _collect(checks: list[tuple[Column, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(condition, message) for condition, message in checks]))
 
 
+@lru_cache(maxsize=32)
 def error_list(rules: RuleSet, value: str = "value") -> Column:
-    """Ordered errors of a frame made by ``with_fields``."""
+    """Ordered errors of a frame made by ``with_fields``.
+
+    ``array_compact`` is evaluated outside whole-stage code generation, and that is wanted: as
+    one generated function these rules exceed what the JVM compiles and ran four times slower.
+    """
     missing = [(_kind(f).isNull(), F.lit(f"Missing required field: {f}")) for f in REQUIRED_FIELDS]
     incomplete = missing[0][0]
     for absent, _ in missing[1:]:
