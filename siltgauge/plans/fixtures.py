@@ -13,24 +13,28 @@ SEED = 42
 CLEAN_PAYMENTS = (("click", "UPI"), ("view", "Credit Card"), ("signup", "Debit Card"), ("purchase", "Net Banking"))
 
 
+def _spread(df: DataFrame, splits: int) -> DataFrame:
+    """Spread inputs with fewer splits than cores; larger ones keep their splits and are not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if splits < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Small inputs of few files are spread over the cores; large ones keep their splits."""
+    """A given table."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return _spread(df, df.rdd.getNumPartitions())
 
 
-def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table as a file stream."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    splits = spark.read.parquet(f"{sf_dir}/events.parquet").rdd.getNumPartitions()
     reader = spark.readStream.schema(
         "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     )
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     # a pattern, because the table is one file here and a folder of files on a cluster
-    return reader.parquet(f"{sf_dir}/events.parque[t]")
+    return _spread(reader.parquet(f"{sf_dir}/events.parque[t]"), splits)
 
 
 def clean_from_events(events: DataFrame) -> DataFrame:
