@@ -445,6 +445,7 @@ ORACLE: dict[str, str] = {
       SELECT strftime(day, {TIME}) AS window_start, field, type, count(*) AS n FROM observed
       WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2, 3""",
     "stream_duplicate_rows": _REPEATED,
+    "stream_duplicate_state": _REPEATED,
     "stream_duplicate_keys": f"""WITH {_IDS}, daily AS (SELECT date_trunc('day', ingest_ts) AS day, order_id, count(*) AS n
         FROM ids WHERE order_id IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1)
       SELECT strftime(day, {TIME}) AS window_start, order_id, n FROM daily

@@ -416,6 +416,18 @@ def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_dir(spark, "flagged")
+    ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).select("event_id", "order_id")
+    written = stream_duplicates.write_flagged_duplicates(
+        ids, "order_id", "event_id", f"{base}/table", f"{base}/checkpoint"
+    )
+    written.awaitTermination()
+    flagged = spark.read.parquet(f"{base}/table")
+    return flagged.where(F.col("is_duplicate").cast("string") == "true").select("event_id", "order_id")
+
+
+@query
+def stream_duplicate_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "duplicates")
     ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).select("event_id", "order_id")
     # state with a time to live asks for empty batches for ever, so a run to the end goes without them

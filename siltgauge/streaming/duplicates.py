@@ -1,8 +1,9 @@
 """Repeated order ids on a stream.
 
-``duplicate_keys_per_window`` and ``drop_stream_duplicates`` run on built-in state and are
-the ones for heavy streams. ``flag_stream_duplicates`` marks the single rows and pays a
-call into Python for every key of a micro-batch.
+``write_flagged_duplicates`` marks the single rows of a heavy stream against the table it
+writes; ``duplicate_keys_per_window`` and ``drop_stream_duplicates`` run on built-in state.
+``flag_stream_duplicates`` marks rows inside a stream and pays a call into Python for every
+key of a micro-batch.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+
+from ..operators.duplicates import flag_duplicates
+from ..operators.lookup import left_join_skewed
 
 SALTS = 32
 _UNDECIDED = -1
@@ -112,3 +116,41 @@ def duplicate_keys_per_window(stream: DataFrame, key: str, time: str, width: str
     counted = stream.where(F.col(key).isNotNull()).groupBy(F.window(time, width).alias("_w"), key)
     repeated = counted.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     return repeated.select(F.col("_w.start").alias("window_start"), key, "n")
+
+
+def write_flagged_duplicates(
+    stream: DataFrame, key: str, order: str, path: str, checkpoint: str, flag: str = "is_duplicate"
+) -> StreamingQuery:
+    """Write a stream to a table with every repeated key marked; ``order`` is a unique number or timestamp.
+
+    A row is a repeat if its key has an earlier row in the same micro-batch, or a first row in
+    the table from an earlier one. The table is partitioned by batch id and mark, so a batch
+    reads only the first rows before it, and a repeated batch replaces its own partitions.
+    Joins and aggregates split frequent keys as they do on tables, and nothing expires.
+    """
+    fields = [*stream.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField(flag, T.StringType())]
+    schema = T.StructType(fields)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        marked = flag_duplicates(batch, [key], [order], flag)
+        if batch_id > 0:
+            # partition values are text; comparing them as text prunes the other folders
+            table = batch.sparkSession.read.schema(schema).parquet(path)
+            first = (F.col(flag) == "false") & (F.col("batch_id") < batch_id) & F.col(key).isNotNull()
+            seen = table.where(first).select(key, F.lit(True).alias("_seen"))
+            marked = left_join_skewed(marked, seen, [key])
+            marked = marked.withColumn(flag, F.col(flag) | F.col("_seen").isNotNull()).drop("_seen")
+        (
+            marked.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id", flag)
+            .parquet(path)
+        )
+
+    return (
+        stream.writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

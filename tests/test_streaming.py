@@ -146,6 +146,23 @@ def test_flagged_stream_duplicates(spark, tmp_path, repeated_ids):
     assert got == {i: k is not None and first[k] != i for i, k in rows}
 
 
+def test_duplicates_marked_in_the_table(spark, tmp_path, repeated_ids):
+    stream, rows = repeated_ids
+    first = {}
+    for i, k in rows:
+        first.setdefault(k, i)
+    wanted = {i: k is not None and first[k] != i for i, k in rows}
+    for checkpoint in ("cp1", "cp2"):  # the second run repeats both batches
+        query = duplicates.write_flagged_duplicates(
+            stream.select("i", "k"), "k", "i", str(tmp_path / "flagged"), str(tmp_path / checkpoint)
+        )
+        query.awaitTermination()
+        rows_written = spark.read.parquet(str(tmp_path / "flagged")).collect()
+        assert len(rows_written) == len(rows)
+        assert {r.i: str(r.is_duplicate).lower() == "true" for r in rows_written} == wanted
+        assert {r.batch_id for r in rows_written} == {0, 1}
+
+
 def test_dropped_and_counted_stream_duplicates(spark, tmp_path, repeated_ids):
     stream, rows = repeated_ids
     timed = stream.withWatermark("t", "1 hour")
