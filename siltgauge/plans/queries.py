@@ -430,9 +430,12 @@ def stream_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_duplicate_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "duplicates")
     ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).select("event_id", "order_id")
-    # state with a time to live asks for empty batches for ever, so a run to the end goes without them
+    # state with a time to live asks for empty batches for ever, so a run to the end goes without them;
+    # every state partition costs a Python worker, so there are no more of them than twice the cores
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
     with settings(
         spark,
+        spark__sql__shuffle__partitions=str(partitions),
         spark__sql__streaming__stateStore__providerClass=ROCKSDB,
         spark__sql__streaming__noDataMicroBatches__enabled="false",
     ):
