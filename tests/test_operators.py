@@ -2,14 +2,14 @@ import datetime as dt
 import math
 import random
 
-import pytest
-from pyspark.sql import functions as F
+from pyspark.sql.functions import spark_partition_id
 
 from siltgauge.functions.quantiles import exact_quantiles, value_counts
 from siltgauge.operators import aggregates, checks, duplicates, metrics
 from siltgauge.operators.lookup import left_join_skewed
 from siltgauge.operators.validate import validate
 from siltgauge.plans import fixtures as fx
+from siltgauge.session import settings
 
 HOUR = dt.timedelta(hours=1)
 START = dt.datetime(2024, 3, 1)
@@ -25,6 +25,19 @@ def test_skewed_join_is_a_left_join(spark):
     wanted = dict(known)
     assert len(got) == 6000
     assert got == {i: (k, wanted.get(k)) for i, k in rows}
+    # the shuffle join that large tables get: the hot key and the NULLs reach many tasks
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+        spark__sql__shuffle__partitions="16",
+    ):
+        shuffled = left_join_skewed(left, right, ["k"])
+        assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
+        tasks = shuffled.select("i", "k", "v", spark_partition_id().alias("task")).collect()
+    assert {r.i: (r.k, r.v) for r in tasks} == got and len(tasks) == 6000
+    for key in ("hot", None):
+        assert len({r.task for r in tasks if r.k == key}) >= 5
 
 
 def test_duplicates_with_a_hot_key(spark):

@@ -1,4 +1,3 @@
-import json
 from datetime import datetime, timezone
 
 import pytest
@@ -6,7 +5,7 @@ from hypothesis import strategies as st
 from hypothesis import HealthCheck, given, settings
 from pyspark.sql import functions as F
 
-from cases import BASE, CONTRACT, EXTRA, changed
+from cases import CONTRACT, EXTRA, changed
 from siltgauge.contract import REQUIRED_FIELDS, RuleSet
 from siltgauge.functions.iso8601 import is_iso8601, iso8601_timestamp
 from siltgauge.functions.text import is_blank, python_float
