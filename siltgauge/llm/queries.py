@@ -7,13 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, tokens
+from . import mixing, oracle, pii, quality, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: SQL of the queries that SQL can express.
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {
+    "op7_quality_rules": oracle.OP7,
+}
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +26,17 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))[0].drop("draws")
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op3_personal_data": op3_personal_data,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_source_mix": op8_source_mix,
 }
