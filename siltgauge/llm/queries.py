@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, oracle, pii, quality, tokens
+from . import jaccard, mixing, oracle, pii, quality, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_documents(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op3_personal_data": op3_personal_data,
+    "op5_ngram_join": op5_ngram_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_source_mix": op8_source_mix,
 }
