@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, mixing, oracle, pii, quality, tokens
+from . import jaccard, lines, mixing, oracle, pii, quality, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,10 +38,16 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))[0].drop("draws")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduplicated = lines.deduplicate_lines(table(spark, sf_dir, "documents"))
+    return deduplicated.select("doc_id", "text", "n_lines", "n_removed")
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op3_personal_data": op3_personal_data,
     "op5_ngram_join": op5_ngram_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_source_mix": op8_source_mix,
+    "op10_line_dedup": op10_line_dedup,
 }
