@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir, settings
 
-#: fields of a word as the contracts of this package define it
+#: Rows of texts that a Python worker of a landed step holds at a time.
+BATCH = 256
+#: What separates words, as the contracts of this package define them.
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -31,10 +33,13 @@ def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
 
 
 def landed(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows as a table in the shared folder: cuts the lineage and outlives lost executors."""
+    """The rows as a table in the shared folder: cuts the lineage and outlives lost executors.
+
+    Python workers get BATCH rows at a time, so that long texts and large sets stay few in memory.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    with tidy_shuffles(spark):
+    with tidy_shuffles(spark), settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH)):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
