@@ -117,7 +117,7 @@ def mix_sources(
     targets = landed(source_targets(blocks.groupBy("source").agg(F.sum("block_size").alias("source_size"))), "targets")
     draws = landed(assign_shards(block_draws(blocks, targets, seed), shards, seed), "draws")
 
-    drawn = draws.groupBy("source", "block").agg(F.collect_list(F.struct("turn", "shard", "part")).alias("_draws"))
+    drawn = draws.groupBy("source", "block").agg(F.sort_array(F.collect_list(F.struct("turn", "shard", "part"))).alias("_draws"))
     wanted = targets.select(F.col("source").alias("_s"), "source_size", "target")
     plan = blocks.drop("block_size").join(wanted, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     drawn = drawn.withColumnsRenamed({"source": "_s", "block": "_b"})

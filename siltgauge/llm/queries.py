@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, lines, mixing, oracle, pii, quality, tokens
+from . import decontaminate, jaccard, lines, mixing, oracle, pii, quality, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("ref")
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_decontaminate": op2_decontaminate,
     "op3_personal_data": op3_personal_data,
     "op5_ngram_join": op5_ngram_join,
     "op7_quality_rules": op7_quality_rules,
