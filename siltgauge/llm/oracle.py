@@ -1,5 +1,19 @@
 """SQL of an independent engine for the queries that SQL can express."""
 
+OP6 = r"""
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), q AS (
+    SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM p
+), r AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM q
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM least THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM least THEN least END AS refers_to
+FROM r
+"""
+
 OP7 = r"""
 WITH d AS (
     SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t,

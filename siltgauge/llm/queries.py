@@ -7,13 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, lines, mixing, oracle, pii, quality, tokens
+from . import decontaminate, jaccard, lines, mixing, oracle, pii, quality, tokens, warc
+from ..session import scratch_dir
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: SQL of the queries that SQL can express.
 LLM_ORACLE: dict[str, str] = {
+    "op6_warc": oracle.OP6,
     "op7_quality_rules": oracle.OP7,
 }
 
@@ -34,6 +36,11 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_and_read(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_documents(table(spark, sf_dir, "documents"))
 
@@ -52,6 +59,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_personal_data": op3_personal_data,
     "op5_ngram_join": op5_ngram_join,
+    "op6_warc": op6_warc,
     "op7_quality_rules": op7_quality_rules,
     "op8_source_mix": op8_source_mix,
     "op10_line_dedup": op10_line_dedup,
