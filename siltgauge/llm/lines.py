@@ -23,7 +23,7 @@ SHINGLE = 5
 #: Lines of similarity s share a band with probability 1 - (1 - s ** ROWS) ** BANDS: 0.99 at 0.8.
 BANDS, ROWS = 12, 5
 MASKS = [random.Random(n).getrandbits(64) - (1 << 63) for n in range(BANDS * ROWS)]
-#: A line with fewer word starts than one in so many characters is signed over every character.
+#: A line with fewer different shingles at word starts than one in so many characters is signed over all.
 SPARSE = 24
 _STARTS = rf"(?s)(?=(.{{{SHINGLE}}}))(?:[^\s\x{{2E80}}-\x{{FFFF}}]++|.)\s*+"
 _EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
@@ -31,11 +31,9 @@ _EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
 
 def signed_shingles(line: str) -> Column:
     """The shingles of a line that its signature is taken over; a line below the shingle length is one."""
-    starts, every = (F.regexp_extract_all(F.col(line), F.lit(p), F.lit(1)) for p in (_STARTS, _EVERY))
-    chosen = F.transform(
-        F.array(starts), lambda found: F.when(F.size(found) * SPARSE < F.char_length(line), every).otherwise(found)
-    )
-    return F.when(F.char_length(line) < SHINGLE, F.array(F.col(line))).otherwise(F.element_at(chosen, 1))
+    starts, every = (F.array_distinct(F.regexp_extract_all(F.col(line), F.lit(p), F.lit(1))) for p in (_STARTS, _EVERY))
+    chosen = bound(starts, lambda found: F.when(F.size(found) * SPARSE < F.char_length(line), every).otherwise(found))
+    return F.when(F.char_length(line) < SHINGLE, F.array(F.col(line))).otherwise(chosen)
 
 
 def with_bands(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -58,11 +56,21 @@ def similar(a: Column, b: Column, percent: int = 80) -> Column:
     return F.when(100 * small < percent * large, F.lit(False)).otherwise(linked)
 
 
-def shingle_hashes(units: str, length: Column) -> Column:
-    """Distinct hashes of all shingles of a text given in UTF-16, of which any piece is found at once."""
-    size = SHINGLE * 2
-    starts = F.sequence(F.lit(0), F.greatest(length - SHINGLE, F.lit(0)))
-    return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(F.col(units), i * 2 + 1, F.lit(size)))))
+def shingle_hashes(line: str) -> Column:
+    """Distinct hashes of all shingles of a line, taken in UTF-16, of which any piece is found at once."""
+    size = 2 * SHINGLE
+
+    def of(units: Column) -> Column:
+        last = (F.octet_length(units) / 2).cast("int") - SHINGLE
+        starts = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(units, i * 2 + 1, F.lit(size)))))
+
+    return bound(F.encode(F.col(line), "UTF-16BE"), of)
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, whatever the optimizer makes of the columns around it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _split(text: str) -> Column:
@@ -83,12 +91,8 @@ def verified_links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFram
     one = texts.select(F.col("key").alias("a"), F.col("line").alias("line_a"))
     two = texts.select(F.col("key").alias("b"), F.col("line").alias("line_b"))
     both = pairs.join(one, "a").join(two, "b")
-    for c in ("a", "b"):
-        both = both.withColumn(f"units_{c}", F.encode(f"line_{c}", "UTF-16BE"))
-    sets = [shingle_hashes(f"units_{c}", (F.octet_length(f"units_{c}") / 2).cast("int")) for c in ("a", "b")]
-    # Bound once as the argument of a lambda: each use of a column in a filter would work it out again.
-    held = F.transform(F.array(F.struct(sets[0].alias("a"), sets[1].alias("b"))), lambda s: similar(s["a"], s["b"], percent))
-    return both.where(F.element_at(held, 1)).select("a", "b")
+    sets = F.struct(*[shingle_hashes(f"line_{c}").alias(c) for c in ("a", "b")])
+    return both.where(bound(sets, lambda s: similar(s["a"], s["b"], percent))).select("a", "b")
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
