@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, lines, mixing, oracle, pii, quality, tokens, warc
+from . import decontaminate, html, jaccard, lines, mixing, oracle, pii, quality, tokens, warc
 from ..session import scratch_dir
 from .common import table
 
@@ -49,6 +49,10 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))[0].drop("draws")
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduplicated = lines.deduplicate_lines(table(spark, sf_dir, "documents"))
     return deduplicated.select("doc_id", "text", "n_lines", "n_removed")
@@ -62,5 +66,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op6_warc": op6_warc,
     "op7_quality_rules": op7_quality_rules,
     "op8_source_mix": op8_source_mix,
+    "op9_main_text": op9_main_text,
     "op10_line_dedup": op10_line_dedup,
 }
