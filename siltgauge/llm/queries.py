@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, jaccard, lines, mixing, oracle, pii, quality, tokens, warc
+from . import decontaminate, html, jaccard, lines, mixing, oracle, pii, quality, secrets, tokens, warc
 from ..session import scratch_dir
 from .common import table
 
@@ -32,6 +32,10 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_documents(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
     "op3_personal_data": op3_personal_data,
+    "op4_secrets": op4_secrets,
     "op5_ngram_join": op5_ngram_join,
     "op6_warc": op6_warc,
     "op7_quality_rules": op7_quality_rules,
