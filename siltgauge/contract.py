@@ -63,7 +63,7 @@ TYPED_SCHEMA = T.StructType(
         T.StructField("order_id", T.StringType()),
         T.StructField("customer_id", T.StringType()),
         T.StructField("product_id", T.StringType()),
-        T.StructField("quantity", T.IntegerType()),
+        T.StructField("quantity", T.DecimalType(38, 0)),
         T.StructField("price", T.DecimalType(12, 2)),
         T.StructField("tax_amount", T.DecimalType(14, 2)),
         T.StructField("payment_method", T.StringType()),

@@ -21,6 +21,12 @@ def draw(seed: int, salt: str, key: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
+def draw_place(seed: int, salt: str, key: Column, places: Column) -> Column:
+    """Uniform BIGINT in [0, places); 60 bits, so that every place of a table can be drawn."""
+    text = F.concat(F.lit(f"{seed}:{salt}:"), key.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint") % places
+
+
 def draw_int(seed: int, salt: str, key: Column, low: int, high: int) -> Column:
     """Uniform BIGINT in [low, high]."""
     return F.lit(low) + draw(seed, salt, key) % F.lit(high - low + 1)

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 def _magnitude_bucket(value: Column) -> Column:
     """Order-preserving bucket that keeps the leading ten bits: at most some 28,000 for any BIGINT."""
-    size = F.abs(value)
+    # one less for negative values: the smallest BIGINT has no absolute value
+    size = F.when(value < 0, -(value + 1)).otherwise(value)
     shift = F.greatest(F.length(F.bin(size)) - F.lit(10), F.lit(0))
     bucket = shift.cast("bigint") * 512 + F.call_function("shiftright", size, shift)
-    return F.when(value < 0, -bucket).otherwise(bucket)
+    return F.when(value < 0, -bucket - 1).otherwise(bucket)
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:

@@ -40,10 +40,12 @@ def product_errors(df: DataFrame, allowed: Sequence[str], product: str = "produc
     return df.where(~F.col(product).isin(*allowed)).withColumn("error", message)
 
 
-def product_errors_by_catalogue(df: DataFrame, catalogue: DataFrame, product: str = "product_id") -> DataFrame:
-    """The same against a catalogue table of any size."""
+def product_errors_by_catalogue(
+    df: DataFrame, catalogue: DataFrame, product: str = "product_id", key: str = "event_id"
+) -> DataFrame:
+    """The same against a catalogue table of any size; ``key`` is a unique column of the rows."""
     known = catalogue.select(product).where(F.col(product).isNotNull()).distinct().withColumn("_known", F.lit(True))
-    checked = left_join_skewed(df, known, [product])
+    checked = left_join_skewed(df, known, [product], [key])
     message = F.concat(F.lit(f"{PRODUCT_RULE}: "), F.col(product))
     unknown = F.col("_known").isNull() & F.col(product).isNotNull()
     return checked.where(unknown).drop("_known").withColumn("error", message)

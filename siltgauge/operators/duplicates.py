@@ -44,5 +44,5 @@ def flag_duplicates(df: DataFrame, keys: list[str], order: list[str], flag: str
     """
     groups = key_groups(df, keys, order)
     firsts = groups.where(F.col("_n") > 1).select(*keys, "_first")
-    joined = left_join_skewed(df, firsts, keys, counts=groups)
+    joined = left_join_skewed(df, firsts, keys, order, counts=groups)
     return joined.withColumn(flag, F.coalesce(_place(order) > F.col("_first"), F.lit(False))).drop("_first")

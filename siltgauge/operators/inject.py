@@ -27,7 +27,7 @@ from ..contract import (
     RENAMES,
     REQUIRED_FIELDS,
 )
-from ..functions.draws import draw, draw_choice, draw_int, draw_money
+from ..functions.draws import draw, draw_choice, draw_int, draw_money, draw_place
 from .aggregates import anomaly_summary
 from .records import json_record
 from .sampling import check_fraction, picked_by_rate, picked_exactly
@@ -198,7 +198,7 @@ def inject(
     rows = rows.withColumn("anomaly_category", F.when(picked, category))
     if needs_ids:
         place = F.col("_slot") if indexed else slot
-        drawn = F.when(place > 0, draw(seed, "slot", row_key) % F.greatest(place, F.lit(1))).otherwise(F.lit(-1))
+        drawn = F.when(place > 0, draw_place(seed, "slot", row_key, F.greatest(place, F.lit(1)))).otherwise(F.lit(-1))
         rows = rows.withColumn("_target", F.when(F.col("anomaly_category") == "duplicate-id", drawn))
         if indexed:
             rows = _reused_from_index(rows, key)

@@ -7,9 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: a key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys
-HOT_SHARE = 1000
-SALTS = 128
+#: rows of one key that one task may get; a more frequent key is spread over as many tasks as that takes
+TASK_ROWS = 1_000_000
+#: frequent keys there can be at most: in larger tables a task may get more rows of a key instead
+HOT_KEYS = 100_000
+#: tasks over which rows without a key are spread, at most
+NULL_SALTS = 1 << 20
 
 
 def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -21,30 +24,35 @@ def _any_null(keys: list[str]) -> Column:
 
 
 def left_join_skewed(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], counts: DataFrame | None = None
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    order: list[str],
+    counts: DataFrame | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """``rows LEFT JOIN lookup`` on ``keys``; ``lookup`` holds each key at most once.
 
-    Rows of a hot key are spread over SALTS tasks and the one lookup row of that key is
-    repeated for each of them. Only 64-bit hashes of hot keys are broadcast, and by the
-    definition of hot there are fewer than HOT_SHARE of them, whatever the size of the table
-    or of its keys; a key that shares a hash is spread too, with the same result. Rows with
-    a NULL key match nothing and are spread as well. The salt is the number of the input
-    partition, so a recomputed task sends its rows to the same place again.
+    A key with more rows than one task may get is spread over as many salts as that takes, and its
+    lookup row is repeated once for each. The salt is a hash of the unique ``order`` columns, so it
+    does not matter in which input partitions the rows of a key lie, and a recomputed task sends
+    its rows to the same place again. Rows with a NULL key match nothing and are spread by the same
+    hash. What is broadcast is a 64-bit hash and a number per frequent key; there are fewer than
+    HOT_KEYS of them, because a task may get total / HOT_KEYS rows of a key in any case. A key that
+    shares a hash is spread too, with the same result.
 
     ``counts`` (keys and ``_n``) may be passed in when the caller has them already.
     """
     counts = key_counts(rows, keys) if counts is None else counts
     total = counts.agg(F.sum("_n")).scalar()
+    most = F.greatest(F.lit(task_rows).cast("double"), total / F.lit(float(HOT_KEYS)))
     hashed = F.xxhash64(*keys).alias("_hash")
-    hot = counts.where(F.col("_n") * F.lit(HOT_SHARE) > total).select(hashed).distinct()
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-
-    marked = rows.select("*", hashed, (F.spark_partition_id() % SALTS).alias("_part")).join(hot, "_hash", "left")
-    spread = F.col("_hot").isNotNull() | _any_null(keys)
-    salted_rows = marked.withColumn("_salt", F.when(spread, F.col("_part")).otherwise(F.lit(0)))
-    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_lookup = lookup.select("*", hashed).join(hot, "_hash", "left").withColumn("_salt", F.explode(copies))
-    helpers = ["_hash", "_hot"]
-    joined = salted_rows.drop(*helpers, "_part").join(salted_lookup.drop(*helpers), [*keys, "_salt"], "left")
-    return joined.drop("_salt")
+    hot = counts.where((F.col("_n") > most) & ~_any_null(keys)).select(hashed, F.ceil(F.col("_n") / most).alias("_salts"))
+    hot = F.broadcast(hot.groupBy("_hash").agg(F.max("_salts").cast("int").alias("_salts")))
+
+    spread = F.when(_any_null(keys), F.lit(NULL_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    marked = rows.select("*", hashed).join(hot, "_hash", "left")
+    salted_rows = marked.withColumn("_salt", F.pmod(F.xxhash64(*order), spread)).drop("_hash", "_salts")
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)).cast("bigint") - 1))
+    salted_lookup = lookup.select("*", hashed).join(hot, "_hash", "left").withColumn("_salt", copies)
+    return salted_rows.join(salted_lookup.drop("_hash", "_salts"), [*keys, "_salt"], "left").drop("_salt")

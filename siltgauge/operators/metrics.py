@@ -74,12 +74,20 @@ def running_total(windows: DataFrame, time: str = "window_start", n: str = "n")
 
 
 def change_from_previous(
-    windows: DataFrame, by: Sequence[str] = (), n: str = "n", step: str = "1 hour", time: str = "window_start"
+    windows: DataFrame,
+    by: Sequence[str] = (),
+    n: str = "n",
+    step: str = "1 hour",
+    time: str = "window_start",
+    silent: bool = False,
 ) -> DataFrame:
     """Change in percent from the window one ``step`` earlier; NULL when that one is empty or absent.
 
     Every window also reports its count to the window one step later, and both meet in one
-    aggregate. A self-join would read and validate the input twice.
+    aggregate. A self-join would read and validate the input twice. ``windows`` has one row per
+    ``by`` and time. With ``silent``, a window without rows after one with rows is a row too: its
+    count is 0, its change -100 percent and its other columns are NULL. The window after the newest
+    one of all is not over yet and gives no such row.
     """
     row = F.struct(*[F.col(c) for c in windows.columns])
     nothing = F.lit(None).cast(dict(windows.dtypes)[n])
@@ -96,10 +104,21 @@ def change_from_previous(
         F.first("_row", ignorenulls=True).alias("_row"), F.max("previous_n").alias("previous_n")
     )
     change = (F.col(n) - F.col("previous_n")) * F.lit(100.0) / F.col("previous_n")
-    found = met.where(F.col("_row").isNotNull()).select("_row.*", "previous_n")
+    if not silent:
+        found = met.where(F.col("_row").isNotNull()).select("_row.*", "previous_n")
+    else:
+        newest = windows.agg(F.max(time)).scalar()
+        kept = met.where(F.col("_row").isNotNull() | (F.col("_at") <= newest))
+        empty = {time: F.col("_at"), n: nothing_counted(dict(windows.dtypes)[n]), **{b: F.col(b) for b in by}}
+        columns = [F.when(F.col("_row").isNull(), empty.get(c)).otherwise(F.col(f"_row.{c}")).alias(c) for c in windows.columns]
+        found = kept.select(*columns, "previous_n")
     return found.withColumn("change_pct", F.when(F.col("previous_n") != 0, change))
 
 
+def nothing_counted(kind: str) -> Column:
+    return F.lit(0).cast(kind)
+
+
 def stage_latency(
     df: DataFrame, start: str, stages: dict[str, str], points: dict[str, float] | None = None
 ) -> DataFrame:
@@ -129,25 +148,32 @@ def stage_latency(
 
 
 def flow_status(metrics: DataFrame, flow: str, floor_pct: float = 90.0) -> DataFrame:
-    """Latest window of every flow with its status and rate."""
+    """Latest window of every flow with its status and rate; a flow without rows in the newest window
+    of all flows is not running."""
     newest = F.max_by(F.struct("window_start", "n", "n_valid", "quality_pct"), "window_start")
     latest = metrics.groupBy(flow).agg(newest.alias("_latest")).select(flow, "_latest.*")
-    status = F.when(F.col("quality_pct") >= floor_pct, F.lit(RUNNING)).otherwise(F.lit(MONITORING))
-    return latest.withColumn("status", status)
+    current = F.col("window_start") == metrics.agg(F.max("window_start")).scalar()
+    running = current & (F.col("quality_pct") >= floor_pct)
+    return latest.withColumn("status", F.when(running, F.lit(RUNNING)).otherwise(F.lit(MONITORING)))
 
 
 def alerts(
     metrics: DataFrame, flow: str, floor_pct: float = 90.0, drop_pct: float = 50.0, step: str = "1 hour"
 ) -> DataFrame:
-    """One alert per flow and window from threshold rules on quality and on the change of the rate."""
-    changed = change_from_previous(metrics, [flow], step=step)
+    """One alert per flow and window from threshold rules on quality and on the change of the rate.
+
+    The first window in which a flow has no rows gives a warning, too.
+    """
+    changed = change_from_previous(metrics, [flow], step=step, silent=True)
     low = F.col("quality_pct") < floor_pct
     dropped = F.col("change_pct") < -drop_pct
+    silent = F.col("n") == 0
     severity = (
-        F.when(low | dropped, F.lit(WARNING)).when(F.col("quality_pct") == 100, F.lit(SUCCESS)).otherwise(F.lit(INFO))
+        F.when(silent | low | dropped, F.lit(WARNING)).when(F.col("quality_pct") == 100, F.lit(SUCCESS)).otherwise(F.lit(INFO))
     )
     message = (
-        F.when(low, F.lit(f"Data quality below {floor_pct:g}%"))
+        F.when(silent, F.lit("No records received"))
+        .when(low, F.lit(f"Data quality below {floor_pct:g}%"))
         .when(dropped, F.lit(f"Throughput dropped by more than {drop_pct:g}%"))
         .when(F.col("quality_pct") == 100, F.lit("All records valid"))
         .otherwise(F.lit("Processing normally"))
@@ -156,9 +182,10 @@ def alerts(
 
 
 def lag_alerts(lag: DataFrame, limit: int) -> DataFrame:
+    """``lag`` with a severity and a message per partition."""
     severity = F.when(F.col("lag") > limit, F.lit(WARNING)).otherwise(F.lit(SUCCESS))
     message = F.when(F.col("lag") > limit, F.lit("Consumer lag detected")).otherwise(F.lit("Consumer is up to date"))
-    return lag.select("partition_id", severity.alias("severity"), message.alias("message"))
+    return lag.withColumns({"severity": severity, "message": message})
 
 
 def recent_alerts(found: DataFrame, flow: str, n: int = 3) -> DataFrame:

@@ -51,7 +51,9 @@ def picked_exactly(df: DataFrame, n: int, seed: int, key: str) -> Column:
     high = F.shiftright("draw", _LOW_BITS)
 
     coarse = drawn.groupBy(high.alias("high")).agg(F.count(F.lit(1)).alias("rows"))
-    first = _first_reaching(coarse, "high", F.lit(0), n).scalar()
+    first = _first_reaching(coarse, "high", F.lit(0), n).first()["cut"]
+    if first is None:
+        raise ValueError("Anomaly count must be between 0 and total count.")
     inside = drawn.where(high == first["high"]).groupBy("draw").agg(F.count(F.lit(1)).alias("rows"))
     second = _first_reaching(inside, "draw", first["before"], n).scalar()
 
@@ -60,5 +62,4 @@ def picked_exactly(df: DataFrame, n: int, seed: int, key: str) -> Column:
     last = tied.select("draw", "key", place.alias("place")).where(F.col("place") <= n)
     cut = last.agg(F.max(F.struct("draw", "key"))).scalar()
     own = F.struct(draw(seed, "pick", F.col(key)).alias("draw"), F.col(key).alias("key"))
-    # fewer than n rows in the table: there is no cut and every row is picked
-    return F.coalesce(own <= cut, F.lit(True))
+    return own <= cut

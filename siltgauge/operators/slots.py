@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def with_slot(df: DataFrame, key: str, slot: str = "slot", buckets: int | None = None) -> DataFrame:
-    """Number the rows 0, 1, 2, ... in order of a unique numeric ``key``.
+    """Number the rows 0, 1, 2, ... in order of a unique numeric ``key``. A row without a key has no slot.
 
     Approximate quantiles cut the key range into even buckets. Rows are ranked
     inside their bucket and shifted by the sizes of the buckets before it. The
@@ -22,9 +22,9 @@ def with_slot(df: DataFrame, key: str, slot: str = "slot", buckets: int | None =
     cuts = sorted(set(df.approxQuantile(key, probabilities, 0.25 / size))) if probabilities else []
     if cuts:
         splits = [-math.inf, *cuts, math.inf]
-        placed = Bucketizer(splits=splits, inputCol=key, outputCol="_bucket").transform(df)
+        placed = Bucketizer(splits=splits, inputCol=key, outputCol="_bucket").transform(df.where(F.col(key).isNotNull()))
     else:
-        placed = df.withColumn("_bucket", F.lit(0.0))
+        placed = df.where(F.col(key).isNotNull()).withColumn("_bucket", F.lit(0.0))
     ahead = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_bucket")
@@ -32,9 +32,11 @@ def with_slot(df: DataFrame, key: str, slot: str = "slot", buckets: int | None =
         .select("_bucket", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_ahead"))
     )
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    return (
+    numbered = (
         placed.withColumn("_within", within)
         .join(offsets, "_bucket")
         .withColumn(slot, F.col("_ahead") + F.col("_within") - F.lit(1))
         .drop("_bucket", "_ahead", "_within")
     )
+    keyless = df.where(F.col(key).isNull()).withColumn(slot, F.lit(None).cast("bigint"))
+    return numbered.unionByName(keyless)

@@ -34,8 +34,8 @@ def check_rate(rate: float | None) -> None:
 
 def tax(price: Column, quantity: Column) -> Column:
     """18 % of price x quantity. Decimal operands, so that ties round the same everywhere."""
-    exact = price.cast("decimal(12,2)") * quantity.cast("decimal(3,0)") * F.lit(TAX_RATE).cast("decimal(3,2)")
-    return F.round(exact, 2).cast("decimal(14,2)")
+    exact = price.cast("decimal(12,2)") * quantity.cast("decimal(20,0)") * F.lit(TAX_RATE).cast("decimal(3,2)")
+    return F.round(exact, 2).cast("decimal(30,2)")
 
 
 def due_time(index: Column, rate: float | None, start_micros: int = EPOCH_MICROS) -> Column:

@@ -55,8 +55,12 @@ def with_fields(df: DataFrame, typed: tuple[str, ...] = ()) -> DataFrame:
     return looked_up.select("*", *columns).drop(RECORD, *[f"_f_{f}" for f in REQUIRED_FIELDS])
 
 
+#: columns that ``with_fields`` adds besides ``record``
+_HELPERS = ("_broken", *[f"_k_{f}" for f in REQUIRED_FIELDS], *[f"_v_{f}" for f in (*_TEXTS, *_NUMBERS)])
+
+
 def without_fields(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith(("_k_", "_v_", "_broken", "_iso"))])
+    return df.drop(*_HELPERS)
 
 
 def _is_string(name: str) -> Column:
@@ -158,14 +162,31 @@ def error_list(rules: RuleSet, value: str = "value") -> Column:
 
 
 def typed_columns(names: tuple[str, ...] = REQUIRED_FIELDS) -> list[Column]:
-    """Typed transaction columns from the looked-up fields; NULL where the value does not fit."""
-    columns = []
+    """Typed transaction columns from the looked-up fields, and ``unfit``.
+
+    A value is never rounded: a number that its type cannot hold exactly is NULL, and ``unfit``
+    lists the fields with a number that is not there. Their rows keep their text only.
+    """
+    columns, unfit = [], []
     for field in (TYPED_SCHEMA[name] for name in names):
         found = F.col(f"_f_{field.name}")
         if field.name == "timestamp":
             columns.append(iso8601_timestamp(F.try_variant_get(found, "$", "string")).alias(field.name))
-        else:
-            columns.append(F.try_variant_get(found, "$", field.dataType.simpleString()).alias(field.name))
+            continue
+        typed = F.try_variant_get(found, "$", field.dataType.simpleString())
+        if field.name in _NUMBERS:
+            kind = F.schema_of_variant(found)
+            number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+            # a DOUBLE is compared as such, any other number by all of its digits
+            same = F.when(kind.isin("DOUBLE", "FLOAT"), typed.cast("double") == F.try_variant_get(found, "$", "double"))
+            same = same.otherwise(typed == F.try_variant_get(found, "$", "decimal(38,6)"))
+            if field.name == "quantity":
+                same = F.when(kind.isin("DOUBLE", "FLOAT"), same).otherwise(typed.isNotNull())
+            typed = F.when(F.coalesce(same, F.lit(False)), typed)
+            unfit.append(F.when(number & typed.isNull(), F.lit(field.name)))
+        columns.append(typed.alias(field.name))
+    if unfit:
+        columns.append(F.array_compact(F.array(*unfit)).alias("unfit"))
     return columns
 
 

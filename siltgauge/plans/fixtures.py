@@ -8,33 +8,26 @@ from pyspark.sql import functions as F
 from ..functions.draws import draw
 from ..operators.inject import inject
 from ..operators.synth import ISO_TEXT, tax
+from ..session import check_zone
 
 SEED = 42
 CLEAN_PAYMENTS = (("click", "UPI"), ("view", "Credit Card"), ("signup", "Debit Card"), ("purchase", "Net Banking"))
 
 
-def _spread(df: DataFrame, splits: int) -> DataFrame:
-    """Spread inputs with fewer splits than cores; larger ones keep their splits and are not shuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if splits < cores else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _spread(df, df.rdd.getNumPartitions())
+    check_zone(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table as a file stream."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    splits = spark.read.parquet(f"{sf_dir}/events.parquet").rdd.getNumPartitions()
+    check_zone(spark)
     reader = spark.readStream.schema(
         "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     )
     # a pattern, because the table is one file here and a folder of files on a cluster
-    return _spread(reader.parquet(f"{sf_dir}/events.parque[t]"), splits)
+    return reader.parquet(f"{sf_dir}/events.parque[t]")
 
 
 def clean_from_events(events: DataFrame) -> DataFrame:
@@ -63,6 +56,13 @@ def clean_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+#: ``signup`` stops on the 20th, ``click`` pauses for two days; SQL that Spark and other engines read alike
+RUNNING_FLOWS = (
+    "NOT (event_type = 'signup' AND extract(day FROM ingest_ts) >= 20)"
+    " AND NOT (event_type = 'click' AND extract(day FROM ingest_ts) IN (10, 11))"
+)
+
+
 def order_id_at(slot: Column) -> Column:
     return F.concat(F.lit("ORD"), slot.cast("string"))
 
@@ -104,7 +104,7 @@ def offsets(spark: SparkSession, sf_dir: str, consumed_until: str) -> tuple[Data
     return events.select("partition_id", "offset"), consumed.select("partition_id", "offset")
 
 
-EDGE_KINDS = 48
+EDGE_KINDS = 50
 #: JSON literals of timestamps around the limits of ISO 8601
 EDGE_TIMES = (
     "not-a-valid-date",
@@ -171,7 +171,7 @@ def edge_value(quoted_timestamp: str) -> str:
         _edge_field(
             "price",
             "cast(price AS string)",
-            {30: "'-100'", 31: "'true'", 32: "'\"499.99\"'", 33: "'2e3'", 44: "'-100'"},
+            {30: "'-100'", 31: "'true'", 32: "'\"499.99\"'", 33: "'2e3'", 44: "'-100'", 48: "'4.999'", 49: "'2000000000000'"},
         ),
         _edge_field(
             "tax_amount",

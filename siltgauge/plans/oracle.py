@@ -18,7 +18,7 @@ from ..contract import (
     SYNTH_PRODUCTS,
 )
 from ..operators.synth import EPOCH_MICROS
-from .fixtures import CLEAN_PAYMENTS, EDGE_KINDS, EDGE_TIMES, SEED, edge_value
+from .fixtures import CLEAN_PAYMENTS, EDGE_KINDS, EDGE_TIMES, RUNNING_FLOWS, SEED, edge_value
 from .queries import INJECTIONS, RULE_FAMILIES
 
 TIME = "'%Y-%m-%d %H:%M:%S'"
@@ -28,6 +28,10 @@ def draw(salt: str, key: str = "event_id") -> str:
     return f"cast('0x' || substr(md5('{SEED}:{salt}:' || cast({key} AS varchar)), 1, 8) AS bigint)"
 
 
+def place(salt: str, key: str = "event_id") -> str:
+    return f"cast('0x' || substr(md5('{SEED}:{salt}:' || cast({key} AS varchar)), 1, 15) AS bigint)"
+
+
 def texts(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
@@ -47,8 +51,8 @@ def money(salt: str, cents: tuple[int, int], precision: int = 12, key: str = "ev
 
 def tax(price: str, quantity: str) -> str:
     return (
-        f"cast(round(cast({price} AS decimal(12,2)) * cast({quantity} AS decimal(3,0))"
-        " * cast(0.18 AS decimal(3,2)), 2) AS decimal(14,2))"
+        f"cast(round(cast({price} AS decimal(12,2)) * cast({quantity} AS decimal(20,0))"
+        " * cast(0.18 AS decimal(3,2)), 2) AS decimal(30,2))"
     )
 
 
@@ -141,7 +145,7 @@ def dirty(kind: str = "all", rate: float = 0.05, count: int | None = None) -> st
     replaced = ", ".join(f'{expression} AS "{field}"' for field, expression in values.items())
     return f"""{CLEAN},
 picked AS (SELECT *, CASE WHEN {picked} THEN {category} END AS anomaly_category,
-    'ORD' || cast(CASE WHEN event_id > 0 THEN {draw("slot")} % event_id ELSE -1 END AS varchar) AS reused FROM clean),
+    'ORD' || cast(CASE WHEN event_id > 0 THEN {place("slot")} % event_id ELSE -1 END AS varchar) AS reused FROM clean),
 detailed AS (SELECT *, {detail} AS anomaly_detail FROM picked),
 corrupted AS (SELECT * REPLACE ({replaced}) FROM detailed),
 dirty AS (SELECT event_id, event_type, ingest_ts, {_record()} AS value, anomaly_category, anomaly_detail FROM corrupted)"""
@@ -244,10 +248,19 @@ verdicts AS (SELECT *, array_to_string(error_list, '|') AS errors, len(error_lis
 
 DIRTY = f"{dirty()},\n{checked('dirty')}"
 CHECKED_EDGE = f"{EDGE},\n{checked('edge')}"
-_TYPED = """v_order_id AS order_id, v_customer_id AS customer_id, v_product_id AS product_id,
-  try_cast(v_quantity AS integer) AS quantity, cast(v_price AS decimal(12,2)) AS price,
-  cast(v_tax_amount AS decimal(14,2)) AS tax_amount, v_payment_method AS payment_method,
+
+
+def _exact(field: str, precision: int) -> str:
+    typed = f"try_cast(v_{field} AS decimal({precision},2))"
+    return f"CASE WHEN {typed} = try_cast(v_{field} AS decimal(38,6)) THEN {typed} END"
+
+
+_TYPED = f"""v_order_id AS order_id, v_customer_id AS customer_id, v_product_id AS product_id,
+  try_cast(v_quantity AS decimal(38,0)) AS quantity, {_exact("price", 12)} AS price,
+  {_exact("tax_amount", 14)} AS tax_amount, v_payment_method AS payment_method,
   strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS "timestamp\""""
+_UNFIT = f"""array_to_string(list_filter([CASE WHEN {_exact("price", 12)} IS NULL THEN 'price' END,
+  CASE WHEN {_exact("tax_amount", 14)} IS NULL THEN 'tax_amount' END], lambda x: x IS NOT NULL), '|') AS unfit"""
 
 RULE = """CASE WHEN starts_with(error, 'Invalid payment_method: ') THEN 'Invalid payment_method' ELSE error END"""
 
@@ -273,15 +286,18 @@ _INJECTED = "SELECT event_id, value, anomaly_category, anomaly_detail FROM dirty
 _HOURLY = "hourly AS (SELECT date_trunc('hour', ts) AS window_start, count(*) AS n FROM events GROUP BY 1)"
 _METRICS = f"""{DIRTY},
 metrics AS (SELECT event_type, date_trunc('day', ingest_ts) AS window_start, count(*) AS n,
-  count(*) FILTER (WHERE is_valid) AS n_valid FROM verdicts GROUP BY 1, 2),
+  count(*) FILTER (WHERE is_valid) AS n_valid FROM verdicts WHERE {RUNNING_FLOWS} GROUP BY 1, 2),
 rated AS (SELECT *, n_valid * 100.0::double / n AS quality_pct FROM metrics)"""
 _ALERTS = f"""{_METRICS},
 changed AS (SELECT a.*, (a.n - b.n) * 100.0::double / nullif(b.n, 0) AS change_pct FROM rated a
-  LEFT JOIN rated b ON a.event_type = b.event_type AND b.window_start = a.window_start - INTERVAL 1 DAY),
+  LEFT JOIN rated b ON a.event_type = b.event_type AND b.window_start = a.window_start - INTERVAL 1 DAY
+  UNION ALL SELECT b.event_type, b.window_start + INTERVAL 1 DAY, 0, NULL, NULL, -100.0 FROM rated b
+  WHERE b.window_start < (SELECT max(r.window_start) FROM rated r) AND NOT EXISTS (SELECT 1 FROM rated a
+    WHERE a.event_type = b.event_type AND a.window_start = b.window_start + INTERVAL 1 DAY)),
 alerts AS (SELECT event_type, window_start,
-  CASE WHEN quality_pct < 95 OR coalesce(change_pct < -20, false) THEN 'warning'
+  CASE WHEN n = 0 OR quality_pct < 95 OR coalesce(change_pct < -20, false) THEN 'warning'
     WHEN quality_pct = 100 THEN 'success' ELSE 'info' END AS severity,
-  CASE WHEN quality_pct < 95 THEN 'Data quality below 95%'
+  CASE WHEN n = 0 THEN 'No records received' WHEN quality_pct < 95 THEN 'Data quality below 95%'
     WHEN coalesce(change_pct < -20, false) THEN 'Throughput dropped by more than 20%'
     WHEN quality_pct = 100 THEN 'All records valid' ELSE 'Processing normally' END AS message FROM changed)"""
 
@@ -329,7 +345,7 @@ _ORDERS = f"""base AS (SELECT o_orderkey, o_orderkey * 4 + 3 AS order_id, 'C' ||
   'Cash' AS payment_method, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
   row_number() OVER (ORDER BY o_orderkey) - 1 AS slot FROM orders),
 picked AS (SELECT *, {draw("pick", "o_orderkey")} < {int(0.05 * 2**32)} AS picked,
-  CASE WHEN slot > 0 THEN {draw("slot", "o_orderkey")} % slot END AS target FROM base),
+  CASE WHEN slot > 0 THEN {place("slot", "o_orderkey")} % slot END AS target FROM base),
 found AS (SELECT p.*, coalesce(b.order_id, p.order_id - 1) AS reused FROM picked p LEFT JOIN base b ON p.target = b.slot),
 detailed AS (SELECT * REPLACE (CASE WHEN picked THEN reused ELSE order_id END AS order_id),
   CASE WHEN picked THEN 'duplicate-id' END AS anomaly_category,
@@ -347,7 +363,7 @@ ORACLE: dict[str, str] = {
     "ingest_json_array": f"""WITH {DIRTY} SELECT event_id // 500 AS array_id, count(*) AS n,
       count(*) FILTER (WHERE is_valid) AS n_valid FROM verdicts GROUP BY 1""",
     "validate": f"WITH {CHECKED_EDGE} SELECT event_id, is_valid, errors FROM verdicts",
-    "typed_records": f"""WITH {CHECKED_EDGE} SELECT event_id, {_TYPED} FROM verdicts WHERE is_valid""",
+    "typed_records": f"""WITH {CHECKED_EDGE} SELECT event_id, {_TYPED}, {_UNFIT} FROM verdicts WHERE is_valid""",
     **{
         name: f"""WITH {CHECKED_EDGE}, exploded AS (SELECT event_id, unnest(error_list) AS error FROM checked)
           SELECT event_id, error FROM exploded WHERE regexp_matches(error, '{pattern}')"""
@@ -414,7 +430,8 @@ ORACLE: dict[str, str] = {
     "stage_latency": f"""WITH {_STAGES} SELECT stage, count(ms) AS n, sum(ms)::bigint / count(ms) AS avg_ms,
       max(ms) AS max_ms, quantile_disc(ms, 0.5) AS p50_ms, quantile_disc(ms, 0.95) AS p95_ms FROM spans GROUP BY 1""",
     "flow_status": f"""WITH {_METRICS} SELECT event_type, strftime(window_start, {TIME}) AS window_start, n, n_valid,
-      quality_pct, CASE WHEN quality_pct >= 95 THEN 'Running' ELSE 'Monitoring' END AS status FROM rated
+      quality_pct, CASE WHEN quality_pct >= 95 AND rated.window_start = (SELECT max(r.window_start) FROM rated r)
+        THEN 'Running' ELSE 'Monitoring' END AS status FROM rated
       QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY rated.window_start DESC) = 1""",
     "alerts": f"""WITH {_ALERTS} SELECT event_type, strftime(window_start, {TIME}) AS window_start, severity, message
       FROM alerts""",

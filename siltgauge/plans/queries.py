@@ -114,7 +114,7 @@ def validate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def typed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = validate(fx.edge(spark, sf_dir), typed=REQUIRED_FIELDS).where("is_valid")
-    typed = checked.select("event_id", "record.*")
+    typed = checked.select("event_id", "record.*").withColumn("unfit", joined("unfit"))
     return typed.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
@@ -295,8 +295,9 @@ def quality_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flow_metrics(spark: SparkSession, sf_dir: str, width: str = "1 day") -> DataFrame:
-    """Quality per flow and window of the corrupted records."""
-    return metrics.quality_per_window(validate(fx.dirty(spark, sf_dir)), "ingest_ts", width, [FLOW])
+    """Quality per flow and window of the corrupted records. One flow pauses, another one stops."""
+    running = fx.dirty(spark, sf_dir).where(fx.RUNNING_FLOWS)
+    return metrics.quality_per_window(validate(running), "ingest_ts", width, [FLOW])
 
 
 @query
@@ -346,7 +347,7 @@ def recent_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     lag = metrics.consumer_lag(*fx.offsets(spark, sf_dir, "2024-01-28 12:00:00"))
-    return lag.join(metrics.lag_alerts(lag, 500), "partition_id")
+    return metrics.lag_alerts(lag, 500)
 
 
 @query
@@ -377,8 +378,8 @@ def lake_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid rows of a stream, typed, in the append table."""
     base = scratch_dir(spark, "lake")
     checked = validate(fx.dirty_from_events(fx.event_stream(spark, sf_dir)), typed=REQUIRED_FIELDS)
-    rows = _landed(spark, checked.where("is_valid").select("event_id", "record.*"), base)
-    return rows.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    rows = _landed(spark, checked.where("is_valid and size(record.unfit) = 0").select("event_id", "record.*"), base)
+    return rows.drop("unfit").withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @query
@@ -430,14 +431,9 @@ def stream_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_duplicate_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "duplicates")
     ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).select("event_id", "order_id")
-    # state with a time to live asks for empty batches for ever, so a run to the end goes without them;
-    # every state partition costs a Python worker, so there are no more of them than twice the cores
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
     with settings(
         spark,
-        spark__sql__shuffle__partitions=str(partitions),
         spark__sql__streaming__stateStore__providerClass=ROCKSDB,
-        spark__sql__streaming__noDataMicroBatches__enabled="false",
     ):
         flagged = _landed(spark, stream_duplicates.flag_stream_duplicates(ids, "order_id", "event_id"), base)
     return flagged.where("is_duplicate").select("event_id", "order_id")

@@ -30,6 +30,13 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
     return spark
 
 
+def check_zone(spark: SparkSession) -> None:
+    """Naive timestamps are UTC everywhere in this library; the session's own setting is the caller's."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"Set spark.sql.session.timeZone to UTC; it is {zone}.")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach.
 

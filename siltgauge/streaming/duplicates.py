@@ -30,7 +30,7 @@ class _FirstOfKey(StatefulProcessor):
     Only that one candidate row is held back while the batch's rows go by.
     """
 
-    def __init__(self, flag: str, order: str, ttl_ms: int) -> None:
+    def __init__(self, flag: str, order: str, ttl_ms: int | None) -> None:
         self._flag = flag
         self._order = order
         self._ttl_ms = ttl_ms
@@ -70,10 +70,10 @@ class _FirstOfKey(StatefulProcessor):
 
 
 # Column names must not start with an underscore here: the Python worker renames such columns.
-def _pass(stream: DataFrame, key: str, route: str, flag: str, order: str, ttl_hours: int) -> DataFrame:
+def _pass(stream: DataFrame, key: str, route: str, flag: str, order: str, ttl_hours: int | None) -> DataFrame:
     schema = T.StructType([*stream.schema.fields, T.StructField(flag, T.BooleanType())])
     return stream.groupBy(key, route).transformWithStateInPandas(
-        _FirstOfKey(flag, order, ttl_hours * 3_600_000),
+        _FirstOfKey(flag, order, None if ttl_hours is None else ttl_hours * 3_600_000),
         outputStructType=schema,
         outputMode="append",
         timeMode="processingTime",
@@ -81,15 +81,16 @@ def _pass(stream: DataFrame, key: str, route: str, flag: str, order: str, ttl_ho
 
 
 def flag_stream_duplicates(
-    stream: DataFrame, key: str, order: str, flag: str = "is_duplicate", ttl_hours: int = 24
+    stream: DataFrame, key: str, order: str, flag: str = "is_duplicate", ttl_hours: int | None = None
 ) -> DataFrame:
     """Mark repeated keys of a stream; ``order`` is a unique column, NULL keys are never marked.
 
     Two stateful passes. The first is keyed by (key, salt), so a key that holds a third of
     the stream is worked on by SALTS tasks; it marks every row but the first of its salt.
     Only those firsts meet under the plain key in the second pass; the rows marked already
-    go through it under their salt. A repeat that comes after ``ttl_hours`` is not seen:
-    state has to be bounded. Needs the RocksDB state store.
+    go through it under their salt. Nothing expires unless
+    ``ttl_hours`` of processing time are given; then later repeats are not seen. Needs the
+    RocksDB state store.
     """
     columns = stream.columns
     salted = stream.withColumn("dup_route", F.pmod(F.xxhash64(order), F.lit(SALTS)).cast("int"))
@@ -101,10 +102,15 @@ def flag_stream_duplicates(
 
 
 def drop_stream_duplicates(stream: DataFrame, key: str, order: str) -> DataFrame:
-    """Keep one row per key within the watermark of the stream; salted like the flags."""
-    salted = stream.withColumn("dup_route", F.pmod(F.xxhash64(order), F.lit(SALTS)))
-    once = salted.dropDuplicatesWithinWatermark([key, "dup_route"]).drop("dup_route")
-    return once.dropDuplicatesWithinWatermark([key])
+    """Keep one row per key within the watermark of the stream; salted like the flags.
+
+    Rows without a key are no repeats of each other: their unique ``order`` stands in for it.
+    """
+    columns = stream.columns
+    unkeyed = F.when(F.col(key).isNull(), F.col(order))
+    salted = stream.withColumns({"dup_alone": unkeyed, "dup_route": F.pmod(F.xxhash64(order), F.lit(SALTS))})
+    once = salted.dropDuplicatesWithinWatermark([key, "dup_alone", "dup_route"])
+    return once.dropDuplicatesWithinWatermark([key, "dup_alone"]).select(*columns)
 
 
 def duplicate_keys_per_window(stream: DataFrame, key: str, time: str, width: str = "24 hours") -> DataFrame:
@@ -138,7 +144,7 @@ def write_flagged_duplicates(
             table = batch.sparkSession.read.schema(schema).parquet(path)
             first = (F.col(flag) == "false") & (F.col("batch_id") < batch_id) & F.col(key).isNotNull()
             seen = table.where(first).select(key, F.lit(True).alias("_seen"))
-            marked = left_join_skewed(marked, seen, [key])
+            marked = left_join_skewed(marked, seen, [key], [order])
             marked = marked.withColumn(flag, F.col(flag) | F.col("_seen").isNotNull()).drop("_seen")
         (
             marked.withColumn("batch_id", F.lit(batch_id).cast("bigint"))

@@ -19,9 +19,10 @@ def test_skewed_join_is_a_left_join(spark):
     pick = random.Random(1)
     rows = [(i, pick.choice(["hot"] * 5 + [None] * 3 + [f"k{n}" for n in range(900)])) for i in range(6000)]
     known = [(f"k{n}", n) for n in range(0, 900, 2)] + [("hot", -1)]
-    left = spark.createDataFrame(rows, "i long, k string").repartition(16)
+    # all rows lie in one partition: where they come from must not matter
+    left = spark.createDataFrame(rows, "i long, k string").coalesce(1)
     right = spark.createDataFrame(known, "k string, v long")
-    got = {r.i: (r.k, r.v) for r in left_join_skewed(left, right, ["k"]).collect()}
+    got = {r.i: (r.k, r.v) for r in left_join_skewed(left, right, ["k"], ["i"], task_rows=2).collect()}
     wanted = dict(known)
     assert len(got) == 6000
     assert got == {i: (k, wanted.get(k)) for i, k in rows}
@@ -32,12 +33,16 @@ def test_skewed_join_is_a_left_join(spark):
         spark__sql__adaptive__enabled="false",
         spark__sql__shuffle__partitions="16",
     ):
-        shuffled = left_join_skewed(left, right, ["k"])
+        shuffled = left_join_skewed(left, right, ["k"], ["i"], task_rows=2)
         assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
         tasks = shuffled.select("i", "k", "v", spark_partition_id().alias("task")).collect()
     assert {r.i: (r.k, r.v) for r in tasks} == got and len(tasks) == 6000
     for key in ("hot", None):
         assert len({r.task for r in tasks if r.k == key}) >= 5
+    # a key with no more rows than a task may get stays together
+    held = sum(k == "k7" for _, k in rows)
+    whole = left_join_skewed(left, right, ["k"], ["i"], task_rows=held)
+    assert {r.i: (r.k, r.v) for r in whole.collect()} == got
 
 
 def test_duplicates_with_a_hot_key(spark):
