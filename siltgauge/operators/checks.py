@@ -86,28 +86,25 @@ def schema_drift(df: DataFrame, value: str = "value", by: Sequence[str] = ()) ->
     return types.groupBy(*by, "field", "type").agg(F.count(F.lit(1)).alias("n"))
 
 
-def null_profile(df: DataFrame, value: str = "value") -> DataFrame:
-    """NULL and missing counts and rates per required field, in one pass over the records."""
-    parsed = parse_record(df.select(value), value)
-    kinds = parsed.select(F.col(RECORD).isNotNull().alias("_whole"), *[field_kind(f).alias(f) for f in REQUIRED_FIELDS])
-    counted = kinds.agg(
-        F.count_if("_whole").alias("_total"),
-        *[F.count_if(F.col("_whole") & F.col(f).isNull()).alias(f"_missing_{f}") for f in REQUIRED_FIELDS],
-        *[F.count_if(F.col(f) == "VOID").alias(f"_null_{f}") for f in REQUIRED_FIELDS],
-    )
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(f).alias("field"),
-                F.col(f"_missing_{f}").alias("n_missing"),
-                F.col(f"_null_{f}").alias("n_null"),
-            )
-            for f in REQUIRED_FIELDS
-        ]
+def field_gaps(df: DataFrame, *by: Column | str, value: str = "value") -> DataFrame:
+    """One row per ``by``: n_records, and missing_ and null_ counts of every required field. One pass over
+    the records of a table or stream."""
+    parsed = parse_record(df, value)
+    kinds = parsed.select(
+        *by, F.col(RECORD).isNotNull().alias("_whole"), *[field_kind(f).alias(f"_kind_{f}") for f in REQUIRED_FIELDS]
     )
-    long = counted.select("_total", F.explode(lines).alias("line")).select(
-        "line.*", F.col("_total").alias("n_records")
+    keys = [c for c in kinds.columns if c != "_whole" and not c.startswith("_kind_")]
+    return kinds.groupBy(*keys).agg(
+        F.count_if("_whole").alias("n_records"),
+        *[F.count_if(F.col("_whole") & F.col(f"_kind_{f}").isNull()).alias(f"missing_{f}") for f in REQUIRED_FIELDS],
+        *[F.count_if(F.col(f"_kind_{f}") == "VOID").alias(f"null_{f}") for f in REQUIRED_FIELDS],
     )
+
+
+def gap_lines(gaps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The counts of ``field_gaps`` as one row per field with rates in percent; NULL rates for no records."""
+    names = [F.struct(F.lit(f).alias("field"), F.col(f"missing_{f}").alias("n_missing"), F.col(f"null_{f}").alias("n_null")) for f in REQUIRED_FIELDS]
+    long = gaps.select(*by, "n_records", F.explode(F.array(*names)).alias("line")).select(*by, "line.*", "n_records")
     return long.withColumns(
         {
             "missing_pct": F.try_divide(F.col("n_missing") * F.lit(100.0), F.col("n_records")),
@@ -116,6 +113,11 @@ def null_profile(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def null_profile(df: DataFrame, value: str = "value", by: Sequence[str] = ()) -> DataFrame:
+    """NULL and missing counts and rates per required field, and per ``by``."""
+    return gap_lines(field_gaps(df.select(value, *by), *by, value=value), by)
+
+
 # --- errors and scores ------------------------------------------------------
 
 

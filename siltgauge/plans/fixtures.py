@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.draws import draw
 from ..operators.inject import inject
 from ..operators.synth import ISO_TEXT, tax
-from ..session import check_zone
+from ..session import check_zone, scratch_dir
 
 SEED = 42
 CLEAN_PAYMENTS = (("click", "UPI"), ("view", "Credit Card"), ("signup", "Debit Card"), ("purchase", "Net Banking"))
@@ -205,6 +205,14 @@ def edge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("event_id", F.expr(edge_value("`timestamp`")).alias("value"))
 
 
+def edge_stream(spark: SparkSession, sf_dir: str, files: int = 5) -> DataFrame:
+    """The ``edge`` records with their arrival times as a stream of one file per micro-batch, in order of arrival."""
+    path = scratch_dir(spark, "edge")
+    rows = edge(spark, sf_dir).join(clean(spark, sf_dir).select("event_id", "ingest_ts"), "event_id")
+    rows.repartitionByRange(files, "ingest_ts").write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def clean_from_orders(orders: DataFrame) -> DataFrame:
     """Transactions with integer ids that have gaps; ``o_orderkey`` is the row key."""
     price = F.col("o_totalprice").cast("decimal(12,2)")

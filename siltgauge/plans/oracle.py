@@ -326,8 +326,13 @@ _OFFSETS = """log AS (SELECT cast(event_id % 3 AS integer) AS partition_id, even
 ends AS (SELECT partition_id, max("offset") AS produced FROM log GROUP BY 1),
 seen AS (SELECT partition_id, max("offset") AS consumed FROM log
   WHERE ts <= TIMESTAMP '2024-01-28 12:00:00' AND partition_id <> 2 GROUP BY 1)"""
-_CLOSED = "(SELECT max(t) - INTERVAL 1 HOUR FROM stream)"
-_STREAM = f"{DIRTY},\nstream AS (SELECT *, coalesce(event_time, ingest_ts) AS t FROM verdicts)"
+_STREAM = f"""{DIRTY},
+stream AS (SELECT *, CASE WHEN event_time <= ingest_ts + INTERVAL 1 HOUR THEN event_time END AS t FROM verdicts)"""
+_EDGE_STREAM = f"""{CHECKED_EDGE},
+placed AS (SELECT v.*, c.ingest_ts, CASE WHEN v.event_time IS NULL THEN 'untimed'
+    WHEN v.event_time > c.ingest_ts + INTERVAL 1 HOUR THEN 'future'
+    WHEN v.event_time < c.ingest_ts - INTERVAL 3 DAY THEN 'late' ELSE 'timed' END AS time_status
+  FROM verdicts v JOIN clean c USING (event_id))"""
 _FIRST = "row_number() OVER (PARTITION BY order_id ORDER BY ingest_ts, event_id) > 1"
 _IDS = f"""{dirty()},
 ids AS (SELECT event_id, ingest_ts, CASE WHEN json_type(value, '$.order_id') = 'VARCHAR'
@@ -451,21 +456,33 @@ ORACLE: dict[str, str] = {
     "lake_append": f"WITH {DIRTY} SELECT event_id, {_TYPED} FROM verdicts WHERE is_valid",
     "quarantine": f"WITH {DIRTY} SELECT event_id, value, errors FROM verdicts WHERE NOT is_valid",
     "stream_quality": f"""WITH {_STREAM} SELECT strftime(date_trunc('hour', t), {TIME}) AS window_start, count(*) AS n,
-      count(*) FILTER (WHERE is_valid) AS n_valid, count(*) FILTER (WHERE event_time IS NULL) AS n_untimed,
-      count(*) FILTER (WHERE is_valid) * 100.0::double / count(*) AS quality_pct FROM stream
-      GROUP BY date_trunc('hour', t) HAVING date_trunc('hour', t) + INTERVAL 1 HOUR <= {_CLOSED}""",
+      count(*) FILTER (WHERE is_valid) AS n_valid,
+      count(*) FILTER (WHERE is_valid) * 100.0::double / count(*) AS quality_pct FROM stream WHERE t IS NOT NULL
+      GROUP BY date_trunc('hour', t)""",
+    "stream_edge_quality": f"""WITH {_EDGE_STREAM} SELECT strftime(date_trunc('hour', event_time), {TIME}) AS window_start,
+      count(*) AS n, count(*) FILTER (WHERE is_valid) AS n_valid,
+      count(*) FILTER (WHERE is_valid) * 100.0::double / count(*) AS quality_pct FROM placed
+      WHERE time_status = 'timed' GROUP BY date_trunc('hour', event_time)""",
+    "stream_off_time": f"""WITH {_EDGE_STREAM} SELECT strftime(date_trunc('day', ingest_ts), {TIME}) AS window_start,
+      time_status, count(*) AS n, count(*) FILTER (WHERE is_valid) AS n_valid FROM placed
+      WHERE time_status <> 'timed' GROUP BY date_trunc('day', ingest_ts), time_status""",
+    "stream_nulls": f"""WITH {dirty()}, required(field) AS (VALUES {_REQUIRED}),
+      kinds AS (SELECT date_trunc('day', ingest_ts) AS day, field, json_type(value, '$.' || field) AS t FROM dirty, required)
+      SELECT strftime(day, {TIME}) AS window_start, field, count(*) FILTER (WHERE t IS NULL) AS n_missing,
+        count(*) FILTER (WHERE t = 'NULL') AS n_null, count(*) AS n_records,
+        count(*) FILTER (WHERE t IS NULL) * 100.0::double / count(*) AS missing_pct,
+        count(*) FILTER (WHERE t = 'NULL') * 100.0::double / count(*) AS null_pct FROM kinds GROUP BY day, field""",
+    "stream_total": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
     "stream_errors": f"""WITH {_STREAM}, exploded AS (SELECT date_trunc('day', t) AS day, unnest(error_list) AS error
         FROM stream)
       SELECT strftime(day, {TIME}) AS window_start, {RULE} AS rule, count(*) AS n FROM exploded
-      WHERE day + INTERVAL 1 DAY <= {_CLOSED} GROUP BY 1, 2""",
+      WHERE day IS NOT NULL GROUP BY 1, 2""",
     "stream_drift": f"""WITH {dirty()}, {_observed("dirty", "date_trunc('day', ingest_ts) AS day,")}
-      SELECT strftime(day, {TIME}) AS window_start, field, type, count(*) AS n FROM observed
-      WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2, 3""",
+      SELECT strftime(day, {TIME}) AS window_start, field, type, count(*) AS n FROM observed GROUP BY 1, 2, 3""",
     "stream_duplicate_rows": _REPEATED,
     "stream_duplicate_state": _REPEATED,
     "stream_duplicate_keys": f"""WITH {_IDS}, daily AS (SELECT date_trunc('day', ingest_ts) AS day, order_id, count(*) AS n
         FROM ids WHERE order_id IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1)
-      SELECT strftime(day, {TIME}) AS window_start, order_id, n FROM daily
-      WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+      SELECT strftime(day, {TIME}) AS window_start, order_id, n FROM daily""",
     "stream_distinct_ids": f"WITH {_IDS} SELECT DISTINCT order_id FROM ids",
 }

@@ -390,29 +390,66 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.read_quarantined(spark, f"{base}/table").select("event_id", "value", joined("errors"))
 
 
+def _totals(spark: SparkSession, stream: DataFrame, purpose: str, keys: list[str]) -> DataFrame:
+    """Run a streaming aggregate over all available input; every window, the open ones too."""
+    base = scratch_dir(spark, purpose)
+    writers.write_totals(stream, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return with_seconds(writers.read_totals(spark, stream.schema, f"{base}/table", keys), "window_start")
+
+
+#: limits of the edge stream: an hour ahead, three days back; arrivals within a file may be in any order
+EDGE_LIMITS = {"ahead": "1 hour", "allowed": "3 days"}
+
+
 def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_quality.validate_stream(fx.dirty_from_events(fx.event_stream(spark, sf_dir)))
 
 
 @query
 def stream_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_dir(spark, "quality")
-    found = stream_quality.stream_quality(_timed(spark, sf_dir))
-    return with_seconds(_landed(spark, found, base), "window_start")
+    return _totals(spark, stream_quality.stream_quality(_timed(spark, sf_dir)), "quality", ["window_start"])
+
+
+@query
+def stream_edge_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with far-off, unreadable and missing timestamps, over several micro-batches."""
+    timed = stream_quality.validate_stream(fx.edge_stream(spark, sf_dir), delay="60 days", **EDGE_LIMITS)
+    return _totals(spark, stream_quality.stream_quality(timed), "edge", ["window_start"])
+
+
+@query
+def stream_off_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the same stream that are in no event-time window."""
+    found = stream_quality.off_time_rows(fx.edge_stream(spark, sf_dir), width="24 hours", delay="60 days", **EDGE_LIMITS)
+    return _totals(spark, found, "off_time", ["window_start", "time_status"])
+
+
+@query
+def stream_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL and missing fields per arrival window of a stream."""
+    found = stream_quality.stream_nulls(fx.dirty_from_events(fx.event_stream(spark, sf_dir)), "24 hours")
+    return checks.gap_lines(_totals(spark, found, "nulls", ["window_start"]), ["window_start"])
+
+
+@query
+def stream_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records stored so far as a live total, from a stream in complete mode."""
+    base = scratch_dir(spark, "total")
+    total = fx.event_stream(spark, sf_dir).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    writers.write_totals(total, f"{base}/table", f"{base}/checkpoint", mode="complete").awaitTermination()
+    return writers.read_totals(spark, total.schema, f"{base}/table", ["event_type"])
 
 
 @query
 def stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_dir(spark, "errors")
     found = stream_quality.stream_errors(_timed(spark, sf_dir), "24 hours")
-    return with_seconds(_landed(spark, found, base), "window_start")
+    return _totals(spark, found, "errors", ["window_start", "rule"])
 
 
 @query
 def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_dir(spark, "drift")
     dirty = fx.dirty_from_events(fx.event_stream(spark, sf_dir))
-    return with_seconds(_landed(spark, stream_quality.stream_drift(dirty, "24 hours"), base), "window_start")
+    return _totals(spark, stream_quality.stream_drift(dirty, "24 hours"), "drift", ["window_start", "field", "type"])
 
 
 @query
@@ -448,7 +485,6 @@ def stream_distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_dir(spark, "repeated")
     ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).withWatermark("ingest_ts", "1 hour")
     found = stream_duplicates.duplicate_keys_per_window(ids, "order_id", "ingest_ts", "24 hours")
-    return with_seconds(_landed(spark, found, base), "window_start")
+    return _totals(spark, found, "repeated", ["window_start", "order_id"])

@@ -2,27 +2,66 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def write_json_lines(df: DataFrame, path: str, value: str = "value") -> None:
     df.select(F.col(value).alias("value")).write.text(path)
 
 
-def append_table(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
-    """Append a stream to a table. ``fmt`` may name any streaming table format on the class path."""
-    return (
-        stream.writeStream.format(fmt)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+#: all that is there, then stop
+ONCE = {"availableNow": True}
+
+
+def append_table(
+    stream: DataFrame,
+    path: str | None,
+    checkpoint: str,
+    fmt: str = "parquet",
+    trigger: dict | None = None,
+    table: str | None = None,
+    partition_by: Sequence[str] = (),
+) -> StreamingQuery:
+    """Append a stream to a table, given by ``path`` or by the name ``table``. ``fmt`` may name any
+    streaming table format on the class path. ``trigger`` is what ``DataStreamWriter.trigger`` takes,
+    for instance ``{"processingTime": "1 minute"}``; without it the run ends with its input."""
+    writer = stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer.trigger(**(trigger or ONCE))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    return writer.start(path) if table is None else writer.toTable(table)
+
+
+def write_totals(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, mode: str = "update") -> StreamingQuery:
+    """Keep the totals of a streaming aggregate in a table, open windows included.
+
+    Every micro-batch adds the totals it changed (``mode`` update) or all of them (complete), under its
+    batch id; a repeated batch replaces its own. ``read_totals`` gives the newest of each key.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        writer = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch_id").parquet(path)
+
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or ONCE)).foreachBatch(write_batch).start()
+
+
+def read_totals(spark: SparkSession, schema: StructType, path: str, keys: Sequence[str]) -> DataFrame:
+    """The newest totals per key of a ``write_totals`` table with the ``schema`` of its stream."""
+    numbered = StructType([*schema.fields, StructField("batch_id", LongType())])
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    newest = F.max_by(F.struct(*rest), "batch_id").alias("_newest")
+    return spark.read.schema(numbered).parquet(path).groupBy(*keys).agg(newest).select(*keys, "_newest.*")
 
 
-def split_by_verdict(validated: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def split_by_verdict(validated: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Write accepted rows and quarantined rows of a validated stream in one pass.
 
     Each micro-batch is validated and written once, partitioned by batch id and verdict.
@@ -42,7 +81,7 @@ def split_by_verdict(validated: DataFrame, path: str, checkpoint: str) -> Stream
     return (
         validated.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or ONCE))
         .start()
     )
 

@@ -82,9 +82,9 @@ def test_windows_with_late_and_untimed_rows(spark, tmp_path):
     base = tmp_path / "out"
     query = writers.append_table(quality.stream_quality(timed), f"{base}/table", f"{base}/cp")
     query.awaitTermination()
-    got = {r.window_start.hour: (r.n, r.n_valid, r.n_untimed) for r in spark.read.parquet(f"{base}/table").collect()}
-    # the late row is not in hour 0; hour 18 with the untimed rows is still open
-    assert got == {**{h: (1, 1, 0) for h in range(6)}, 12: (1, 1, 0), 13: (1, 0, 0)}
+    got = {r.window_start.hour: (r.n, r.n_valid) for r in spark.read.parquet(f"{base}/table").collect()}
+    # the late row is not in hour 0; hour 18 is still open; the untimed rows are in no window
+    assert got == {**{h: (1, 1) for h in range(6)}, 12: (1, 1), 13: (1, 0)}
     dropped = sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
     assert dropped == 1
     seen = sum(p["observedMetrics"]["late_test"]["rows"] for p in query.recentProgress if p["observedMetrics"])
@@ -95,11 +95,41 @@ def test_windows_with_late_and_untimed_rows(spark, tmp_path):
     assert quality.late_rows(batch, "17 hours").count() == 2
 
 
+def test_one_record_cannot_end_a_stream(spark, tmp_path):
+    """A record of the far future in the first file: the hours after it are all there."""
+    source = tmp_path / "in"
+    write_lines(source, "0", [changed(timestamp="9998-01-01T00:00:00"), changed(timestamp="2024-01-01T00:10:00")])
+    for h in range(1, 5):
+        write_lines(source, str(h), [changed(timestamp=f"2024-01-01T{h:02d}:10:00"), without("timestamp")])
+    for i in range(5):
+        import os
+
+        os.utime(source / str(i), (1_700_000_000 + i, 1_700_000_000 + i))
+    lines = readers.stream_json_lines(spark, str(source), files_per_trigger=1)
+    lines = lines.withColumn("ingest_ts", F.lit("2024-01-01 04:30:00").cast("timestamp"))
+    timed = quality.stream_quality(quality.validate_stream(lines, metrics="future_test"))
+    writers.write_totals(timed, f"{tmp_path}/t", f"{tmp_path}/cp").awaitTermination()
+    got = writers.read_totals(spark, timed.schema, f"{tmp_path}/t", ["window_start"]).collect()
+    assert {r.window_start.hour: r.n for r in got} == dict.fromkeys(range(5), 1)
+    off = quality.off_time_rows(lines)
+    writers.write_totals(off, f"{tmp_path}/o", f"{tmp_path}/cp2").awaitTermination()
+    got = writers.read_totals(spark, off.schema, f"{tmp_path}/o", ["window_start", "time_status"]).collect()
+    assert {r.time_status: r.n for r in got} == {"future": 1, "untimed": 4}
+
+
+def test_rows_without_a_key_are_no_repeats(spark, tmp_path):
+    write_lines(tmp_path / "in", "a", [changed(order_id=None if i % 2 else f"K{i % 6}", quantity=i + 1) for i in range(200)])
+    rows = readers.stream_json_lines(spark, str(tmp_path / "in")).withWatermark("ingest_ts", "1 hour")
+    keyed = rows.select("ingest_ts", F.get_json_object("value", "$.order_id").alias("k"), F.get_json_object("value", "$.quantity").alias("q"))
+    out = land(spark, duplicates.drop_stream_duplicates(keyed, "k", "q").select("k", "q"), tmp_path).collect()
+    assert sum(r.k is None for r in out) == 100 and sorted(r.k for r in out if r.k) == ["K0", "K2", "K4"]
+
+
 def test_stream_equals_batch_on_closed_windows(spark, sf_dir, tmp_path):
     dirty = fx.dirty_from_events(fx.event_stream(spark, sf_dir))
     streamed = land(spark, quality.stream_quality(quality.validate_stream(dirty, metrics="eq")), tmp_path)
     checked = validate(fx.dirty(spark, sf_dir), typed=("timestamp",))
-    checked = checked.withColumn("t", F.coalesce("record.timestamp", "ingest_ts"))
+    checked = checked.withColumn("t", F.col("record.timestamp")).where("t is not null")
     batch = quality_per_window(checked, "t", "1 hour")
     got = {r.window_start: (r.n, r.n_valid) for r in streamed.collect()}
     wanted = {r.window_start: (r.n, r.n_valid) for r in batch.collect()}
