@@ -1,9 +1,9 @@
 """Near-duplicate lines over all documents: MinHash bands, exact verification, one line per component.
 
 The signature of a line is taken over its character shingles that start a word (of scripts without
-spaces, and of lines that have few word starts, over all of them). A shingle is hashed once; the hash
-functions are its exclusive-ors with fixed random masks, whose minimums are what the line keeps of them,
-ROWS to a band. Equal lines are one line before any of this, so a frequent line is signed once.
+spaces, and of lines that have few word starts, over all of them), the bottom sketch of their hashes. The
+hash functions of MinHash are exclusive-ors of a hash with fixed random masks, whose minimums are what the
+line keeps of them, ROWS to a band. Equal lines are one line before any of this, so a frequent line is signed once.
 
 Lines that share a band are compared with the first and the last line of the band by the Jaccard
 similarity of all their shingles. So a band of m lines gives less than 2 * m pairs.
@@ -20,9 +20,14 @@ from .common import discard, landed, whole_text
 from .components import components
 
 SHINGLE = 5
-#: Lines of similarity s share a band with probability 1 - (1 - s ** ROWS) ** BANDS: 0.99 at 0.8.
-BANDS, ROWS = 12, 5
+#: Lines of similarity s share a band with probability 1 - (1 - s ** ROWS) ** BANDS: 0.98 at 0.8.
+BANDS, ROWS = 10, 5
 MASKS = [random.Random(n).getrandbits(64) - (1 << 63) for n in range(BANDS * ROWS)]
+#: Shingle hashes of a line that go into its signature: the smallest ones, which similar lines share as they
+#: share all others.
+SKETCH = 32
+#: Lines are not compared if one has less than 3/5 of the characters of the other.
+SHORTEST = 0.6
 #: A line with fewer different shingles at word starts than one in so many characters is signed over all.
 SPARSE = 24
 _STARTS = rf"(?s)(?=(.{{{SHINGLE}}}))(?:[^\s\x{{2E80}}-\x{{FFFF}}]++|.)\s*+"
@@ -30,10 +35,16 @@ _EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
 
 
 def signed_shingles(line: str) -> Column:
-    """The shingles of a line that its signature is taken over; a line below the shingle length is one."""
-    starts, every = (F.array_distinct(F.regexp_extract_all(F.col(line), F.lit(p), F.lit(1))) for p in (_STARTS, _EVERY))
-    chosen = bound(starts, lambda found: F.when(F.size(found) * SPARSE < F.char_length(line), every).otherwise(found))
-    return F.when(F.char_length(line) < SHINGLE, F.array(F.col(line))).otherwise(chosen)
+    """Hashes of the shingles that a line's signature is taken over, the SKETCH smallest of them; a line
+    below the shingle length is one shingle."""
+
+    def hashed(pattern: str) -> Column:
+        found = F.regexp_extract_all(F.col(line), F.lit(pattern), F.lit(1))
+        return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
+
+    few = F.char_length(line)
+    chosen = bound(hashed(_STARTS), lambda found: F.when(F.size(found) * SPARSE < few, hashed(_EVERY)).otherwise(found))
+    return F.when(F.char_length(line) < SHINGLE, F.array(F.xxhash64(line))).otherwise(F.slice(F.sort_array(chosen), 1, SKETCH))
 
 
 def with_bands(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -61,9 +72,8 @@ def shingle_hashes(line: str) -> Column:
     size = 2 * SHINGLE
 
     def of(units: Column) -> Column:
-        last = (F.octet_length(units) / 2).cast("int") - SHINGLE
-        starts = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
-        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(units, i * 2 + 1, F.lit(size)))))
+        starts = F.sequence(F.lit(1), F.greatest(F.octet_length(units) - size + 1, F.lit(1)), F.lit(2))
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(units, i, F.lit(size)))))
 
     return bound(F.encode(F.col(line), "UTF-16BE"), of)
 
@@ -102,9 +112,9 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "ref", (F.col("_n") + 1).alias("number"))
     every = pieces.select(place.alias("place"), F.unhex(F.md5("line")).alias("key"), "line")
     first = every.groupBy("key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("line").alias("line"))
-    unique = with_bands(first.select("key", "first.*", "n", "line"))
+    unique = with_bands(first.select("key", "first.*", "n", F.char_length("line").alias("length"), "line"))
     place = F.struct("nameless", "doc_id", "ref", "number").alias("first")
-    unique = landed(unique.select("key", place, "n", "bands", F.xxhash64("key").alias("node")), "unique")
+    unique = landed(unique.select("key", place, "n", "length", "bands", F.xxhash64("key").alias("node")), "unique")
     dealt = unique.select("node", F.explode("bands").alias("band"))
     met = dealt.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
     met = landed(met, "bands")
@@ -112,13 +122,15 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     near = dealt.join(met, "band").select("node", ends).where("node != end")
     near = landed(near.select(F.least("node", "end").alias("x"), F.greatest("node", "end").alias("y")).distinct(), "near")
     nodes = near.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    known = landed(unique.select("node", "key", "first").join(nodes, "node"), "known")
+    known = landed(unique.select("node", "key", "first", "length").join(nodes, "node"), "known")
     texts = landed(_texts(docs, known.select("key", "first.doc_id", "first.ref", "first.number")), "texts").dropDuplicates(["key"])
 
     def keys(node: str, key: str) -> DataFrame:
-        return known.select(F.col("node").alias(node), F.col("key").alias(key))
+        return known.select(F.col("node").alias(node), F.col("key").alias(key), F.col("length").alias(f"length_{key}"))
 
-    pairs = near.join(keys("x", "a"), "x").join(keys("y", "b"), "y").select("a", "b")
+    pairs = near.join(keys("x", "a"), "x").join(keys("y", "b"), "y")
+    alike = F.least("length_a", "length_b") >= SHORTEST * F.greatest("length_a", "length_b")
+    pairs = pairs.where(alike).select("a", "b")
     labels = components(landed(verified_links(pairs, texts, percent), "links"))
 
     # Of a component, and of equal lines, the first place stays.
