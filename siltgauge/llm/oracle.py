@@ -1,5 +1,29 @@
 """SQL of an independent engine for the queries that SQL can express."""
 
+OP5 = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 2), ' ') AS sh
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b USING (sh) WHERE a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+    SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * o >= 90 * (nx.n + ny.n - o)
+), both_ways AS (
+    SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), reach(a, b) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT a, y FROM reach JOIN both_ways ON x = b
+), least AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM least LEFT JOIN n USING (doc_id)
+"""
+
 OP6 = r"""
 WITH p AS (
     SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages

@@ -15,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: SQL of the queries that SQL can express.
 LLM_ORACLE: dict[str, str] = {
+    "op5_ngram_join": oracle.OP5,
     "op6_warc": oracle.OP6,
     "op7_quality_rules": oracle.OP7,
 }
