@@ -107,7 +107,7 @@ def offsets(spark: SparkSession, sf_dir: str, consumed_until: str) -> tuple[Data
 EDGE_KINDS = 50
 #: JSON literals of timestamps around the limits of ISO 8601
 EDGE_TIMES = (
-    "not-a-valid-date",
+    "on a tuesday",
     "20240115",
     "2024-W03-4",
     "2024W034",
@@ -151,7 +151,7 @@ def edge_value(quoted_timestamp: str) -> str:
     time = f"CASE time_index {times} END"
     members = [
         _edge_field(
-            "order_id", text("order_id"), {10: "'\"   \"'", 11: "'12345'", 12: "'null'", 13: "'\"\"'", 14: None}
+            "order_id", text("order_id"), {10: "'\"   \"'", 11: "'77'", 12: "'null'", 13: "'\"\"'", 14: None}
         ),
         _edge_field(
             "customer_id",
@@ -160,33 +160,33 @@ def edge_value(quoted_timestamp: str) -> str:
             | {44: "'null'", 46: None},
         ),
         _edge_field(
-            "product_id", text("product_id"), {19: "'\"\"'", 20: "'{\"a\":1}'", 21: "'null'", 22: "'\"P999_INVALID\"'"}
+            "product_id", text("product_id"), {19: "'\"\"'", 20: "'{\"a\":1}'", 21: "'null'", 22: "'\"shelf 9\"'"}
         ),
         _edge_field(
             "quantity",
             "cast(quantity AS string)",
-            {23: "'2.0'", 24: "'true'", 25: "'\"2\"'", 26: f"'{'1' * 30}'", 27: "'0'", 28: "'-5'", 29: "'null'"}
-            | {44: "'-5'", 46: "'-5'"},
+            {23: "'2.0'", 24: "'true'", 25: "'\"2\"'", 26: f"'{'1' * 30}'", 27: "'0'", 28: "'-9'", 29: "'null'"}
+            | {44: "'-9'", 46: "'-9'"},
         ),
         _edge_field(
             "price",
             "cast(price AS string)",
-            {30: "'-100'", 31: "'true'", 32: "'\"499.99\"'", 33: "'2e3'", 44: "'-100'", 48: "'4.999'", 49: "'2000000000000'"},
+            {30: "'-3.5'", 31: "'true'", 32: "'\"17.20\"'", 33: "'2e3'", 44: "'-3.5'", 48: "'4.999'", 49: "'2000000000000'"},
         ),
         _edge_field(
             "tax_amount",
             "cast(tax_amount AS string)",
-            {33: "'0'", 34: "'-50'", 35: "'\"50.00\"'", 36: "'null'", 44: "'-20'"},
+            {33: "'0'", 34: "'-1'", 35: "'\"1.10\"'", 36: "'null'", 44: "'-6'"},
         ),
         _edge_field(
             "payment_method",
             text("payment_method"),
-            {37: "'12345'", 38: "'true'", 39: "'null'", 40: "'\"Bitcoin\"'", 44: "'\"Bitcoin\"'"},
+            {37: "'4'", 38: "'true'", 39: "'null'", 40: "'\"Barter\"'", 44: "'\"Barter\"'"},
         ),
         _edge_field(
             "timestamp",
             text(quoted_timestamp),
-            {44: "'\"invalid-date\"'", 45: "'1700000000'", 46: None} | {k: time for k in (9, 41, 42, 43)},
+            {44: "'\"some day\"'", 45: "'1700000000'", 46: None} | {k: time for k in (9, 41, 42, 43)},
         ),
     ]
     extra = "CASE kind WHEN 8 THEN '\"unexpected_field\":\"x\"' END"
