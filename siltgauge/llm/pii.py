@@ -54,12 +54,15 @@ _at, _dot = "|".join((*AT_WORDS, "@")), "|".join((*DOT_WORDS, r"\."))
 _unit = f"(?:{'|'.join((*SPELLED, *DOT_WORDS, '[0-9]+'))})"
 _dots = "|".join(DOT_WORDS)
 BRACKETED = re.compile(rf"[\[({{<]\x20?(?:(?P<at>{_at})|(?:{_dot}))\x20?[\])}}>]\x20?", re.IGNORECASE)
-#: A name, the bare word at, and labels joined by the bare word dot up to a top-level domain.
+#: A name, the bare word at (or the sign), and labels joined by the bare word dot (or points) up to a
+#: top-level domain.
 BARE = re.compile(
-    rf"(?<=[a-z0-9])\x20(?:{'|'.join(AT_WORDS)})\x20[a-z0-9-]+(?:\x20(?:{_dots})\x20[a-z0-9-]+)*"
-    rf"\x20(?:{_dots})\x20(?:{'|'.join(TOP_LEVELS)})(?!\w)",
+    rf"(?<=[a-z0-9])(?:\x20(?:{'|'.join(AT_WORDS)})\x20|@)[a-z0-9-]+(?:(?:\x20(?:{_dots})\x20|\.)[a-z0-9-]+)*?"
+    rf"(?:\x20(?:{_dots})\x20|\.)(?:{'|'.join(TOP_LEVELS)})(?![\w.-])",
     re.IGNORECASE,
 )
+#: What prose does not have before the word at: a mark or digit inside a name.
+_MADE_UP = re.compile(r"(?=[a-z0-9._%+-]*[0-9._%+-])[a-z0-9._%+-]{1,64}\Z", re.IGNORECASE)
 #: At least seven digit words or numbers in a row.
 DIGIT_RUN = re.compile(
     rf"(?<!\w)(?:(?:{'|'.join(PLUS_WORDS)})[\s-]+|\+)?(?:{_unit}[\s,-]+){{6,}}{_unit}(?!\w)", re.IGNORECASE
@@ -168,9 +171,12 @@ def _edits(mapped: str) -> list[tuple[int, int, str]]:
     if not mapped.isascii():
         edits += [(m.start(), m.end(), "") for m in NOTHING.finditer(mapped)]
     lower = mapped.lower()
-    if any(f" {word} " in lower for word in DOT_WORDS):
+    if any(f" {word} " in lower for word in (*AT_WORDS, *DOT_WORDS)):
         for match in BARE.finditer(mapped):
-            parts = _BARE_PART.finditer(match[0])
+            parts = list(_BARE_PART.finditer(match[0]))
+            name = mapped[max(0, match.start() - 64) : match.start()].rpartition(" ")[2]
+            if not any(p[1] is None for p in parts) and not _MADE_UP.match(name):
+                continue  # "look at example.com" is prose
             edits += [(match.start() + p.start(), match.start() + p.end(), "@" if p[1] else ".") for p in parts]
     words = lower.replace(",", " ").replace("-", " ").split()
     if sum(map(CLEAR.__contains__, words)) >= 3:

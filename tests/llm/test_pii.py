@@ -56,6 +56,9 @@ def found(text):
 def test_disguises_map_back_to_the_source():
     assert found("write to jane.doe [at] mail (dot) example [dot] org now") == [("email", "jane.doe [at] mail (dot) example [dot] org")]
     assert found("write jane at example dot com, please") == [("email", "jane at example dot com")]
+    assert found("or jane.doe at example.com today") == [("email", "jane.doe at example.com")]
+    assert found("or jane@example dot com") == [("email", "jane@example dot com")]
+    assert found("look at example.com or at home.de") == []
     assert found("mail bоb＠exаmple。org!".replace("。", "．")) == [("email", "bоb＠exаmple．org")]
     assert found("é call plus four nine one seven zero five five five one two three now") == [
         ("phone", "plus four nine one seven zero five five five one two three")
