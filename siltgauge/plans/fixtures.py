@@ -83,16 +83,11 @@ def dirty(spark: SparkSession, sf_dir: str, kind: str = "all", rate: float = 0.0
 
 
 def stages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Completion times of three stages per event."""
-    key = F.col("event_id")
-    arrived = F.unix_micros(F.col("ts").cast("timestamp"))
-    lags = {}
-    done = arrived
-    for name, limit in (("ingest", 16), ("process", 32), ("store", 46)):
-        done = done + draw(SEED, name, key) % limit * 1000
-        lags[f"t_{name}"] = F.timestamp_micros(done)
-    events = table(spark, sf_dir, "events")
-    return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), *[c.alias(n) for n, c in lags.items()])
+    """Times of an order: placed, first and last shipping of its lines. A line may ship before the order."""
+    shipped = F.col("l_shipdate").cast("timestamp")
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min(shipped).alias("t_first"), F.max(shipped).alias("t_last"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("placed"))
+    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey")
 
 
 def offsets(spark: SparkSession, sf_dir: str, consumed_until: str) -> tuple[DataFrame, DataFrame]:

@@ -301,10 +301,12 @@ alerts AS (SELECT event_type, window_start,
     WHEN coalesce(change_pct < -20, false) THEN 'Throughput dropped by more than 20%'
     WHEN quality_pct = 100 THEN 'All records valid' ELSE 'Processing normally' END AS message FROM changed)"""
 
-_STAGES = f"""lags AS (SELECT event_id, {draw("ingest")} % 16 AS ingest, {draw("process")} % 32 AS process,
-  {draw("store")} % 46 AS store FROM events),
-spans AS (SELECT 'ingest' AS stage, ingest AS ms FROM lags UNION ALL SELECT 'process', process FROM lags
-  UNION ALL SELECT 'store', store FROM lags UNION ALL SELECT 'total', ingest + process + store FROM lags)"""
+_STAGES = """shipped AS (SELECT l_orderkey, min(l_shipdate)::timestamp AS t_first, max(l_shipdate)::timestamp AS t_last
+  FROM lineitem GROUP BY 1),
+times AS (SELECT epoch_ms(o_orderdate::timestamp) AS placed, epoch_ms(t_first) AS t_first, epoch_ms(t_last) AS t_last
+  FROM orders JOIN shipped ON o_orderkey = l_orderkey),
+spans AS (SELECT 'first' AS stage, t_first - placed AS ms FROM times UNION ALL SELECT 'last', t_last - t_first FROM times
+  UNION ALL SELECT 'total', t_last - placed FROM times)"""
 
 
 def _json_kind(value: str) -> str:

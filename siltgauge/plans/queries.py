@@ -196,7 +196,7 @@ def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.batch_counts(synth.with_batch_id(synth_finite(spark, sf_dir), "order_id", 300))
+    return aggregates.batch_counts(synth.with_batch_id(fx.clean(spark, sf_dir), "event_id", 300, start_order_id=0))
 
 
 # --- table-level checks -----------------------------------------------------
@@ -321,8 +321,7 @@ def hourly_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stage_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = {"ingest": "t_ingest", "process": "t_process", "store": "t_store"}
-    return metrics.stage_latency(fx.stages(spark, sf_dir), "ts", steps)
+    return metrics.stage_latency(fx.stages(spark, sf_dir), "placed", {"first": "t_first", "last": "t_last"})
 
 
 @query
