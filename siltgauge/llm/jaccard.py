@@ -17,6 +17,7 @@ No step lists the pairs of a group. What a cluster of m rows costs is (m / block
 from __future__ import annotations
 
 import hashlib
+import math
 from functools import cache
 
 import numpy as np
@@ -33,8 +34,10 @@ from .words import mixed, shingles, word_hashes
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 400_000
 #: Shingles multiplied at a time.
 STRIPE = 4096
-#: Parts beyond those that differences can spoil, so that empty parts need not be compared.
+#: Parts at least beyond those that differences can spoil, so that empty parts need not be compared.
 SPARE = 2
+#: Standard deviations by which the parts exceed the likely number of empty ones.
+CERTAIN = 4.5
 
 
 @cache
@@ -46,29 +49,47 @@ def _class_starts(percent: int) -> np.ndarray:
     return np.array(starts)
 
 
+@cache
+def _part_counts(size_class: int, percent: int) -> tuple[int, int]:
+    """Elements in which two linked sets of the class can differ, and the parts their elements are dealt into.
+
+    Beyond one part more than can be spoiled there are as many as are likely to be empty in the smallest
+    set of the class, so that hardly any set needs keys for its empty parts, which many sets have in common.
+    """
+    starts = _class_starts(percent)
+    largest, smallest = int(starts[size_class + 1]) - 1, int(starts[max(size_class - 1, 0)])
+    differ = (100 - percent) * 2 * largest // (100 + percent)
+    count = differ + 1 + SPARE
+    while True:
+        load = smallest / count
+        empty = count * math.exp(-load)
+        spread = math.sqrt(max(0.0, empty - count * (1 + load) * math.exp(-2 * load)))
+        if count - differ - 1 >= empty + CERTAIN * spread:
+            return differ, count
+        count += 1 + count // 100
+
+
 def parts(hashes: np.ndarray, percent: int) -> np.ndarray:
     """Keys of the parts of a set, for pairs whose larger set is in its own or in the next size class.
 
     Two sets x and y with 100 * |x & y| >= percent * |x | y| differ in at most
-    (100 - percent) * (|x| + |y|) / (100 + percent) elements. With SPARE + 1 parts more than that, more
-    than SPARE parts are equal. Empty parts have no key unless a set has more than SPARE of them.
+    (100 - percent) * (|x| + |y|) / (100 + percent) elements. Of more filled parts than that one is equal
+    in both. Only a set that has no more filled parts has keys for its empty ones, too.
     """
     starts = _class_starts(percent)
     own = int(np.searchsorted(starts, len(hashes), side="right")) - 1
     keys = []
     for size_class in (own, own + 1):
-        largest = int(starts[size_class + 1]) - 1
-        differ = (100 - percent) * 2 * largest // (100 + percent)
+        differ, count = _part_counts(size_class, percent)
         if differ == 0:
             continue
-        count = differ + 1 + SPARE
         place = (hashes % np.uint64(count)).astype(np.int64)
         order = np.argsort(place, kind="stable")
         sizes = np.bincount(place, minlength=count)
         filled = np.flatnonzero(sizes)
         sums = np.zeros(count, dtype=np.uint64)
         sums[filled] = np.add.reduceat(mixed(hashes[order]), (np.cumsum(sizes) - sizes)[filled])
-        named = filled if count - len(filled) <= SPARE else np.arange(count)
+        named = filled if len(filled) > differ else np.arange(count)
         keys.append(mixed(sums[named] + mixed(named.astype(np.uint64) + np.uint64(size_class << 32))))
     return np.concatenate(keys) if keys else np.empty(0, dtype=np.uint64)
 
