@@ -26,8 +26,9 @@ MASKS = [random.Random(n).getrandbits(64) - (1 << 63) for n in range(BANDS * ROW
 #: Shingle hashes of a line that go into its signature: the smallest ones, which similar lines share as they
 #: share all others.
 SKETCH = 32
-#: Lines are not compared if one has less than 3/5 of the characters of the other.
-SHORTEST = 0.6
+#: Lines are not compared if one has less than 3/5 of the different signed shingles of the other; similar
+#: ones have 4/5 of all shingles.
+FEWEST = 0.6
 #: A line with fewer different shingles at word starts than one in so many characters is signed over all.
 SPARSE = 24
 _STARTS = rf"(?s)(?=(.{{{SHINGLE}}}))(?:[^\s\x{{2E80}}-\x{{FFFF}}]++|.)\s*+"
@@ -35,8 +36,8 @@ _EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
 
 
 def signed_shingles(line: str) -> Column:
-    """Hashes of the shingles that a line's signature is taken over, the SKETCH smallest of them; a line
-    below the shingle length is one shingle."""
+    """hashes: the SKETCH smallest hashes of the shingles that a line's signature is taken over, and how many
+    different ones there are in all (n_signed). A line below the shingle length is one shingle."""
 
     def hashed(pattern: str) -> Column:
         found = F.regexp_extract_all(F.col(line), F.lit(pattern), F.lit(1))
@@ -44,16 +45,23 @@ def signed_shingles(line: str) -> Column:
 
     few = F.char_length(line)
     chosen = bound(hashed(_STARTS), lambda found: F.when(F.size(found) * SPARSE < few, hashed(_EVERY)).otherwise(found))
-    return F.when(F.char_length(line) < SHINGLE, F.array(F.xxhash64(line))).otherwise(F.slice(F.sort_array(chosen), 1, SKETCH))
+    chosen = F.when(F.char_length(line) < SHINGLE, F.array(F.xxhash64(line))).otherwise(chosen)
+
+    def sketched(found: Column) -> Column:
+        return F.struct(F.size(found).alias("n_signed"), F.slice(F.sort_array(found), 1, SKETCH).alias("hashes"))
+
+    return bound(chosen, sketched)
 
 
 def with_bands(lines: DataFrame, line: str = "line") -> DataFrame:
-    """The distinct rows of ``lines`` without their line, with ``bands``: a 64-bit key per band.
+    """The distinct rows of ``lines`` without their line, with ``n_signed`` and ``bands``: a 64-bit key per band.
 
     Where ``lines`` come out of an exchange by some of their columns, no further one is needed.
     """
     columns = [c for c in lines.columns if c != line]
-    hashed = lines.select(*columns, F.explode(signed_shingles(line)).alias("_s")).withColumn("_s", F.xxhash64("_s"))
+    signed = lines.select(*columns, signed_shingles(line).alias("_signed"))
+    hashed = signed.select(*columns, F.col("_signed.n_signed").alias("n_signed"), F.explode("_signed.hashes").alias("_s"))
+    hashed, columns = hashed.withColumn("_s", F.xxhash64("_s")), [*columns, "n_signed"]
     least = [F.min(F.col("_s").bitwiseXOR(F.lit(m))).alias(f"_m{n}") for n, m in enumerate(MASKS)]
     bands = [F.xxhash64(F.lit(b), *[f"_m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]
     return hashed.groupBy(*columns).agg(*least).select(*columns, F.array(*bands).alias("bands"))
@@ -112,9 +120,9 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "ref", (F.col("_n") + 1).alias("number"))
     every = pieces.select(place.alias("place"), F.unhex(F.md5("line")).alias("key"), "line")
     first = every.groupBy("key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("line").alias("line"))
-    unique = with_bands(first.select("key", "first.*", "n", F.char_length("line").alias("length"), "line"))
+    unique = with_bands(first.select("key", "first.*", "n", "line"))
     place = F.struct("nameless", "doc_id", "ref", "number").alias("first")
-    unique = landed(unique.select("key", place, "n", "length", "bands", F.xxhash64("key").alias("node")), "unique")
+    unique = landed(unique.select("key", place, "n", "n_signed", "bands", F.xxhash64("key").alias("node")), "unique")
     dealt = unique.select("node", F.explode("bands").alias("band"))
     met = dealt.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
     met = landed(met, "bands")
@@ -122,14 +130,14 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     near = dealt.join(met, "band").select("node", ends).where("node != end")
     near = landed(near.select(F.least("node", "end").alias("x"), F.greatest("node", "end").alias("y")).distinct(), "near")
     nodes = near.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    known = landed(unique.select("node", "key", "first", "length").join(nodes, "node"), "known")
+    known = landed(unique.select("node", "key", "first", "n_signed").join(nodes, "node"), "known")
     texts = landed(_texts(docs, known.select("key", "first.doc_id", "first.ref", "first.number")), "texts").dropDuplicates(["key"])
 
     def keys(node: str, key: str) -> DataFrame:
-        return known.select(F.col("node").alias(node), F.col("key").alias(key), F.col("length").alias(f"length_{key}"))
+        return known.select(F.col("node").alias(node), F.col("key").alias(key), F.col("n_signed").alias(f"n_{key}"))
 
     pairs = near.join(keys("x", "a"), "x").join(keys("y", "b"), "y")
-    alike = F.least("length_a", "length_b") >= SHORTEST * F.greatest("length_a", "length_b")
+    alike = F.least("n_a", "n_b") >= FEWEST * F.greatest("n_a", "n_b")
     pairs = pairs.where(alike).select("a", "b")
     labels = components(landed(verified_links(pairs, texts, percent), "links"))
 
