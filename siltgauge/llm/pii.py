@@ -37,6 +37,8 @@ DIGIT_WORDS = (
 #: Also articles, so they do not show by themselves that digits are spelled.
 VAGUE = ("un",)
 TOP_LEVELS = ("com", "org", "net", "edu", "gov", "info", "io", "co", "de", "fr", "es", "uk", "eu", "us")
+#: Endings that count only after a spelled dot: countries whose code is no common word.
+COUNTRIES = tuple("ae ar au bd bg br ca ch cl cn cz dk ee fi gr hk hr hu id ie il jp ke kr lt lu lv mx my ng nl nz pe ph pk pl pt ro rs ru se sg si sk th tr tw ua vn za".split())
 AT_WORDS, DOT_WORDS, PLUS_WORDS = ("at", "arroba"), ("dot", "punkt", "point", "punto"), ("plus", "más")
 # ---------------------------------------------------------------------------
 
@@ -54,13 +56,15 @@ _at, _dot = "|".join((*AT_WORDS, "@")), "|".join((*DOT_WORDS, r"\."))
 _unit = f"(?:{'|'.join((*SPELLED, *DOT_WORDS, '[0-9]+'))})"
 _dots = "|".join(DOT_WORDS)
 BRACKETED = re.compile(rf"[\[({{<]\x20?(?:(?P<at>{_at})|(?:{_dot}))\x20?[\])}}>]\x20?", re.IGNORECASE)
-#: A name, the bare word at (or the sign), and labels joined by the bare word dot (or points) up to a
-#: top-level domain.
-BARE = re.compile(
-    rf"(?<=[a-z0-9])(?:\x20(?:{'|'.join(AT_WORDS)})\x20|@)[a-z0-9-]+(?:(?:\x20(?:{_dots})\x20|\.)[a-z0-9-]+)*?"
-    rf"(?:\x20(?:{_dots})\x20|\.)(?:{'|'.join(TOP_LEVELS)})(?![\w.-])",
-    re.IGNORECASE,
+#: A name and the bare word at (or the sign).
+BARE_AT = re.compile(rf"(?<=[a-z0-9])(?:\x20(?:{'|'.join(AT_WORDS)})\x20|@)(?=[a-z0-9-])", re.IGNORECASE)
+_labels = rf"[a-z0-9-]+(?:(?:\x20(?:{_dots})\x20|\.)[a-z0-9-]+)*"
+#: What follows it: labels joined by the bare word dot (or points) up to the last known ending, or up to any
+#: label of letters after the bare word.
+BARE_HOST = re.compile(
+    rf"{_labels}(?:\x20(?:{_dots})\x20(?:{'|'.join((*TOP_LEVELS, *COUNTRIES))})|\.(?:{'|'.join(TOP_LEVELS)}))(?![\w.-])", re.IGNORECASE
 )
+BARE_ANY = re.compile(rf"{_labels}\x20(?:{_dots})\x20[a-z]{{2,}}(?![\w-]|\.\w)", re.IGNORECASE)
 #: What prose does not have before the word at: a mark or digit inside a name.
 _MADE_UP = re.compile(r"(?=[a-z0-9._%+-]*[0-9._%+-])[a-z0-9._%+-]{1,64}\Z", re.IGNORECASE)
 #: At least seven digit words or numbers in a row.
@@ -172,12 +176,17 @@ def _edits(mapped: str) -> list[tuple[int, int, str]]:
         edits += [(m.start(), m.end(), "") for m in NOTHING.finditer(mapped)]
     lower = mapped.lower()
     if any(f" {word} " in lower for word in (*AT_WORDS, *DOT_WORDS)):
-        for match in BARE.finditer(mapped):
-            parts = list(_BARE_PART.finditer(match[0]))
-            name = mapped[max(0, match.start() - 64) : match.start()].rpartition(" ")[2]
-            if not any(p[1] is None for p in parts) and not _MADE_UP.match(name):
+        for at in BARE_AT.finditer(mapped):
+            name = mapped[max(0, at.start() - 64) : at.start()].rpartition(" ")[2]
+            made_up = _MADE_UP.match(name)
+            # Prose has "at the dot of", so unknown endings need a name that prose does not have.
+            host = BARE_HOST.match(mapped, at.end()) or made_up and BARE_ANY.match(mapped, at.end())
+            if not host:
+                continue
+            parts = list(_BARE_PART.finditer(mapped, at.start(), host.end()))
+            if not any(p[1] is None for p in parts) and not made_up:
                 continue  # "look at example.com" is prose
-            edits += [(match.start() + p.start(), match.start() + p.end(), "@" if p[1] else ".") for p in parts]
+            edits += [(p.start(), p.end(), "@" if p[1] else ".") for p in parts]
     words = lower.replace(",", " ").replace("-", " ").split()
     if sum(map(CLEAR.__contains__, words)) >= 3:
         for match in DIGIT_RUN.finditer(mapped):
@@ -204,18 +213,23 @@ def _digits(run: re.Match) -> list[tuple[int, int, str]]:
 
 
 def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans that only the normalised text shows, in source characters; none overlaps a base span."""
+    """Spans that only the normalised text shows, in source characters; none lies inside a base span, but one
+    may hold base spans, which are fragments of it."""
     normal = Normalised(text)
     if not normal.changed:
         return []
-    taken = [(start, end) for start, _, end in base]
-    found = []
+    found: list[tuple[int, int, int]] = []
+    base_ends: list[tuple[int, int]] = []  # starts of base spans in order, and the farthest end so far
+    for start, _, end in base:
+        base_ends.append((start, max(end, base_ends[-1][1] if base_ends else 0)))
+    done = 0  # the farthest end of what is found; starts are in order
     for start, kind, end in identifiers(normal.text):
         begin, stop = normal.source(start, end)
+        before = bisect_right(base_ends, (begin, len(text))) - 1
         # A card or address made of rewritten digits only counts once, under the first kind that takes it.
-        if not any(a < stop and begin < b for a, b in taken):
+        if begin >= done and (before < 0 or base_ends[before][1] < stop):
             found.append((begin, kind, stop))
-            taken.append((begin, stop))
+            done = stop
     return found
 
 

@@ -85,3 +85,26 @@ def test_rows(spark):
         assert (r.spans, r.base_sha256) == (listed, hashlib.sha256(listed.encode()).hexdigest())
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == n for _, k, _ in spans) for n in range(4)]
     assert pii.find_personal_data(docs.limit(0)).collect() == []
+
+
+def test_fragments_do_not_hide_the_whole():
+    for text, whole in [
+        ("to jоhn.doe@example.com now", ("email", "jоhn.doe@example.com")),
+        ("to john.doe@mail.example[dot]com now", ("email", "john.doe@mail.example[dot]com")),
+        ("to john.doe@example.cоm now", ("email", "john.doe@example.cоm")),
+        ("call +44 20 7946 01 two three four", ("phone", "+44 20 7946 01 two three four")),
+    ]:
+        assert pii.identifiers(text), text
+        assert found(text) == [whole]
+        assert pii.examine(text)[-1] == 1 and sum(pii.examine(text)[:4]) == 1
+
+
+def test_base_spans_are_not_repeated():
+    assert found("é a@b.co, +1 743 555 3824 and c [at] d.org, 1.2.3.4") == [("email", "c [at] d.org")]
+
+
+def test_any_ending_after_a_spelled_dot():
+    for ending in ("ch", "it", "nl", "ca", "at", "museum"):
+        assert found(f"or jane.doe at firma dot {ending} today") == [("email", f"jane.doe at firma dot {ending}")]
+    assert found("or jane at mail dot firma dot nl, yes") == [("email", "jane at mail dot firma dot nl")]
+    assert found("write jane at example dot com dot yes") == [("email", "jane at example dot com")]
