@@ -113,3 +113,32 @@ def test_main_path_is_native(spark, made_up):
     frame = spark.createDataFrame(made_up[:20], "doc_id long, text string")
     plan = lines.deduplicate_lines(frame)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def brute_twins(docs):
+    """What goes of pairs of documents of one line each, of which only the two of a pair are similar."""
+    gone = set()
+    for (_, one), (i, two) in zip(docs[::2], docs[1::2], strict=True):
+        a, b = shingles(one), shingles(two)
+        if 10 * len(a & b) >= 8 * len(a | b):
+            gone.add(((False, i), two, 1))
+    return gone
+
+
+def test_long_lines_at_the_threshold_are_found(spark):
+    draw = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def word(size):
+        return "".join(draw.choice(letters) for _ in range(size))
+
+    docs = []
+    for n in range(400):
+        words = [word(20) for _ in range(12)]
+        # Every third word differs in its first letter.
+        other = [word(1) + w[1:] if k % 3 == 0 else w for k, w in enumerate(words)]
+        docs += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(other))]
+    want, found = brute_twins(docs), removed(spark, docs)
+    assert len(want) >= 300
+    assert found <= want
+    assert len(found) >= 0.97 * len(want)
