@@ -4,8 +4,11 @@ The signature of a line is taken over all its character shingles. The hash funct
 exclusive-ors of a hash with fixed random masks, whose minimums are what the line keeps of them, ROWS to a
 band. Equal lines are one line before any of this, so a frequent line is signed once.
 
-Lines that share a band are compared with the first and the last line of the band by the Jaccard
-similarity of all their shingles. So a band of m lines gives less than 2 * m pairs.
+Lines that share a band are compared by the Jaccard similarity of all their shingles: first with the first
+and the last line of the band, which joins groups of near copies of any size with less than 2 * m pairs for
+m lines. Bands that still hold lines of several components are then cut into blocks, and in every two
+blocks of a band all lines of different components are compared. So of the lines of a band every two
+are compared or already joined.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ SHINGLE = 5
 #: are no independent functions, 0.99 of simulated pairs do (0.99 at 20 and 45 shingles, more than 0.99 at 200).
 BANDS, ROWS = 14, 4
 MASKS = [random.Random(n).getrandbits(64) - (1 << 63) for n in range(BANDS * ROWS)]
+#: A block of a band holds about so many lines and shingles at most; more make a band several blocks.
+BLOCK_LINES, BLOCK_SHINGLES = 256, 200_000
 
 
 def with_bands(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -86,6 +91,42 @@ def verified_links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFram
     return both.where(bound(sets, lambda s: similar(s["a"], s["b"], percent))).select("a", "b")
 
 
+def block_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b (keys) of similar lines of different components that share a band.
+
+    ``members``: band, key, component, n_shingles. A line is found in as many blocks as its band has.
+    """
+    chunks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_LINES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+    shape = landed(members.groupBy("band").agg(chunks.alias("chunks")), "shape")
+    chunk = F.pmod(F.xxhash64("key", F.lit(1)), F.col("chunks")).cast("int").alias("chunk")
+    placed = members.join(shape, "band").select("band", "key", "component", "chunks", chunk)
+    placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    low, high = F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
+    placed = placed.join(texts, "key").select("band", low, high, F.struct("key", "component", "chunk", "line").alias("member"))
+    # A number of parts by setting: to compare costs more than the few bytes of a block show.
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = placed.repartition(parts, "band", "low", "high").groupBy("band", "low", "high").agg(F.collect_list("member").alias("members"))
+
+    def with_hashes(m: Column) -> Column:
+        return F.struct(*[m[c].alias(c) for c in ("key", "component", "chunk")], shingle_hashes(m["line"]).alias("hashes"))
+
+    def linked(members: Column) -> Column:
+        def partners(a: Column) -> Column:
+            def alike(b: Column) -> Column:
+                apart = (a["key"] < b["key"]) & (a["component"] != b["component"])
+                apart = apart & ((F.col("low") == F.col("high")) | (a["chunk"] != b["chunk"]))
+                return apart & similar(a["hashes"], b["hashes"], percent)
+
+            return F.transform(F.filter(members, alike), lambda b: F.struct(a["key"].alias("a"), b["key"].alias("b")))
+
+        return F.flatten(F.transform(members, partners))
+
+    found = blocks.select(F.explode(bound(F.transform("members", with_hashes), linked)).alias("link"))
+    links = landed(found.select("link.*").distinct(), "links")
+    discard(shape)
+    return links
+
+
 def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, ref, removed: the numbers (from 1) of the lines to remove per document of ``docs``
     (doc_id, text, ref)."""
@@ -97,7 +138,7 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     place = F.struct("nameless", "doc_id", "ref", "number").alias("first")
     unique = landed(unique.select("key", place, "n", "n_shingles", "bands", F.xxhash64("key").alias("node")), "unique")
     dealt = unique.select("node", F.explode("bands").alias("band"))
-    met = dealt.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
+    met = dealt.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).where("low != high")
     met = landed(met, "bands")
     ends = F.explode(F.array("low", "high")).alias("end")
     near = dealt.join(met, "band").select("node", ends).where("node != end")
@@ -116,6 +157,16 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     links = landed(verified_links(pairs, texts, percent), "links")
     labels = components(links)
 
+    # Of up to three lines every two have been compared.
+    component = F.coalesce("component", "key").alias("component")
+    grouped = known.select("node", "key", "n_shingles").join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
+    members = dealt.join(met.where("n > 3").select("band"), "band").join(grouped.select("node", "key", "n_shingles", component), "node")
+    members = landed(members.select("band", "key", "component", "n_shingles"), "members")
+    mixed = members.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low != _high")
+    more = block_links(landed(members.join(mixed.select("band"), "band"), "mixed"), texts, percent)
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
+
     # Of a component, and of equal lines, the first place stays.
     joined = unique.select("key", "first", "n").join(labels.withColumnRenamed("node", "key"), "key", "left")
     joined = landed(joined.where("n > 1 or component is not null"), "joined")
@@ -124,7 +175,7 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     joined = landed(joined.select(F.col("key"), F.coalesce("_kept", "first").alias("kept")), "joined")
     gone = every.select("key", "place").join(joined, "key").where("place != kept").select("place.doc_id", "place.ref", "place.number")
     removed = landed(gone.groupBy("doc_id", "ref").agg(F.sort_array(F.collect_set("number")).alias("removed")), "removed")
-    for done in (unique, met, near, known, joined):
+    for done in (unique, met, near, known, members, joined):
         discard(done)
     return removed
 

@@ -115,6 +115,25 @@ def test_main_path_is_native(spark, made_up):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
+def test_twins_in_a_large_family_are_found(spark):
+    draw = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def word(size):
+        return "".join(draw.choice(letters) for _ in range(size))
+
+    # Lines of 46 shingles, 0.67 alike in the family and 0.9 alike in pairs.
+    template = word(40)
+    docs = []
+    for n in range(600):
+        own = word(7)
+        docs += [(2 * n, f"{template} {own}x{word(1)}"), (2 * n + 1, f"{template} {own}y{word(1)}")]
+    want, found = brute_twins(docs), removed(spark, docs)
+    assert len(want) == 600
+    assert found <= want
+    assert len(found) >= 0.98 * len(want)
+
+
 def brute_twins(docs):
     """What goes of pairs of documents of one line each, of which only the two of a pair are similar."""
     gone = set()
