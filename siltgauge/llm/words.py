@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -10,6 +11,8 @@ _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _SPACES = np.array([b in b" \t\n\x0b\x0c\r" for b in range(256)])
 _MARKS = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
+#: A-Z as a-z, and a space for every ASCII byte that is no letter or digit.
+_FOLDED = bytes(b" "[0] if _MARKS[b] else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -82,3 +85,20 @@ def shingles(words: np.ndarray, length: int) -> np.ndarray:
     if not len(words):
         return words
     return np.unique(runs(words, min(length, len(words))))
+
+
+def folded_words(text: str, piece: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words between ASCII marks and controls, A-Z as a-z, as UTF-8: lists of the words of ``piece`` bytes at a
+    time (more only where one word is longer), so that a very long text never stands as one list."""
+    data = text.encode("utf-8", "surrogatepass").translate(_FOLDED)
+    start = 0
+    while start < len(data):
+        end = len(data)
+        if end - start > piece:
+            end = data.rfind(b" ", start, start + piece)
+            if end < 0:
+                end = data.find(b" ", start + piece)
+            if end < 0:
+                end = len(data)
+        yield data[start:end].split()
+        start = end + 1
