@@ -79,3 +79,34 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
     base_failed, NOT base_failed AND NOT (rejected AND failed) AS kept
 FROM h JOIN verdict v ON v.source IS NOT DISTINCT FROM h.source
 """
+
+OP13 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+    FROM documents
+), totals AS (
+    SELECT count(*) AS n_all, sum(len(ws))::BIGINT AS n_terms FROM d WHERE len(ws) > 0
+), p AS (
+    SELECT rid, doc_id, n, term, count(*) AS tf
+    FROM (SELECT rid, doc_id, len(ws) AS n, unnest(ws) AS term FROM d) GROUP BY rid, doc_id, n, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * n_all + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, totals GROUP BY term, n_all
+), q AS (
+    SELECT iid, item_id, term, count(*) AS times
+    FROM (
+        SELECT iid, item_id, unnest(regexp_extract_all(
+            translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT row_number() OVER () AS iid, item_id, coalesce(text, '') AS t FROM benchmark)
+    ) GROUP BY iid, item_id, term
+), scores AS (
+    SELECT iid, item_id, rid, doc_id,
+        sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_all) // n_terms))))::BIGINT AS score
+    FROM q JOIN p USING (term) JOIN weights USING (term), totals GROUP BY iid, item_id, rid, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0
+)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 20
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, jaccard, lines, mixing, oracle, pii, quality, secrets, tokens, warc
+from . import decontaminate, html, jaccard, lexical, lines, mixing, oracle, pii, quality, resample, secrets, tokens, transducer, warc
 from ..session import scratch_dir
 from .common import table
 
@@ -18,6 +18,7 @@ LLM_ORACLE: dict[str, str] = {
     "op5_ngram_join": oracle.OP5,
     "op6_warc": oracle.OP6,
     "op7_quality_rules": oracle.OP7,
+    "op13_lexical_search": oracle.OP13,
 }
 
 
@@ -63,6 +64,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.transcode(table(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
@@ -74,4 +87,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_source_mix": op8_source_mix,
     "op9_main_text": op9_main_text,
     "op10_line_dedup": op10_line_dedup,
+    "op11_importance_resample": op11_importance_resample,
+    "op12_bpe_transducer": op12_bpe_transducer,
+    "op13_lexical_search": op13_lexical_search,
 }

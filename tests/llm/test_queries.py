@@ -7,7 +7,7 @@ from siltgauge.llm.queries import LLM_ORACLE, LLM_QUERIES
 
 def test_all_are_registered():
     assert set(LLM_QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert {name.split("_")[0] for name in LLM_QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in LLM_QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(LLM_ORACLE) <= set(LLM_QUERIES)
 
 
