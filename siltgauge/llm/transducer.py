@@ -46,8 +46,10 @@ _LETTERS, _OTHERS = regex.compile(r"\p{L}*"), regex.compile(rf"[^{SPACE}\p{{L}}\
 
 #: Characters that go in at a time, that may wait without a space, and symbols that an open word takes up at a time.
 PIECE, HOLD, STEP = 1 << 16, 1 << 12, 1 << 11
+#: Symbols up to which looking through all pairs beats a heap.
+SHORT = 40
 #: Words that a worker remembers.
-MEMORY = 200_000
+MEMORY = 400_000
 
 
 class Merges:
@@ -72,6 +74,8 @@ class Merges:
         """What the merges leave of the symbols: lowest rank first, of equal ones the leftmost."""
         parts: list[str | None] = list(symbols)
         n, rank = len(parts), self.ranks.get
+        if n <= SHORT:
+            return self._short(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i) for i in range(n - 1) if (r := rank((parts[i], parts[i + 1]))) is not None]
         heapq.heapify(heap)
@@ -92,9 +96,24 @@ class Merges:
                 heapq.heappush(heap, (r, h))
         return [p for p in parts if p is not None]
 
+    def _short(self, parts: list[str]) -> list[str]:
+        """The same for few symbols, of which all ranks are looked through for the lowest."""
+        rank = self.ranks.get
+        none = len(self.ranks)
+        found = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        while found and (lowest := min(found)) < none:
+            i = found.index(lowest)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del found[i]
+            if i < len(found):
+                found[i] = rank((parts[i], parts[i + 1]), none)
+            if i:
+                found[i - 1] = rank((parts[i - 1], parts[i]), none)
+        return parts
+
     def symbols(self, word: str, last: bool = True) -> list[str]:
         """The byte letters of a word; with the mark of its end on the last one."""
-        letters = [self.letters[b] for b in word.encode()]
+        letters = list(word) if word.isascii() and word.isalpha() else [self.letters[b] for b in word.encode()]
         if last and letters:
             letters[-1] += self.suffix
         return letters
@@ -184,7 +203,7 @@ class _Words(dict):
 
 @cache
 def joining() -> frozenset[str]:
-    """Characters that the normal form may put together with those before them."""
+    """A few hundred characters that the normal form may put together with those before them."""
     found = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}
     for c in map(chr, range(sys.maxunicode + 1)):
         if unicodedata.combining(c):
@@ -205,9 +224,14 @@ def normal(text: str) -> str:
 class Encoder:
     """Token ids of one text after another, each fed in pieces and finished."""
 
-    def __init__(self, merges: Merges, lookahead: int) -> None:
+    def __init__(self, merges: Merges, lookahead: int, back: frozenset[str] | None = None) -> None:
         self.merges, self.lookahead = merges, lookahead
+        self.back = joining() if back is None else back
         self.words = _Words(merges)
+        self.start()
+
+    def start(self) -> None:
+        """A new text begins, whatever became of the one before."""
         self.raw = self.text = ""
         self.open: OpenWord | None = None
         self.going = _LETTERS
@@ -215,8 +239,7 @@ class Encoder:
     def feed(self, piece: str) -> list[int]:
         self.raw += piece
         end = len(self.raw) - 1
-        back = joining()
-        while end > 0 and self.raw[end] in back:
+        while end > 0 and self.raw[end] in self.back:
             end -= 1
         if end <= 0:
             return []
@@ -336,34 +359,48 @@ def strange(path: str) -> str:
 class Coder:
     """Whole texts to ids in pieces, with the strings that the library takes out first."""
 
-    def __init__(self, path: str, lookahead: int, odd: str) -> None:
+    def __init__(self, path: str, lookahead: int, odd: str, back: frozenset[str] | None = None) -> None:
         self.merges = Merges(path)
-        self.encoder = Encoder(self.merges, lookahead)
+        self.encoder = Encoder(self.merges, lookahead, back)
         self.odd = re.compile(odd)
+        self.safe: set[str] = set()
         self.library = Tokenizer.from_file(path)
         added = sorted(self.merges.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
 
+    def _strange(self, text: str) -> bool:
+        new = set(text) - self.safe
+        odd = {c for c in new if self.odd.match(c)}
+        self.safe |= new - odd
+        return bool(odd)
+
     def pieces(self, text: str) -> Iterator[list[int]]:
         """The ids of a text as the library gives them, some at a time.
 
         A text with a code point that :func:`strange` names goes through the library itself, as a whole.
         """
-        if not text.isascii() and self.odd.search(text):
+        if not text.isascii() and self._strange(text):
             yield self.library.encode(text, add_special_tokens=False).ids
             return
         for n, part in enumerate(self.cut.split(text) if self.cut else [text]):
             if n % 2:
                 yield [self.merges.added[part]]
                 continue
+            self.encoder.start()
             for start in range(0, len(part), PIECE):
                 yield self.encoder.feed(part[start : start + PIECE])
             yield self.encoder.finish()
 
 
-def _shared(docs: DataFrame, path: str) -> tuple[int, str]:
-    """The lookahead and the code points to leave to the library: worked out once, by the driver."""
-    return Merges(path).lookahead(), strange(path)
+def _shared(path: str) -> tuple[int, str, frozenset[str]]:
+    """What a coder has to know of the file and of Unicode: worked out once, by the driver."""
+    return Merges(path).lookahead(), strange(path), joining()
+
+
+@cache
+def _coder(path: str, lookahead: int, odd: str, back: frozenset[str]) -> Coder:
+    """One coder per worker: the words it remembers serve all tasks that the worker runs."""
+    return Coder(path, lookahead, odd, back)
 
 
 CODED = T.StructType().add("n_tokens", T.LongType())
@@ -380,11 +417,11 @@ def transcode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: s
     final goes into the digests. A NULL text counts as empty, a NULL id stays NULL, repeated rows give repeated
     results, an empty table an empty one. Texts are never cut off. Other columns do not matter.
     """
-    lookahead, odd = _shared(docs, path)
+    known = _shared(path)
 
     @F.pandas_udf(CODED)
     def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        coder = Coder(path, lookahead, odd)
+        coder = _coder(path, *known)
         decoder = Decoder(coder.merges)
         for texts in batches:
             rows = []
@@ -406,11 +443,11 @@ def transcode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: s
 
 def encode(docs: DataFrame, path: str, *, text_col: str = "text") -> DataFrame:
     """``docs`` with a column ``ids`` (a caller's one is replaced); see :func:`transcode` for odd rows."""
-    lookahead, odd = _shared(docs, path)
+    known = _shared(path)
 
     @F.pandas_udf("array<int>")
     def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = Coder(path, lookahead, odd)
+        coder = _coder(path, *known)
         for texts in batches:
             yield pd.Series([np.fromiter(chain.from_iterable(coder.pieces(t)), dtype=np.int32) for t in texts], dtype=object)
 
