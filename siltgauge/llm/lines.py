@@ -1,48 +1,70 @@
 """Near-duplicate lines over all documents: MinHash bands, exact verification, one line per component.
 
-The signature of a line is taken over all its character shingles. The hash functions of MinHash are
-exclusive-ors of a hash with fixed random masks, whose minimums are what the line keeps of them, ROWS to a
-band. Equal lines are one line before any of this, so a frequent line is signed once.
-
-Lines that share a band are compared by the Jaccard similarity of all their shingles: first with the first
-and the last line of the band, which joins groups of near copies of any size with less than 2 * m pairs for
-m lines. Bands that still hold lines of several components are then cut into blocks, and in every two
-blocks of a band all lines of different components are compared. So of the lines of a band every two
-are compared or already joined.
+The signature of a line is taken over all its character shingles by one permutation: the hashes are sorted,
+their range is cut into BINS, and a bin's minimum is the first hash from its lower border on, that of a bin
+further on where it is empty, in a circle. ROWS neighbouring minimums make a band. What is shuffled is a
+line's digest, its place and its bands, never its text; equal lines are one line from then on.
+
+Lines that share a band are compared by the Jaccard similarity of all their shingles. First every line meets
+one line, the smallest of all bands it is in, which joins groups of near copies of any size with one
+comparison a line. In bands that hold lines of several components even then, all lines of different
+components are compared, in blocks. So of the lines of a band every two are compared or already joined. Only
+the texts of lines that are compared are read again.
 """
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settings
 from .common import discard, landed, whole_text
 from .components import components
 
 SHINGLE = 5
-#: Lines of similarity s share a band with probability 1 - (1 - s ** ROWS) ** BANDS: 0.999 at 0.8. As the masks
-#: are no independent functions, 0.99 of simulated pairs do (0.99 at 20 and 45 shingles, more than 0.99 at 200).
-BANDS, ROWS = 14, 4
-MASKS = [random.Random(n).getrandbits(64) - (1 << 63) for n in range(BANDS * ROWS)]
+#: Lines of many shingles and similarity s share a band with probability 1 - (1 - s ** ROWS) ** BANDS: 0.995 at
+#: 0.8. Lines of few shingles share one more often, as their bins have minimums in common.
+BANDS, ROWS = 10, 4
+BINS = BANDS * ROWS
+BORDERS = [(n << 64) // BINS - (1 << 63) for n in range(BINS)]
 #: A block of a band holds about so many lines and shingles at most; more make a band several blocks.
 BLOCK_LINES, BLOCK_SHINGLES = 256, 200_000
+#: Bits of a filter that spares rows a shuffle. Its size is fixed; it lets more through as it fills.
+FILTER_BITS = 1 << 25
 
 
 def with_bands(lines: DataFrame, line: str = "line") -> DataFrame:
-    """The distinct rows of ``lines`` without their line, with ``n_shingles`` (different ones) and ``bands``: a
-    64-bit key per band.
+    """``lines`` with ``bands``, a 64-bit key per band, in place of their line.
 
-    Where ``lines`` come out of an exchange by some of their columns, no further one is needed.
+    A border stands behind as many hashes as are below it and as many borders as come before it, so where it
+    stands among both tells the minimum of its bin.
     """
     columns = [c for c in lines.columns if c != line]
-    hashed = lines.select(*columns, shingle_hashes(line).alias("_hashes"))
-    hashed = hashed.select(*columns, F.size("_hashes").alias("n_shingles"), F.explode("_hashes").alias("_s"))
-    columns = [*columns, "n_shingles"]
-    least = [F.min(F.col("_s").bitwiseXOR(F.lit(m))).alias(f"_m{n}") for n, m in enumerate(MASKS)]
+    hashed = lines.select(*columns, every_hash(F.encode(line, "UTF-16BE")).alias("_h"))
+    hashed = hashed.select(*columns, F.sort_array("_h").alias("_h"))
+    hashed = hashed.select(*columns, "_h", F.sort_array(F.concat("_h", F.array(*[F.lit(b) for b in BORDERS]))).alias("_m"))
+
+    def least(n: int) -> Column:
+        below = F.array_position("_m", F.lit(BORDERS[n])).cast("int") - (n + 1)
+        return F.get("_h", below % F.size("_h"))
+
+    hashed = hashed.select(*columns, *[least(n).alias(f"_m{n}") for n in range(BINS)])
     bands = [F.xxhash64(F.lit(b), *[f"_m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]
-    return hashed.groupBy(*columns).agg(*least).select(*columns, F.array(*bands).alias("bands"))
+    return hashed.select(*columns, F.array(*bands).alias("bands"))
+
+
+def fixed_filter(keys: DataFrame, key: str) -> DataFrame:
+    """word, bits: a bit for every 64-bit key, in FILTER_BITS / 64 rows at most."""
+    bit = F.pmod(F.col(key), F.lit(FILTER_BITS))
+    bits = keys.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(`{key}`, {FILTER_BITS}) AS INT) & 63)").alias("bit"))
+    return bits.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def passing(rows: DataFrame, key: str, words: DataFrame) -> DataFrame:
+    """The rows whose key may be in the filter: all that are, and few others."""
+    word = F.shiftright(F.pmod(F.col(key), F.lit(FILTER_BITS)), 6)
+    held = F.expr(f"(shiftrightunsigned(bits, cast(pmod(`{key}`, {FILTER_BITS}) AS INT) & 63) & 1) = 1")
+    return rows.join(F.broadcast(words), word == F.col("word")).where(held).drop("word", "bits")
 
 
 def similar(a: Column, b: Column, percent: int = 80) -> Column:
@@ -55,13 +77,15 @@ def similar(a: Column, b: Column, percent: int = 80) -> Column:
 
 def shingle_hashes(line: str | Column) -> Column:
     """Distinct hashes of all shingles of a line, taken in UTF-16, of which any piece is found at once."""
-    size = 2 * SHINGLE
+    units = F.encode(F.col(line) if isinstance(line, str) else line, "UTF-16BE")
+    return bound(units, lambda u: F.array_distinct(every_hash(u)))
 
-    def of(units: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.octet_length(units) - size + 1, F.lit(1)), F.lit(2))
-        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(units, i, F.lit(size)))))
 
-    return bound(F.encode(F.col(line) if isinstance(line, str) else line, "UTF-16BE"), of)
+def every_hash(units: Column) -> Column:
+    """A hash per place of a shingle in a line given in UTF-16."""
+    size = 2 * SHINGLE
+    starts = F.sequence(F.lit(1), F.greatest(F.octet_length(units) - size + 1, F.lit(1)), F.lit(2))
+    return F.transform(starts, lambda i: F.xxhash64(F.substring(units, i, F.lit(size))))
 
 
 def bound(value: Column, use) -> Column:
@@ -73,20 +97,11 @@ def _split(text: str) -> Column:
     return F.split(F.col(text), "\n", -1)
 
 
-def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """key and line for lines given by key, doc_id, ref and number."""
-    at = places.groupBy("doc_id", "ref").agg(F.collect_list(F.struct("key", "number")).alias("_at"))
-    at = at.withColumnsRenamed({"doc_id": "_id", "ref": "_ref"})
-    found = docs.join(at, F.col("ref").eqNullSafe(F.col("_ref")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    found = found.select(_split("text").alias("_lines"), F.explode("_at").alias("_a"))
-    return found.select("_a.key", F.element_at("_lines", F.col("_a.number")).alias("line"))
-
-
 def verified_links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b (keys) whose lines are similar."""
-    one = texts.select(F.col("key").alias("a"), F.col("line").alias("line_a"))
-    two = texts.select(F.col("key").alias("b"), F.col("line").alias("line_b"))
-    both = pairs.join(one, "a").join(two, "b")
+    """The pairs a, b (keys) of similar lines for pairs x, y of nodes. ``texts``: node, key, line."""
+    one = texts.select(F.col("node").alias("x"), F.col("key").alias("a"), F.col("line").alias("line_a"))
+    two = texts.select(F.col("node").alias("y"), F.col("key").alias("b"), F.col("line").alias("line_b"))
+    both = pairs.join(one, "x").join(two, "y")
     sets = F.struct(*[shingle_hashes(f"line_{c}").alias(c) for c in ("a", "b")])
     return both.where(bound(sets, lambda s: similar(s["a"], s["b"], percent))).select("a", "b")
 
@@ -94,7 +109,8 @@ def verified_links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFram
 def block_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs a, b (keys) of similar lines of different components that share a band.
 
-    ``members``: band, key, component, n_shingles. A line is found in as many blocks as its band has.
+    ``members``: band, key, component, n_shingles (at least as many as there are). A line is found in as many
+    blocks as its band has.
     """
     chunks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_LINES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
     shape = landed(members.groupBy("band").agg(chunks.alias("chunks")), "shape")
@@ -102,7 +118,7 @@ def block_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame
     placed = members.join(shape, "band").select("band", "key", "component", "chunks", chunk)
     placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     low, high = F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
-    placed = placed.join(texts, "key").select("band", low, high, F.struct("key", "component", "chunk", "line").alias("member"))
+    placed = placed.join(texts.select("key", "line"), "key").select("band", low, high, F.struct("key", "component", "chunk", "line").alias("member"))
     # A number of parts by setting: to compare costs more than the few bytes of a block show.
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = placed.repartition(parts, "band", "low", "high").groupBy("band", "low", "high").agg(F.collect_list("member").alias("members"))
@@ -127,55 +143,63 @@ def block_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame
     return links
 
 
+def _lines(docs: DataFrame) -> DataFrame:
+    """place, key, node, line for every line with a word."""
+    pieces = docs.select("doc_id", "ref", F.posexplode(_split("text")).alias("_n", "line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "ref", (F.col("_n") + 1).alias("number"))
+    placed = pieces.select(place.alias("place"), F.unhex(F.md5("line")).alias("key"), "line")
+    return placed.select("place", "key", F.xxhash64("key").alias("node"), "line")
+
+
 def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, ref, removed: the numbers (from 1) of the lines to remove per document of ``docs``
     (doc_id, text, ref)."""
-    pieces = docs.select("doc_id", "ref", F.posexplode(_split("text")).alias("_n", "line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "ref", (F.col("_n") + 1).alias("number"))
-    every = pieces.select(place.alias("place"), F.unhex(F.md5("line")).alias("key"), "line")
-    first = every.groupBy("key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("line").alias("line"))
-    unique = with_bands(first.select("key", "first.*", "n", "line"))
-    place = F.struct("nameless", "doc_id", "ref", "number").alias("first")
-    unique = landed(unique.select("key", place, "n", "n_shingles", "bands", F.xxhash64("key").alias("node")), "unique")
+    spark = docs.sparkSession
+    every = _lines(docs)
+    signed = with_bands(every.select("key", "node", "place", "line"))
+    signed = signed.groupBy("key", "node").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("bands").alias("bands"))
+    # The projections of a signature make one method that is too long to be compiled, if they are fused.
+    with settings(spark, spark__sql__codegen__wholeStage="false"):
+        unique = landed(signed, "unique")
+
+    # Lines by band. Every line of a shared band has its smallest line to meet.
     dealt = unique.select("node", F.explode("bands").alias("band"))
-    met = dealt.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).where("low != high")
-    met = landed(met, "bands")
-    ends = F.explode(F.array("low", "high")).alias("end")
-    near = dealt.join(met, "band").select("node", ends).where("node != end")
-    near = landed(near.select(F.least("node", "end").alias("x"), F.greatest("node", "end").alias("y")).distinct(), "near")
-    nodes = near.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    known = landed(unique.select("node", "key", "first", "n_shingles").join(nodes, "node"), "known")
-    texts = landed(_texts(docs, known.select("key", "first.doc_id", "first.ref", "first.number")), "texts").dropDuplicates(["key"])
-
-    def keys(node: str, key: str) -> DataFrame:
-        return known.select(F.col("node").alias(node), F.col("key").alias(key), F.col("n_shingles").alias(f"n_{key}"))
-
-    pairs = near.join(keys("x", "a"), "x").join(keys("y", "b"), "y")
-    # n_shingles counts what is compared, so this loses no similar pair.
-    alike = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    pairs = pairs.where(alike).select("a", "b")
+    met = dealt.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
+    met = landed(met.select("band", "low"), "bands")
+    shared = landed(fixed_filter(met, "band"), "shared")
+    members = landed(passing(dealt, "band", shared).join(met, "band").select("band", "node", "low"), "members")
+    hubs = landed(members.groupBy("node").agg(F.min("low").alias("hub")), "hubs")
+    known = landed(fixed_filter(hubs, "node"), "known")
+    # The smallest line of a band is in it too, so all that are compared are nodes here.
+    texts = passing(every.select("node", "key", "line"), "node", known).dropDuplicates(["key"])
+    texts = landed(texts.join(hubs.select("node"), "node", "left_semi"), "texts")
+    pairs = hubs.where("node != hub").select(F.col("node").alias("x"), F.col("hub").alias("y"))
     links = landed(verified_links(pairs, texts, percent), "links")
     labels = components(links)
 
-    # Of up to three lines every two have been compared.
-    component = F.coalesce("component", "key").alias("component")
-    grouped = known.select("node", "key", "n_shingles").join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
-    members = dealt.join(met.where("n > 3").select("band"), "band").join(grouped.select("node", "key", "n_shingles", component), "node")
-    members = landed(members.select("band", "key", "component", "n_shingles"), "members")
-    mixed = members.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low != _high")
-    more = block_links(landed(members.join(mixed.select("band"), "band"), "mixed"), texts, percent)
+    named = texts.select("node", "key", F.char_length("line").alias("n_shingles"))
+    named = named.join(labels.withColumnRenamed("node", "key"), "key", "left")
+    named = named.select("node", "key", F.coalesce("component", "key").alias("component"), "n_shingles")
+    labelled = landed(members.select("band", "node").join(named, "node").drop("node"), "labelled")
+    mixed = labelled.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low != _high")
+    mixed = landed(labelled.join(mixed.select("band"), "band"), "mixed")
+    more = block_links(mixed, texts, percent)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
+    for done in (met, shared, members, hubs, known, texts, links, labelled, mixed, more):
+        discard(done)
 
     # Of a component, and of equal lines, the first place stays.
     joined = unique.select("key", "first", "n").join(labels.withColumnRenamed("node", "key"), "key", "left")
-    joined = landed(joined.where("n > 1 or component is not null"), "joined")
+    joined = landed(joined.where("n > 1 or component is not null").select("key", "first", "component"), "joined")
+    discard(unique)
     kept = joined.where("component is not null").groupBy("component").agg(F.min("first").alias("_kept"))
-    joined = joined.join(landed(kept, "kept"), "component", "left")
-    joined = landed(joined.select(F.col("key"), F.coalesce("_kept", "first").alias("kept")), "joined")
-    gone = every.select("key", "place").join(joined, "key").where("place != kept").select("place.doc_id", "place.ref", "place.number")
+    joined = landed(joined.join(kept, "component", "left").select("key", F.coalesce("_kept", "first").alias("kept")), "kept")
+    again = landed(fixed_filter(joined.select(F.xxhash64("key").alias("node")), "node"), "again")
+    gone = passing(every.select("key", "node", "place"), "node", again).join(joined, "key").where("place != kept")
+    gone = gone.select("place.doc_id", "place.ref", "place.number")
     removed = landed(gone.groupBy("doc_id", "ref").agg(F.sort_array(F.collect_set("number")).alias("removed")), "removed")
-    for done in (unique, met, near, known, members, joined):
+    for done in (joined, again):
         discard(done)
     return removed
 
