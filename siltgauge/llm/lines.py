@@ -1,9 +1,9 @@
 """Near-duplicate lines over all documents: MinHash bands, exact verification, one line per component.
 
-The signature of a line is taken over all its character shingles by one permutation: the hashes are sorted,
-their range is cut into BINS, and a bin's minimum is the first hash from its lower border on, that of a bin
-further on where it is empty, in a circle. ROWS neighbouring minimums make a band. What is shuffled is a
-line's digest, its place and its bands, never its text; equal lines are one line from then on.
+The signature of a line is taken over all its character shingles by one permutation: the hashes are sorted and
+their range is cut into BANDS ranges. The ROWS smallest hashes of a range make a band, all of them if there are
+fewer, and the next one further on, in a circle, where there are none. What is shuffled is a line's digest,
+its place and its bands, never its text; equal lines are one line from then on.
 
 Lines that share a band are compared by the Jaccard similarity of all their shingles. First every line meets
 one line, the smallest of all bands it is in, which joins groups of near copies of any size with one
@@ -23,10 +23,9 @@ from .components import components
 
 SHINGLE = 5
 #: Lines of many shingles and similarity s share a band with probability 1 - (1 - s ** ROWS) ** BANDS: 0.995 at
-#: 0.8. Lines of few shingles share one more often, as their bins have minimums in common.
+#: 0.8. Lines of few shingles have fewer than ROWS in a range and share a band more often.
 BANDS, ROWS = 10, 4
-BINS = BANDS * ROWS
-BORDERS = [(n << 64) // BINS - (1 << 63) for n in range(BINS)]
+BORDERS = [(n << 64) // BANDS - (1 << 63) for n in range(BANDS)]
 #: A block of a band holds about so many lines and shingles at most; more make a band several blocks.
 BLOCK_LINES, BLOCK_SHINGLES = 256, 200_000
 #: Bits of a filter that spares rows a shuffle. Its size is fixed; it lets more through as it fills.
@@ -36,21 +35,23 @@ FILTER_BITS = 1 << 25
 def with_bands(lines: DataFrame, line: str = "line") -> DataFrame:
     """``lines`` with ``bands``, a 64-bit key per band, in place of their line.
 
-    A border stands behind as many hashes as are below it and as many borders as come before it, so where it
-    stands among both tells the minimum of its bin.
+    The lower borders of the ranges are sorted among the hashes, so a range is what stands between two of them.
     """
     columns = [c for c in lines.columns if c != line]
-    hashed = lines.select(*columns, every_hash(F.encode(line, "UTF-16BE")).alias("_h"))
-    hashed = hashed.select(*columns, F.sort_array("_h").alias("_h"))
-    hashed = hashed.select(*columns, "_h", F.sort_array(F.concat("_h", F.array(*[F.lit(b) for b in BORDERS]))).alias("_m"))
-
-    def least(n: int) -> Column:
-        below = F.array_position("_m", F.lit(BORDERS[n])).cast("int") - (n + 1)
-        return F.get("_h", below % F.size("_h"))
-
-    hashed = hashed.select(*columns, *[least(n).alias(f"_m{n}") for n in range(BINS)])
-    bands = [F.xxhash64(F.lit(b), *[f"_m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]
-    return hashed.select(*columns, F.array(*bands).alias("bands"))
+    hashed = lines.select(*columns, bound(F.encode(line, "UTF-16BE"), every_hash).alias("_h"))
+    hashed = hashed.select(*columns, F.sort_array(F.concat("_h", F.array(*[F.lit(b) for b in BORDERS]))).alias("_h"))
+    places = [F.array_position("_h", F.lit(b)).cast("int").alias(f"_p{n}") for n, b in enumerate(BORDERS)]
+    hashed = hashed.select("*", *places, (F.size("_h") + 1).alias(f"_p{BANDS}"))
+    firsts = [F.when(F.col(f"_p{n + 1}") > F.col(f"_p{n}") + 1, F.get("_h", F.col(f"_p{n}"))).alias(f"_f{n}") for n in range(BANDS)]
+    hashed = hashed.select("*", *firsts)
+
+    def held(n: int) -> Column:
+        start = F.col(f"_p{n}") + 1
+        some = F.slice("_h", start, F.least(F.col(f"_p{n + 1}") - start, F.lit(ROWS)))
+        following = F.coalesce(*[f"_f{k % BANDS}" for k in range(n + 1, n + BANDS)])
+        return F.when(F.col(f"_f{n}").isNotNull(), F.xxhash64(F.lit(n), some)).otherwise(F.xxhash64(F.lit(n), following))
+
+    return hashed.select(*columns, F.array(*[held(n) for n in range(BANDS)]).alias("bands"))
 
 
 def fixed_filter(keys: DataFrame, key: str) -> DataFrame:
