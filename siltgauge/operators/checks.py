@@ -3,32 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import PAYMENT_RULE, PRODUCT_RULE, REQUIRED_FIELDS
 from .lookup import left_join_skewed
-from .validate import RECORD, field_kind, parse_record
+from .validate import RECORD, aside, field_kind, kept, parse_record
 
-_metric_ids = count(1)
 
-
-def with_text_fields(df: DataFrame, names: Sequence[str], value: str = "value") -> DataFrame:
+def with_text_fields(df: DataFrame, names: Sequence[str], value: str = "value", integers: Sequence[str] = ()) -> DataFrame:
     """Add string fields of the records as columns; NULL where the field is no string.
 
-    One parse per record. ``observe`` keeps later filters on the new columns above it.
+    Of the fields in ``integers``, whole numbers are taken instead, as decimal(38,0): ids of the integer kind, of
+    which 5 and "5" are not the same. One parse per record; filters on other columns reach the scan. Columns of
+    the same names are replaced.
     """
-    parsed = parse_record(df, value)
+    source, back = aside(df, (value,))
     found = [F.try_variant_get(F.col(RECORD), f"$.{n}", "variant").alias(f"_f_{n}") for n in names]
-    texts = [
-        F.when(F.schema_of_variant(F.col(f"_f_{n}")) == "STRING", F.try_variant_get(F.col(f"_f_{n}"), "$", "string"))
-        for n in names
-    ]
-    looked_up = parsed.select("*", *found)
-    read = looked_up.select(*df.columns, *[text.alias(n) for text, n in zip(texts, names)])
-    return read.observe(f"fields_{next(_metric_ids)}", F.count(F.lit(1)).alias("rows"))
+    looked_up = parse_record(source, value).select("*", *found)
+
+    def read(name: str) -> Column:
+        field = F.col(f"_f_{name}")
+        kind = F.schema_of_variant(field)
+        if name not in integers:
+            return F.when(kind == "STRING", F.try_variant_get(field, "$", "string"))
+        whole = F.when((kind == "BIGINT") | kind.startswith("DECIMAL"), F.try_variant_get(field, "$", "decimal(38,0)"))
+        return F.when(json_class(kind) == "integer", whole)
+
+    helpers = (RECORD, *[f"_f_{n}" for n in names])
+    return kept(looked_up, {n: read(n) for n in names}, helpers).withColumnsRenamed(back)
 
 
 # --- product domain ---------------------------------------------------------
@@ -89,16 +93,20 @@ def schema_drift(df: DataFrame, value: str = "value", by: Sequence[str] = ()) ->
 def field_gaps(df: DataFrame, *by: Column | str, value: str = "value") -> DataFrame:
     """One row per ``by``: n_records, and missing_ and null_ counts of every required field. One pass over
     the records of a table or stream."""
-    parsed = parse_record(df, value)
-    kinds = parsed.select(
-        *by, F.col(RECORD).isNotNull().alias("_whole"), *[field_kind(f).alias(f"_kind_{f}") for f in REQUIRED_FIELDS]
-    )
-    keys = [c for c in kinds.columns if c != "_whole" and not c.startswith("_kind_")]
-    return kinds.groupBy(*keys).agg(
-        F.count_if("_whole").alias("n_records"),
-        *[F.count_if(F.col("_whole") & F.col(f"_kind_{f}").isNull()).alias(f"missing_{f}") for f in REQUIRED_FIELDS],
-        *[F.count_if(F.col(f"_kind_{f}") == "VOID").alias(f"null_{f}") for f in REQUIRED_FIELDS],
+    source, back = aside(df, (value,))
+    parsed = parse_record(source, value)
+    away = {old: new for new, old in back.items()}
+    keys = parsed.select(*[away.get(b, b) if isinstance(b, str) else b for b in by]).columns
+    kinds = F.struct(F.col(RECORD).isNotNull().alias("whole"), *[field_kind(f).alias(f"of_{f}") for f in REQUIRED_FIELDS])
+    found = parsed.select(*[away.get(b, b) if isinstance(b, str) else b for b in by], kinds.alias(RECORD))
+    kind = {f: F.col(f"{RECORD}.of_{f}") for f in REQUIRED_FIELDS}
+    whole = F.col(f"{RECORD}.whole")
+    counted = found.groupBy(*[f"`{k}`" for k in keys]).agg(
+        F.count_if(whole).alias("n_records"),
+        *[F.count_if(whole & kind[f].isNull()).alias(f"missing_{f}") for f in REQUIRED_FIELDS],
+        *[F.count_if(kind[f] == "VOID").alias(f"null_{f}") for f in REQUIRED_FIELDS],
     )
+    return counted.withColumnsRenamed(back)
 
 
 def gap_lines(gaps: DataFrame, by: Sequence[str] = ()) -> DataFrame:

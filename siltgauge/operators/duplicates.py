@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import landed
 from .lookup import left_join_skewed
 
 
@@ -40,9 +41,10 @@ def flag_duplicates(df: DataFrame, keys: list[str], order: list[str], flag: str
 
     ``order`` must end in a unique column. NULL keys are never duplicates. No window over
     the key: a key that holds a third of the table would be one task. The first row per key
-    is an aggregate, and the rows meet it in a join that splits frequent keys.
+    is an aggregate, and the rows meet it in a join that splits frequent keys. The aggregate is
+    landed, as three parts of the join read it: the rows themselves are read twice.
     """
-    groups = key_groups(df, keys, order)
+    groups = landed(key_groups(df, keys, order), "groups")
     firsts = groups.where(F.col("_n") > 1).select(*keys, "_first")
     joined = left_join_skewed(df, firsts, keys, order, counts=groups)
     return joined.withColumn(flag, F.coalesce(_place(order) > F.col("_first"), F.lit(False))).drop("_first")

@@ -7,7 +7,6 @@ the ground truth: ``anomaly_category`` and ``anomaly_detail``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import count as counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +32,7 @@ from .records import json_record
 from .sampling import check_fraction, picked_by_rate, picked_exactly
 from .slots import with_slot
 from .synth import check_count, generate_transactions
-
-_metric_ids = counter(1)
+from .validate import kept
 
 NEGATIVE_PRICE = "negative_price"
 NUMERIC_DETAILS = tuple(f"invalid_numeric_negative_{part}" for part in ("price", "quantity", "tax"))
@@ -176,9 +174,8 @@ def inject(
     row position) and ``id_at`` (id of a position) that is arithmetic on the row itself,
     in batch and stream. Without them positions are counted and looked up, batch only.
 
-    The result passes through ``observe``: it reports rows and corrupted rows under the name
-    ``metrics``, and it stops later filters on the text from being pushed into the nested
-    choices that build it, where each reference would repeat all of them.
+    Filters on the caller's columns reach the scan, filters on the new ones stay above. With a name for
+    ``metrics`` the run reports rows and corrupted rows under it; then none reaches the scan.
     """
     check_kind(kind)
     check_fraction(rate)
@@ -209,12 +206,11 @@ def inject(
 
     rows = rows.withColumn("anomaly_detail", _details(seed, row_key, F.col("anomaly_category"), type_field))
     rows = rows.withColumns(_corrupted_values(seed, row_key))
-    shaped = rows.select(*others, _shaped_json().alias(value), "anomaly_category", "anomaly_detail")
-    return shaped.observe(
-        metrics or f"inject_{next(_metric_ids)}",
-        F.count(F.lit(1)).alias("rows"),
-        F.count("anomaly_category").alias("anomalous_rows"),
-    )
+    made = {value: _shaped_json(), **{c: F.col(c) for c in ("anomaly_category", "anomaly_detail")}}
+    shaped = kept(rows, made).select(*[c for c in others if c not in made], *made)
+    if metrics is None:
+        return shaped
+    return shaped.observe(metrics, F.count(F.lit(1)).alias("rows"), F.count("anomaly_category").alias("anomalous_rows"))
 
 
 def generate_anomalous_transactions(

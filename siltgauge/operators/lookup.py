@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import landed
+
 #: rows of one key that one task may get; a more frequent key is spread over as many tasks as that takes
 TASK_ROWS = 1_000_000
 #: frequent keys there can be at most: in larger tables a task may get more rows of a key instead
@@ -41,9 +43,9 @@ def left_join_skewed(
     HOT_KEYS of them, because a task may get total / HOT_KEYS rows of a key in any case. A key that
     shares a hash is spread too, with the same result.
 
-    ``counts`` (keys and ``_n``) may be passed in when the caller has them already.
+    ``counts`` (keys and ``_n``) may be passed in when the caller has landed them already.
     """
-    counts = key_counts(rows, keys) if counts is None else counts
+    counts = landed(key_counts(rows, keys), "counts") if counts is None else counts
     total = counts.agg(F.sum("_n")).scalar()
     most = F.greatest(F.lit(task_rows).cast("double"), total / F.lit(float(HOT_KEYS)))
     hashed = F.xxhash64(*keys).alias("_hash")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import lru_cache
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +11,6 @@ from ..contract import MALFORMED, PAYMENT_RULE, PRODUCT_RULE, REQUIRED_FIELDS, T
 from ..functions.iso8601 import iso8601_timestamp, is_iso8601
 from ..functions.text import is_blank, python_float
 
-_metric_ids = count(1)
-
 RECORD = "_record"
 _TEXTS = ("order_id", "customer_id", "product_id", "payment_method", "timestamp")
 _NUMBERS = ("quantity", "price", "tax_amount")
@@ -63,6 +60,29 @@ def without_fields(df: DataFrame) -> DataFrame:
     return df.drop(*_HELPERS)
 
 
+def kept(df: DataFrame, columns: dict[str, Column], drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with ``columns``, each worked out once per row.
+
+    They pass through a generator, one row for a row: the optimizer leaves filters on them above it, and takes
+    filters on all other columns, and the choice of columns, below.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c not in drop and c not in columns]
+    held = df.select(*others, F.struct(*[c.alias(n) for n, c in columns.items()]).alias(_KEPT))
+    return held.select(*others, F.inline(F.array(_KEPT)).alias(*columns))
+
+
+_KEPT = "_kept"
+#: names that stand for something else while records are read
+_TAKEN = {RECORD, _KEPT, *_HELPERS, *[f"_f_{f}" for f in REQUIRED_FIELDS]}
+
+
+def aside(df: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the caller's columns of taken names renamed, and what brings their names back."""
+    clashing = [c for c in df.columns if c in _TAKEN and c not in keep]
+    away = {c: f"_caller_{n}{'_' * max(map(len, df.columns))}" for n, c in enumerate(clashing)}
+    return (df.withColumnsRenamed(away) if away else df), {new: old for old, new in away.items()}
+
+
 def _is_string(name: str) -> Column:
     return _kind(name) == "STRING"
 
@@ -203,15 +223,25 @@ def validate(
     ``typed`` names fields to be returned with their proper types in a struct column ``record``.
     ``parsed`` names a VARIANT column that holds the record already; it is dropped.
 
-    The result passes through ``observe``: it reports rows and valid rows under the
-    name ``metrics``, and it keeps a later filter on ``errors`` from being pushed below
-    the parse, where it would be evaluated once more per reference.
+    Filters on the caller's columns reach the scan, filters on the new ones stay above the parse. Columns of the
+    caller stay, but for ``errors``, ``is_valid`` and, with ``typed``, ``record``, which are replaced. With a
+    name for ``metrics`` the run reports rows and valid rows under it; it then counts rows before any filter,
+    so none reaches the scan.
     """
-    records = parse_record(df, value) if parsed is None else df.withColumnRenamed(parsed, RECORD)
-    checked = with_fields(records, typed).withColumn("errors", error_list(rules, value))
-    checked = without_fields(checked).withColumn("is_valid", F.size("errors") == 0)
-    return checked.observe(
-        metrics or f"validate_{next(_metric_ids)}",
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("is_valid")).alias("valid_rows"),
-    )
+    source, back = aside(df, (value, parsed))
+    source = source.withColumnRenamed(parsed, RECORD) if parsed is not None else parse_record(source, value)
+    found = with_fields(source.drop("errors", "is_valid", *(["record"] if typed else [])), typed)
+    columns = {"record": F.col("record")} if typed else {}
+    checked = kept(found, {**columns, "errors": error_list(rules, value)}, _HELPERS).withColumnsRenamed(back)
+    checked = checked.withColumn("is_valid", F.size("errors") == 0)
+    if metrics is None:
+        return checked
+    return checked.observe(metrics, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("is_valid")).alias("valid_rows"))
+
+
+def reject_unfit(checked: DataFrame) -> DataFrame:
+    """Rows of ``validate`` with typed fields, of which those with a value outside its type are invalid, too: their
+    errors say so, and no typed table loses a value without a trace."""
+    said = F.transform("record.unfit", lambda f: F.concat(F.lit("Value does not fit its type: "), f))
+    checked = checked.withColumn("errors", F.concat("errors", F.when(F.col("is_valid"), said).otherwise(F.array())))
+    return checked.withColumn("is_valid", F.size("errors") == 0)

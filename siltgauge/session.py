@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -51,6 +51,19 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def landed(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table in the shared folder: worked out once, and there for recomputed tasks."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: str) -> Iterator[None]:
     """Set session options (dots written as ``__``) and put the old values back."""
