@@ -1,104 +1,20 @@
 """Repeated order ids on a stream.
 
-``write_flagged_duplicates`` marks the single rows of a heavy stream against the table it
-writes; ``duplicate_keys_per_window`` and ``drop_stream_duplicates`` run on built-in state.
-``flag_stream_duplicates`` marks rows inside a stream and pays a call into Python for every
-key of a micro-batch.
+``write_flagged_duplicates`` marks the single rows of a stream against an index of all keys so far;
+``duplicate_keys_per_window`` and ``drop_stream_duplicates`` run on built-in state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.duplicates import flag_duplicates
 from ..operators.lookup import left_join_skewed
+from .keyindex import KeyIndex
 
 SALTS = 32
-_UNDECIDED = -1
-
-
-class _FirstOfKey(StatefulProcessor):
-    """Marks every row of a key but the first one ever, which is the smallest of its batch.
-
-    Only that one candidate row is held back while the batch's rows go by.
-    """
-
-    def __init__(self, flag: str, order: str, ttl_ms: int | None) -> None:
-        self._flag = flag
-        self._order = order
-        self._ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("seen", T.BooleanType())])
-        self._seen = handle.getValueState("seen", schema, self._ttl_ms)
-
-    def _marked(self, rows: pd.DataFrame, value: bool) -> pd.DataFrame:
-        return rows.assign(**{self._flag: value})
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        name, route = key
-        if name is None or pd.isna(name):
-            yield from (self._marked(chunk, False) for chunk in rows)
-            return
-        if (route is not None and route < _UNDECIDED) or self._seen.exists():
-            yield from (self._marked(chunk, True) for chunk in rows)
-            return
-        candidate = None
-        for chunk in rows:
-            if candidate is not None:
-                chunk = pd.concat([candidate, chunk], ignore_index=True)
-            if len(chunk) == 0:
-                continue
-            smallest = chunk[self._order].idxmin()
-            candidate = chunk.loc[[smallest]]
-            rest = chunk.drop(index=smallest)
-            if len(rest):
-                yield self._marked(rest, True)
-        if candidate is not None:
-            self._seen.update((True,))
-            yield self._marked(candidate, False)
-
-    def close(self) -> None:
-        pass
-
-
-# Column names must not start with an underscore here: the Python worker renames such columns.
-def _pass(stream: DataFrame, key: str, route: str, flag: str, order: str, ttl_hours: int | None) -> DataFrame:
-    schema = T.StructType([*stream.schema.fields, T.StructField(flag, T.BooleanType())])
-    return stream.groupBy(key, route).transformWithStateInPandas(
-        _FirstOfKey(flag, order, None if ttl_hours is None else ttl_hours * 3_600_000),
-        outputStructType=schema,
-        outputMode="append",
-        timeMode="processingTime",
-    )
-
-
-def flag_stream_duplicates(
-    stream: DataFrame, key: str, order: str, flag: str = "is_duplicate", ttl_hours: int | None = None
-) -> DataFrame:
-    """Mark repeated keys of a stream; ``order`` is a unique column, NULL keys are never marked.
-
-    Two stateful passes. The first is keyed by (key, salt), so a key that holds a third of
-    the stream is worked on by SALTS tasks; it marks every row but the first of its salt.
-    Only those firsts meet under the plain key in the second pass; the rows marked already
-    go through it under their salt. Nothing expires unless
-    ``ttl_hours`` of processing time are given; then later repeats are not seen. Needs the
-    RocksDB state store.
-    """
-    columns = stream.columns
-    salted = stream.withColumn("dup_route", F.pmod(F.xxhash64(order), F.lit(SALTS)).cast("int"))
-    first_pass = _pass(salted, key, "dup_route", "dup_early", order, ttl_hours)
-    # the salt as -2, -3, ... for rows that are settled; -1 where the second pass decides
-    route = F.when(F.col("dup_early") | F.col(key).isNull(), -F.col("dup_route") - 2).otherwise(F.lit(_UNDECIDED))
-    routed = first_pass.select(*columns, route.cast("int").alias("dup_route"))
-    return _pass(routed, key, "dup_route", flag, order, ttl_hours).drop("dup_route")
 
 
 def drop_stream_duplicates(stream: DataFrame, key: str, order: str) -> DataFrame:
@@ -125,38 +41,44 @@ def duplicate_keys_per_window(stream: DataFrame, key: str, time: str, width: str
 
 
 def write_flagged_duplicates(
-    stream: DataFrame, key: str, order: str, path: str, checkpoint: str, flag: str = "is_duplicate"
+    stream: DataFrame,
+    key: str,
+    order: str,
+    path: str,
+    checkpoint: str,
+    flag: str = "is_duplicate",
+    index: str | None = None,
+    parts: int = 16,
+    fanout: int = 4,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write a stream to a table with every repeated key marked; ``order`` is a unique number or timestamp.
 
-    A row is a repeat if its key has an earlier row in the same micro-batch, or a first row in
-    the table from an earlier one. The table is partitioned by batch id and mark, so a batch
-    reads only the first rows before it, and a repeated batch replaces its own partitions.
-    Joins and aggregates split frequent keys as they do on tables, and nothing expires.
+    A row is a repeat if its key has an earlier row in the same micro-batch, or was in an earlier one. That is
+    looked up in a :class:`KeyIndex` in the folder ``index`` (below ``path`` by default, where readers do not
+    look), of which a batch reads what its filters leave, however long the stream has run. Nothing expires. The
+    table is partitioned by batch id, and a repeated batch replaces its own partition and its own keys. Joins and
+    aggregates split frequent keys as they do on tables; rows without a key are never repeats.
     """
-    fields = [*stream.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField(flag, T.StringType())]
-    schema = T.StructType(fields)
+    folder = index or f"{path}/_index"
+    kind = stream.schema[key].dataType
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        marked = flag_duplicates(batch, [key], [order], flag)
-        if batch_id > 0:
-            # partition values are text; comparing them as text prunes the other folders
-            table = batch.sparkSession.read.schema(schema).parquet(path)
-            first = (F.col(flag) == "false") & (F.col("batch_id") < batch_id) & F.col(key).isNotNull()
-            seen = table.where(first).select(key, F.lit(True).alias("_seen"))
-            marked = left_join_skewed(marked, seen, [key], [order])
-            marked = marked.withColumn(flag, F.col(flag) | F.col("_seen").isNotNull()).drop("_seen")
-        (
-            marked.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id", flag)
-            .parquet(path)
-        )
-
-    return (
-        stream.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        spark = batch.sparkSession
+        keys = KeyIndex(spark, folder, key, kind, parts, fanout)
+        keys.tidy(batch_id)
+        runs = keys.runs_before(batch_id)
+        marked = flag_duplicates(batch, [key], [order], flag).persist()
+        try:
+            firsts = keys.hashed(marked.where(~F.col(flag)))
+            seen, read = keys.lookup(firsts, runs)
+            known = left_join_skewed(marked, seen.withColumn("_seen", F.lit(True)), [key], [order])
+            known = known.withColumn(flag, F.col(flag) | F.col("_seen").isNotNull()).drop("_seen")
+            writer = known.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+            writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+            keys.add(batch_id, firsts.join(seen, key, "left_anti"), runs, read)
+        finally:
+            marked.unpersist()
+
+    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
