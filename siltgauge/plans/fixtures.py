@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import draw
@@ -56,13 +56,6 @@ def clean_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-#: ``signup`` stops on the 20th, ``click`` pauses for two days; SQL that Spark and other engines read alike
-RUNNING_FLOWS = (
-    "NOT (event_type = 'signup' AND extract(day FROM ingest_ts) >= 20)"
-    " AND NOT (event_type = 'click' AND extract(day FROM ingest_ts) IN (10, 11))"
-)
-
-
 def order_id_at(slot: Column) -> Column:
     return F.concat(F.lit("ORD"), slot.cast("string"))
 
@@ -208,6 +201,60 @@ def edge_stream(spark: SparkSession, sf_dir: str, files: int = 5) -> DataFrame:
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def dirty_stream(spark: SparkSession, sf_dir: str, files: int = 6) -> DataFrame:
+    """The corrupted records as a stream of one file per micro-batch, in order of arrival."""
+    path = scratch_dir(spark, "dirty")
+    rows = dirty(spark, sf_dir)
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).scalar()
+    for n in range(files):
+        # a source takes files by their time, so they are written one after another
+        part = F.floor(F.col("event_id") * files / (last + 1)) == n
+        rows.where(part).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+#: a stage loses the records with these ids, and is late by two hours with those: (modulus, rest) of each
+LOST = {"process": (17, 3), "store": (23, 7)}
+DELAYED = {"process": (41, 5), "store": (53, 11)}
+
+
+def stage_logs(spark: SparkSession, sf_dir: str, files: int = 2) -> dict[str, DataFrame]:
+    """Logs (event_id, at) of three stages as streams of several files and a heartbeat without id at the end."""
+    key = F.col("event_id")
+    at = {"ingest": F.col("ts").cast("timestamp")}
+    took = {"process": key * 7919 % 90_000 + 1, "store": key * 104_729 % 30_000 + 1}
+    for before, stage in (("ingest", "process"), ("process", "store")):
+        rest, delayed = LOST[stage], DELAYED[stage]
+        hours = F.when(key % delayed[0] == delayed[1], 7_200_000).otherwise(0)
+        at[stage] = F.timestamp_millis(F.unix_millis(at[before]) + took[stage] + hours)
+    events = table(spark, sf_dir, "events").where(F.col("ts").isNotNull())
+    last, newest = events.agg(F.max("event_id"), F.max(F.col("ts").cast("timestamp"))).first()
+    logs, kept = {}, events
+    for stage in at:
+        path = scratch_dir(spark, f"log-{stage}")
+        if stage in LOST:
+            kept = kept.where(key % LOST[stage][0] != LOST[stage][1])
+        rows = kept.select("event_id", at[stage].alias("at"))
+        for n in range(files):
+            rows.where(F.floor(key * files / (last + 1)) == n).coalesce(1).write.mode("append").parquet(path)
+        beat = spark.range(1).select(F.lit(None).cast("bigint").alias("event_id"), (F.lit(newest) + F.expr("interval 2 days")).alias("at"))
+        beat.coalesce(1).write.mode("append").parquet(path)
+        logs[stage] = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return logs
+
+
+def write_arrays(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The corrupted records as JSON array files, one per flow, with a line per field."""
+    flow = Window.partitionBy("event_type").orderBy("event_id")
+    rows = dirty(spark, sf_dir).select(
+        "event_type", "event_id", "value", F.row_number().over(flow).alias("n"), F.lead("event_id").over(flow).isNull().alias("last")
+    )
+    pretty = F.replace("value", F.lit(',"'), F.lit(',\n  "'))
+    text = F.concat(F.when(F.col("n") == 1, F.lit("[\n")).otherwise(F.lit("")), pretty, F.when(F.col("last"), F.lit("\n]")).otherwise(F.lit(",")))
+    lines = rows.select("event_type", "event_id", text.alias("line")).repartition("event_type").sortWithinPartitions("event_type", "event_id")
+    lines.select("event_type", "line").write.partitionBy("event_type").text(path)
+
+
 def clean_from_orders(orders: DataFrame) -> DataFrame:
     """Transactions with integer ids that have gaps; ``o_orderkey`` is the row key."""
     price = F.col("o_totalprice").cast("decimal(12,2)")

@@ -18,7 +18,7 @@ from ..contract import (
     SYNTH_PRODUCTS,
 )
 from ..operators.synth import EPOCH_MICROS
-from .fixtures import CLEAN_PAYMENTS, EDGE_KINDS, EDGE_TIMES, RUNNING_FLOWS, SEED, edge_value
+from .fixtures import CLEAN_PAYMENTS, EDGE_KINDS, EDGE_TIMES, SEED, edge_value
 from .queries import INJECTIONS, RULE_FAMILIES
 
 TIME = "'%Y-%m-%d %H:%M:%S'"
@@ -286,7 +286,7 @@ _INJECTED = "SELECT event_id, value, anomaly_category, anomaly_detail FROM dirty
 _HOURLY = "hourly AS (SELECT date_trunc('hour', ts) AS window_start, count(*) AS n FROM events GROUP BY 1)"
 _METRICS = f"""{DIRTY},
 metrics AS (SELECT event_type, date_trunc('day', ingest_ts) AS window_start, count(*) AS n,
-  count(*) FILTER (WHERE is_valid) AS n_valid FROM verdicts WHERE {RUNNING_FLOWS} GROUP BY 1, 2),
+  count(*) FILTER (WHERE is_valid) AS n_valid FROM verdicts GROUP BY 1, 2),
 rated AS (SELECT *, n_valid * 100.0::double / n AS quality_pct FROM metrics)"""
 _ALERTS = f"""{_METRICS},
 changed AS (SELECT a.*, (a.n - b.n) * 100.0::double / nullif(b.n, 0) AS change_pct FROM rated a
@@ -392,6 +392,8 @@ ORACLE: dict[str, str] = {
     "dq_duplicates": """SELECT l_orderkey, l_linenumber, count(*) AS n, count(*) - 1 AS surplus,
       strftime(min(l_shipdate), '%Y-%m-%d') AS first_l_shipdate FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
     "dq_duplicate_rows": _REPEATED,
+    "dq_duplicate_integer_ids": f"""WITH {_ORDERS} SELECT o_orderkey, order_id FROM detailed
+      QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY o_orderkey) > 1""",
     "dq_product_domain": f"""WITH {_PRODUCTS} SELECT event_id, product_id, 'Invalid product_id: ' || product_id AS error
       FROM products WHERE NOT list_contains({texts(SYNTH_PRODUCTS)}, product_id)""",
     "dq_product_catalogue": f"""WITH {_PRODUCTS},
@@ -482,9 +484,12 @@ ORACLE: dict[str, str] = {
     "stream_drift": f"""WITH {dirty()}, {_observed("dirty", "date_trunc('day', ingest_ts) AS day,")}
       SELECT strftime(day, {TIME}) AS window_start, field, type, count(*) AS n FROM observed GROUP BY 1, 2, 3""",
     "stream_duplicate_rows": _REPEATED,
-    "stream_duplicate_state": _REPEATED,
     "stream_duplicate_keys": f"""WITH {_IDS}, daily AS (SELECT date_trunc('day', ingest_ts) AS day, order_id, count(*) AS n
         FROM ids WHERE order_id IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1)
       SELECT strftime(day, {TIME}) AS window_start, order_id, n FROM daily""",
     "stream_distinct_ids": f"WITH {_IDS} SELECT DISTINCT order_id FROM ids",
 }
+
+from .live_oracle import LIVE  # noqa: E402 - builds on the parts above
+
+ORACLE.update(LIVE)

@@ -12,7 +12,7 @@ from ..operators import aggregates, checks, duplicates, metrics, synth
 from ..operators.inject import inject
 from ..operators.records import emit_json
 from ..operators.validate import validate
-from ..session import ROCKSDB, scratch_dir, settings
+from ..session import landed, scratch_dir
 from ..sources import readers, writers
 from ..streaming import duplicates as stream_duplicates
 from ..streaming import quality as stream_quality
@@ -75,7 +75,7 @@ def synth_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "synth")
     ids = _synth_ids(fx.event_stream(spark, sf_dir))
     rows = synth.with_transaction(ids, "order_id", fx.SEED).select(*REQUIRED_FIELDS)
-    return _landed(spark, rows, base)
+    return append_and_read(spark, rows, base)
 
 
 @query
@@ -220,6 +220,16 @@ def dq_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.where("is_duplicate").select("event_id", "order_id")
 
 
+@query
+def dq_duplicate_integer_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over ids of the integer kind, which follow no formula."""
+    orders = fx.clean_from_orders(fx.table(spark, sf_dir, "orders"))
+    dirty = inject(orders, "duplicate-id", 0.05, seed=fx.SEED, key="o_orderkey").select("o_orderkey", "value")
+    ids = checks.with_text_fields(dirty, ["order_id"], integers=["order_id"]).drop("value")
+    flagged = duplicates.flag_duplicates(ids, ["order_id"], ["o_orderkey"])
+    return flagged.where("is_duplicate").select("o_orderkey", F.col("order_id").cast("bigint").alias("order_id"))
+
+
 def _dirty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     dirty = fx.dirty(spark, sf_dir).select("event_id", "value")
     return checks.with_text_fields(dirty, ["product_id"]).drop("value")
@@ -295,14 +305,16 @@ def quality_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flow_metrics(spark: SparkSession, sf_dir: str, width: str = "1 day") -> DataFrame:
-    """Quality per flow and window of the corrupted records. One flow pauses, another one stops."""
-    running = fx.dirty(spark, sf_dir).where(fx.RUNNING_FLOWS)
-    return metrics.quality_per_window(validate(running), "ingest_ts", width, [FLOW])
+    """Quality per flow and window of the corrupted records. The windows are landed, as status and alerts read
+    them twice and the records behind them once."""
+    windows = metrics.quality_per_window(validate(fx.dirty(spark, sf_dir)), "ingest_ts", width, [FLOW])
+    return landed(windows, "windows")
 
 
 @query
 def quality_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_seconds(flow_metrics(spark, sf_dir), "window_start")
+    windows = metrics.quality_per_window(validate(fx.dirty(spark, sf_dir)), "ingest_ts", "1 day", [FLOW])
+    return with_seconds(windows, "window_start")
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,18 +341,18 @@ def flow_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_seconds(metrics.flow_status(flow_metrics(spark, sf_dir), FLOW, 95.0), "window_start")
 
 
-def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flow_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.alerts(flow_metrics(spark, sf_dir), FLOW, 95.0, 20.0, step="1 day")
 
 
 @query
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_seconds(_alerts(spark, sf_dir), "window_start")
+    return with_seconds(flow_alerts(spark, sf_dir), "window_start")
 
 
 @query
 def recent_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_seconds(metrics.recent_alerts(_alerts(spark, sf_dir), FLOW, 7), "window_start")
+    return with_seconds(metrics.recent_alerts(flow_alerts(spark, sf_dir), FLOW, 7), "window_start")
 
 
 @query
@@ -351,13 +363,13 @@ def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def system_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.system_health(_alerts(spark, sf_dir), FLOW)
+    return metrics.system_health(flow_alerts(spark, sf_dir), FLOW)
 
 
 # --- streams ----------------------------------------------------------------
 
 
-def _landed(spark: SparkSession, stream: DataFrame, base: str) -> DataFrame:
+def append_and_read(spark: SparkSession, stream: DataFrame, base: str) -> DataFrame:
     """Run a stream over all available input into a table and read the table."""
     writers.append_table(stream, f"{base}/table", f"{base}/checkpoint").awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
@@ -369,7 +381,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "ingest")
     writers.write_json_lines(fx.edge(spark, sf_dir), f"{base}/lines")
     lines = readers.stream_json_lines(spark, f"{base}/lines")
-    return _landed(spark, validate(lines).select("value", "is_valid", joined("errors")), base)
+    return append_and_read(spark, validate(lines).select("value", "is_valid", joined("errors")), base)
 
 
 @query
@@ -377,7 +389,7 @@ def lake_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid rows of a stream, typed, in the append table."""
     base = scratch_dir(spark, "lake")
     checked = validate(fx.dirty_from_events(fx.event_stream(spark, sf_dir)), typed=REQUIRED_FIELDS)
-    rows = _landed(spark, checked.where("is_valid and size(record.unfit) = 0").select("event_id", "record.*"), base)
+    rows = append_and_read(spark, checked.where("is_valid and size(record.unfit) = 0").select("event_id", "record.*"), base)
     return rows.drop("unfit").withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
@@ -389,11 +401,15 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.read_quarantined(spark, f"{base}/table").select("event_id", "value", joined("errors"))
 
 
-def _totals(spark: SparkSession, stream: DataFrame, purpose: str, keys: list[str]) -> DataFrame:
+def stream_totals(spark: SparkSession, stream: DataFrame, purpose: str, keys: list[str]) -> DataFrame:
     """Run a streaming aggregate over all available input; every window, the open ones too."""
     base = scratch_dir(spark, purpose)
     writers.write_totals(stream, f"{base}/table", f"{base}/checkpoint").awaitTermination()
-    return with_seconds(writers.read_totals(spark, stream.schema, f"{base}/table", keys), "window_start")
+    return writers.read_totals(spark, stream.schema, f"{base}/table", keys)
+
+
+def _totals(spark: SparkSession, stream: DataFrame, purpose: str, keys: list[str]) -> DataFrame:
+    return with_seconds(stream_totals(spark, stream, purpose, keys), "window_start")
 
 
 #: limits of the edge stream: an hour ahead, three days back; arrivals within a file may be in any order
@@ -453,33 +469,21 @@ def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over six micro-batches, looked up in the index of keys that it keeps."""
     base = scratch_dir(spark, "flagged")
-    ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).select("event_id", "order_id")
+    ids = _dirty_ids(fx.dirty_stream(spark, sf_dir)).select("event_id", "order_id")
     written = stream_duplicates.write_flagged_duplicates(
         ids, "order_id", "event_id", f"{base}/table", f"{base}/checkpoint"
     )
     written.awaitTermination()
-    flagged = spark.read.parquet(f"{base}/table")
-    return flagged.where(F.col("is_duplicate").cast("string") == "true").select("event_id", "order_id")
-
-
-@query
-def stream_duplicate_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_dir(spark, "duplicates")
-    ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).select("event_id", "order_id")
-    with settings(
-        spark,
-        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
-    ):
-        flagged = _landed(spark, stream_duplicates.flag_stream_duplicates(ids, "order_id", "event_id"), base)
-    return flagged.where("is_duplicate").select("event_id", "order_id")
+    return spark.read.parquet(f"{base}/table").where("is_duplicate").select("event_id", "order_id")
 
 
 @query
 def stream_distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "distinct")
     ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).withWatermark("ingest_ts", "1 hour")
-    return _landed(spark, stream_duplicates.drop_stream_duplicates(ids, "order_id", "event_id").select("order_id"), base)
+    return append_and_read(spark, stream_duplicates.drop_stream_duplicates(ids, "order_id", "event_id").select("order_id"), base)
 
 
 @query
@@ -487,3 +491,6 @@ def stream_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = _dirty_ids(fx.dirty_from_events(fx.event_stream(spark, sf_dir))).withWatermark("ingest_ts", "1 hour")
     found = stream_duplicates.duplicate_keys_per_window(ids, "order_id", "ingest_ts", "24 hours")
     return _totals(spark, found, "repeated", ["window_start", "order_id"])
+
+
+from . import live  # noqa: E402, F401 - registers its queries, which build on those above

@@ -105,8 +105,12 @@ def test_type_change_target(spark, sf_dir, field, error):
 @pytest.mark.parametrize("n", [0, 1, 37, 999, 1000, 5000])
 def test_exact_count(spark, sf_dir, n):
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
+    if n > events.count():
+        with pytest.raises(ValueError, match="between 0 and total count"):
+            picked_exactly(events, n, 7, "event_id")
+        return
     picked = events.where(picked_exactly(events, n, 7, "event_id")).count()
-    assert picked == min(n, events.count())
+    assert picked == n
 
 
 def test_exact_count_breaks_ties_by_key(spark, monkeypatch):

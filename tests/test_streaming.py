@@ -8,7 +8,7 @@ from siltgauge.operators.metrics import quality_per_window
 from siltgauge.operators.synth import generate_continuous_transactions
 from siltgauge.operators.validate import validate
 from siltgauge.plans import fixtures as fx
-from siltgauge.session import ROCKSDB, scratch_dir, settings
+from siltgauge.session import scratch_dir
 from siltgauge.sources import readers, writers
 from siltgauge.streaming import duplicates, quality
 
@@ -160,22 +160,6 @@ def repeated_ids(spark, tmp_path):
     return stream, first + second
 
 
-def test_flagged_stream_duplicates(spark, tmp_path, repeated_ids):
-    stream, rows = repeated_ids
-    with settings(
-        spark,
-        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
-        spark__sql__streaming__noDataMicroBatches__enabled="false",
-        spark__sql__shuffle__partitions="2",
-    ):
-        flagged = land(spark, duplicates.flag_stream_duplicates(stream.select("i", "k"), "k", "i"), tmp_path)
-    first = {}
-    for i, k in rows:
-        first.setdefault(k, i)
-    got = {r.i: r.is_duplicate for r in flagged.collect()}
-    assert got == {i: k is not None and first[k] != i for i, k in rows}
-
-
 def test_duplicates_marked_in_the_table(spark, tmp_path, repeated_ids):
     stream, rows = repeated_ids
     first = {}
