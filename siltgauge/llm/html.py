@@ -1,9 +1,10 @@
 """Main text of web pages by comparing each page with its neighbours on the host.
 
-The pages of a host are ordered by URL path. The text lines of every page are aligned with those of the
-page before and of the page after by a longest common subsequence; lines in common are template and are
-deleted. Markup settles what it names: lines in ``article`` or ``main`` are the article even if a neighbour
-quotes them, lines in menus, footers, forms and the like are none. If a page has an article, it is the text.
+The pages of a host are ordered by URL path; pages of the same lines count as one. The text lines of every page
+are aligned with those of the page before and of the page after by a longest common subsequence; lines in
+common are template and are deleted. Markup settles only what it names: menus, footers, forms and the like are
+no text; lines in ``article`` or ``main`` are not deleted, as articles quote each other; and where these hold
+most of what is left of a page, they are the text.
 """
 
 from __future__ import annotations
@@ -215,14 +216,12 @@ def common(a: list[int], b: list[int], cells: int = 1 << 30) -> list[tuple[int,
 
 
 def shared_lines(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-    """Places of the lines of two pages that are template: those in common, unless one page copies the other."""
+    """Places of the lines of two pages that are template: those in common, unless the pages are equal."""
     both = np.intersect1d(a, b)
-    if not len(both):
+    if not len(both) or np.array_equal(a, b):
         return [], []
     places = [np.flatnonzero(np.isin(side, both)) for side in (a, b)]
     pairs = common(a[places[0]].tolist(), b[places[1]].tolist())
-    if 10 * len(pairs) >= 9 * max(len(a), len(b)):
-        return [], []
     return [int(places[0][i]) for i, _ in pairs], [int(places[1][j]) for _, j in pairs]
 
 
@@ -245,11 +244,12 @@ def _aligned(a: pd.Series, b: pd.Series) -> pd.DataFrame:
 def _main_text(pages: pd.Series, shared: pd.Series) -> pd.Series:
     out = []
     for page, places in zip(pages, shared, strict=True):
-        found = lines(page)
         gone = set() if places is None else set(places)
-        has_article = any(inside for _, inside, _ in found)
-        kept = [t for n, (t, inside, named) in enumerate(found) if inside or not (has_article or named or n in gone)]
-        out.append("\n\n".join(kept))
+        found = [(text, inside) for n, (text, inside, named) in enumerate(lines(page)) if inside or not named and n not in gone]
+        article = [text for text, inside in found if inside]
+        if 2 * sum(map(len, article)) < sum(len(text) for text, _ in found):
+            article = [text for text, _ in found]
+        out.append("\n\n".join(article))
     return pd.Series(out, dtype=object)
 
 
@@ -295,10 +295,14 @@ def template_lines(pages: DataFrame) -> DataFrame:
     after = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://"
     host = F.lower(F.regexp_extract(url, after + r"([^/?#]*)", 1)).alias("host")
     path = F.regexp_replace(F.regexp_replace(url, after + r"[^/?#]*", ""), r"[?#].*$", "").alias("path")
-    found = landed(pages.select("key", host, path, _line_hashes("html").alias("lines")), "lines")
+    every = pages.select("key", host, path, _line_hashes("html").alias("lines"))
+    every = landed(every.withColumn("page", F.unhex(F.md5(F.to_json("lines")))), "lines")
+    # Pages of the same lines are one, at the first of their places.
+    first = F.min(F.struct("path", "key")).alias("_first")
+    found = every.groupBy("host", "page", "lines").agg(first).select("_first.key", "host", "_first.path", "lines", "page")
+    found = landed(found, "different")
     ordered = found.repartitionByRange("host", "path", "key").sortWithinPartitions("host", "path", "key")
-    aligned = landed(ordered.mapInPandas(_align, ALIGNED), "aligned")
-    discard(found)
+    aligned = landed(ordered.select("key", "host", "path", "lines").mapInPandas(_align, ALIGNED), "aligned")
     # At most two rows per range.
     order = Window.orderBy("host", "path", "key")
     edges = aligned.where("edge").select("key", "host", "lines", *[F.lead(c).over(order).alias(f"next_{c}") for c in ("key", "host", "lines")])
@@ -306,8 +310,14 @@ def template_lines(pages: DataFrame) -> DataFrame:
     # pages lie between them, lines they have in common all the same.
     edges = edges.where("host = next_host").select("key", "next_key", _aligned("lines", "next_lines").alias("s"))
     more = edges.select(F.explode(F.array(F.struct("key", F.col("s.a").alias("shared")), F.struct(F.col("next_key").alias("key"), F.col("s.b").alias("shared")))).alias("e"))
-    every = aligned.select("key", "shared").unionByName(more.select("e.*")).where(F.size("shared") > 0)
-    return every.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("shared"))).alias("shared"))
+    marks = aligned.select("key", "shared").unionByName(more.select("e.*")).where(F.size("shared") > 0)
+    marks = marks.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("shared"))).alias("shared"))
+    # Back to all pages of the same lines.
+    marks = landed(found.select("key", "host", "page").join(marks, "key").drop("key"), "marks")
+    out = landed(every.select("key", "host", "page").join(marks, ["host", "page"]).select("key", "shared"), "shared").distinct()
+    for done in (every, found, aligned, marks):
+        discard(done)
+    return out
 
 
 def extract_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -315,8 +325,8 @@ def extract_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "u
 
     Blocks are joined by two line ends, white space in a block is one space, character references are
     decoded. A NULL html is empty and gives an empty text; pages without URL are the pages of one host;
-    NULL ids and urls stay NULL; repeated rows give repeated results and count as copies of each other,
-    which say nothing about the template; an empty table gives an empty one. Other columns do not matter.
+    NULL ids and urls stay NULL; repeated rows, and pages of the same lines on one host, give the same text; an
+    empty table gives an empty one. Other columns do not matter.
     """
     html = whole_text(f"`{html_col}`")
     held = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), html.alias("html"))

@@ -59,17 +59,31 @@ def page(lines):
     return "<body>" + "".join(f"<div>{x}</div>" for x in lines) + "</body>"
 
 
+def in_common(a, b):
+    """The lines of a longest common subsequence, by a table of all pairs; equal pages have none."""
+    if a == b:
+        return set()
+    best = {(i, j): () for i in range(len(a) + 1) for j in (0, len(b))}
+    for i in range(len(a), -1, -1):
+        for j in range(len(b), -1, -1):
+            if i == len(a) or j == len(b):
+                best[i, j] = ()
+            elif a[i] == b[j]:
+                best[i, j] = (a[i], *best[i + 1, j + 1])
+            else:
+                best[i, j] = max(best[i + 1, j], best[i, j + 1], key=len)
+    return set(best[0, 0])
+
+
 def expected(pages):
-    """Lines left on each page of one host when those in common with a neighbour go."""
+    """Lines left on each page of one host when those in common with a different neighbour go. No line is twice on
+    a page here."""
+    different = [x for n, x in enumerate(pages) if n == pages.index(x)]
     left = []
-    for n, lines in enumerate(pages):
-        gone = set()
-        for k in (n - 1, n + 1):
-            if 0 <= k < len(pages):
-                own, other = html._hashes([(x, 0, 0) for x in lines]), html._hashes([(x, 0, 0) for x in pages[k]])
-                pair = (own, other) if k > n else (other, own)
-                gone |= set(html.shared_lines(*pair)[k < n])
-        left.append([x for i, x in enumerate(lines) if i not in gone])
+    for lines in pages:
+        n = different.index(lines)
+        gone = set().union(*[in_common(lines, other) for other in different[max(n - 1, 0) : n + 2]])
+        left.append([x for x in lines if x not in gone])
     return left
 
 
@@ -77,6 +91,8 @@ def expected(pages):
 def test_template_goes(spark, parts):
     draw = random.Random(2)
     pages = [["Home", "About", *[f"body {n} {draw.random()}" for _ in range(3)], "Contact us", f"Page {n % 3}"] for n in range(40)]
+    pages[11] = pages[12] = pages[13] = pages[10]  # a run of copies
+    pages[30] = pages[20]
     rows = [(n, f"http://Host.org/a/{n:03d}?q={draw.random()}", page(x), 1) for n, x in enumerate(pages)]
     others = [(100, "http://other.org/", page(["Home", "only one"]), 1), (101, None, None, 1), (102, None, "", 1), (None, "http://z/", "<article>one &amp; two</article>", 1), (7, "x", "<main>m", 2)]
     twins = [(200, "http://twin/1", page(["same", "text"]), 1), (201, "http://twin/2", page(["same", "text"]), 1)]
@@ -107,3 +123,38 @@ def test_copies_say_nothing():
     a = np.arange(20)
     assert html.shared_lines(a, a) == ([], [])
     assert html.shared_lines(a, np.arange(10, 40)) == (list(range(10, 20)), list(range(10)))
+
+
+def texts(spark, rows):
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html.extract_text(frame).collect()}
+
+
+def test_a_run_of_copies_has_one_text(spark):
+    menu = [f"menu {k}" for k in range(6)]
+    rows = [(n, f"http://h/{n}", page([*menu, f"own {n if not 2 <= n <= 5 else 2}", f"more {n if not 2 <= n <= 5 else 2}"])) for n in range(8)]
+    got = texts(spark, rows)
+    assert got == {n: f"own {m}\n\nmore {m}" for n in range(8) for m in [2 if 2 <= n <= 5 else n]}
+
+
+def test_short_articles_under_a_long_menu(spark):
+    menu = [f"menu {k}" for k in range(20)]
+    rows = [(n, f"http://h/{n}", page([*menu, f"title {n}", f"text {n}"])) for n in (1, 2)]
+    assert texts(spark, rows) == {n: f"title {n}\n\ntext {n}" for n in (1, 2)}
+
+
+def test_a_teaser_card_is_not_the_text(spark):
+    body = [f"sentence {k} of the long text" for k in range(30)]
+    card = "<article><h3>Teaser card</h3></article>"
+    rows = [(n, f"http://h/{n}", page(["Home", *[f"{b} {n}" for b in body]]) + card) for n in (1, 2)]
+    got = texts(spark, rows)
+    assert got == {n: "\n\n".join(f"{b} {n}" for b in body) for n in (1, 2)} or all(f"{body[7]} {n}" in got[n] and "Home" not in got[n] for n in got)
+
+
+def test_editions_of_an_article_keep_their_lines(spark):
+    first = [f"<p>line {k}</p>" for k in range(8)]
+    second = [*first[:3], "<p>changed</p>", *first[4:]]
+    rows = [(n, f"http://h/{n}", f"<body><p>Top</p><article>{''.join(x)}</article></body>") for n, x in enumerate((first, second))]
+    got = texts(spark, rows)
+    assert got[0] == "\n\n".join(f"line {k}" for k in range(8))
+    assert got[1] == got[0].replace("line 3", "changed")
