@@ -1,9 +1,11 @@
 """Near-duplicate lines over all documents: MinHash bands, exact verification, one line per component.
 
 The signature of a line is taken over all its character shingles by one permutation: the hashes are sorted and
-their range is cut into BANDS ranges. The ROWS smallest hashes of a range make a band, all of them if there are
-fewer, and the next one further on, in a circle, where there are none. What is shuffled is a line's digest,
-its place and its bands, never its text; equal lines are one line from then on.
+cut into ranges. The smallest hashes of a range make a band, all of them if there are fewer than asked for, and
+the next one further on, in a circle, where there are none. Few shingles would leave too few in a range to tell
+lines apart, so a shingle of a short line has several hashes; long lines have more shingles in common by chance,
+so their bands are of more hashes. What is shuffled is a line's digest, its place and its bands, never its
+text; equal lines are one line from then on.
 
 Lines that share a band are compared by the Jaccard similarity of all their shingles. First every line meets
 one line, the smallest of all bands it is in, which joins groups of near copies of any size with one
@@ -22,10 +24,10 @@ from .common import discard, landed, whole_text
 from .components import components
 
 SHINGLE = 5
-#: Lines of many shingles and similarity s share a band with probability 1 - (1 - s ** ROWS) ** BANDS: 0.995 at
-#: 0.8. Lines of few shingles have fewer than ROWS in a range and share a band more often.
-BANDS, ROWS = 10, 4
-BORDERS = [(n << 64) // BANDS - (1 << 63) for n in range(BANDS)]
+#: Of lines of so many shingles (from, below): hashes a shingle, bands, hashes a band. Lines of similarity s share a
+#: band with probability 1 - (1 - s ** hashes) ** bands: 0.995, 0.995 and 0.992 at 0.8. Lines whose numbers differ by
+#: a quarter at most, as those of similarity 0.8 do unless they repeat themselves, are both in one of these cases.
+CASES = ((0, 40, 8, 10, 4), (32, 200, 1, 10, 4), (160, 1 << 31, 1, 16, 6))
 #: A block of a band holds about so many lines and shingles at most; more make a band several blocks.
 BLOCK_LINES, BLOCK_SHINGLES = 256, 200_000
 #: Bits of a filter that spares rows a shuffle. Its size is fixed; it lets more through as it fills.
@@ -33,25 +35,38 @@ FILTER_BITS = 1 << 25
 
 
 def with_bands(lines: DataFrame, line: str = "line") -> DataFrame:
-    """``lines`` with ``bands``, a 64-bit key per band, in place of their line.
+    """``lines`` with ``bands``, the 64-bit keys of the bands of all cases that a line is in, in place of their line.
 
     The lower borders of the ranges are sorted among the hashes, so a range is what stands between two of them.
     """
     columns = [c for c in lines.columns if c != line]
     hashed = lines.select(*columns, bound(F.encode(line, "UTF-16BE"), every_hash).alias("_h"))
-    hashed = hashed.select(*columns, F.sort_array(F.concat("_h", F.array(*[F.lit(b) for b in BORDERS]))).alias("_h"))
-    places = [F.array_position("_h", F.lit(b)).cast("int").alias(f"_p{n}") for n, b in enumerate(BORDERS)]
-    hashed = hashed.select("*", *places, (F.size("_h") + 1).alias(f"_p{BANDS}"))
-    firsts = [F.when(F.col(f"_p{n + 1}") > F.col(f"_p{n}") + 1, F.get("_h", F.col(f"_p{n}"))).alias(f"_f{n}") for n in range(BANDS)]
-    hashed = hashed.select("*", *firsts)
 
-    def held(n: int) -> Column:
-        start = F.col(f"_p{n}") + 1
-        some = F.slice("_h", start, F.least(F.col(f"_p{n + 1}") - start, F.lit(ROWS)))
-        following = F.coalesce(*[f"_f{k % BANDS}" for k in range(n + 1, n + BANDS)])
-        return F.when(F.col(f"_f{n}").isNotNull(), F.xxhash64(F.lit(n), some)).otherwise(F.xxhash64(F.lit(n), following))
-
-    return hashed.select(*columns, F.array(*[held(n) for n in range(BANDS)]).alias("bands"))
+    def sorted_in(case: int) -> Column:
+        low, below, copies, bands, _ = CASES[case]
+        more = [F.transform("_h", lambda x, k=k: F.xxhash64(x, F.lit(k))) for k in range(1, copies)]
+        every = F.sort_array(F.concat("_h", *more, F.array(*[F.lit(_border(case, k)) for k in range(bands)])))
+        return F.when((F.size("_h") >= low) & (F.size("_h") < below), every).alias(f"_s{case}")
+
+    hashed = hashed.select(*columns, *[sorted_in(n) for n in range(len(CASES))])
+    places, firsts, keys = [], [], []
+    for n, (*_, bands, rows) in enumerate(CASES):
+        place = [F.col(f"_p{n}_{k}") for k in range(bands + 1)]
+        first = [F.col(f"_f{n}_{k}") for k in range(bands)]
+        places += [F.array_position(f"_s{n}", F.lit(_border(n, k))).cast("int").alias(f"_p{n}_{k}") for k in range(bands)]
+        places.append((F.size(f"_s{n}") + 1).alias(f"_p{n}_{bands}"))
+        firsts += [F.when(place[k + 1] > place[k] + 1, F.get(f"_s{n}", place[k])).alias(f"_f{n}_{k}") for k in range(bands)]
+        held = []
+        for k in range(bands):
+            some = F.slice(f"_s{n}", place[k] + 1, F.least(place[k + 1] - place[k] - 1, F.lit(rows)))
+            following = F.coalesce(*[first[j % bands] for j in range(k + 1, k + bands)])
+            held.append(F.when(first[k].isNotNull(), F.xxhash64(F.lit(n), F.lit(k), some)).otherwise(F.xxhash64(F.lit(n), F.lit(k), following)))
+        keys.append(F.when(F.col(f"_s{n}").isNotNull(), F.array(*held)).otherwise(F.array().cast("array<bigint>")))
+    return hashed.select("*", *places).select("*", *firsts).select(*columns, F.concat(*keys).alias("bands"))
+
+
+def _border(case: int, k: int) -> int:
+    return (k << 64) // CASES[case][3] - (1 << 63)
 
 
 def fixed_filter(keys: DataFrame, key: str) -> DataFrame:
@@ -69,17 +84,13 @@ def passing(rows: DataFrame, key: str, words: DataFrame) -> DataFrame:
 
 
 def similar(a: Column, b: Column, percent: int = 80) -> Column:
-    """Whether two sets of shingle hashes (see :func:`shingle_hashes`) have that Jaccard similarity."""
-    small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
-    both = F.size(a) + F.size(b)
-    linked = (100 + percent) * F.size(F.array_intersect(a, b)) >= percent * both
-    return F.when(100 * small < percent * large, F.lit(False)).otherwise(linked)
+    """Whether two sets of shingle hashes (see :func:`every_hash`; repeated ones count once) have that Jaccard similarity."""
+    return 100 * F.size(F.array_intersect(a, b)) >= percent * F.size(F.array_union(a, b))
 
 
-def shingle_hashes(line: str | Column) -> Column:
-    """Distinct hashes of all shingles of a line, taken in UTF-16, of which any piece is found at once."""
-    units = F.encode(F.col(line) if isinstance(line, str) else line, "UTF-16BE")
-    return bound(units, lambda u: F.array_distinct(every_hash(u)))
+def alike(a: Column, b: Column, percent: int = 80) -> Column:
+    """Whether sets of so many shingles can have that similarity."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
 def every_hash(units: Column) -> Column:
@@ -99,42 +110,47 @@ def _split(text: str) -> Column:
 
 
 def verified_links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b (keys) of similar lines for pairs x, y of nodes. ``texts``: node, key, line."""
-    one = texts.select(F.col("node").alias("x"), F.col("key").alias("a"), F.col("line").alias("line_a"))
-    two = texts.select(F.col("node").alias("y"), F.col("key").alias("b"), F.col("line").alias("line_b"))
-    both = pairs.join(one, "x").join(two, "y")
-    sets = F.struct(*[shingle_hashes(f"line_{c}").alias(c) for c in ("a", "b")])
-    return both.where(bound(sets, lambda s: similar(s["a"], s["b"], percent))).select("a", "b")
+    """The pairs a, b (keys) of similar lines for pairs x, y of nodes. ``texts``: node, key, line, n_shingles."""
+
+    def side(node: str, key: str) -> DataFrame:
+        return texts.select(F.col("node").alias(node), F.col("key").alias(key), F.col("line").alias(f"_{key}"), F.col("n_shingles").alias(f"_n{key}"))
+
+    both = pairs.join(side("x", "a"), "x").join(side("y", "b"), "y").where(alike(F.col("_na"), F.col("_nb"), percent))
+    both = both.select("a", "b", *[bound(F.encode(f"_{c}", "UTF-16BE"), every_hash).alias(f"_{c}") for c in "ab"])
+    return both.where(similar(F.col("_a"), F.col("_b"), percent)).select("a", "b")
 
 
 def block_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs a, b (keys) of similar lines of different components that share a band.
 
-    ``members``: band, key, component, n_shingles (at least as many as there are). A line is found in as many
-    blocks as its band has.
+    ``members``: band, key, component, n_shingles, bands (all of the line). A line is found in as many blocks as
+    its band has, and two lines are compared in the first band that they share.
     """
     chunks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_LINES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
     shape = landed(members.groupBy("band").agg(chunks.alias("chunks")), "shape")
     chunk = F.pmod(F.xxhash64("key", F.lit(1)), F.col("chunks")).cast("int").alias("chunk")
-    placed = members.join(shape, "band").select("band", "key", "component", "chunks", chunk)
+    placed = members.join(shape, "band").select(*members.columns, "chunks", chunk)
     placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     low, high = F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
-    placed = placed.join(texts.select("key", "line"), "key").select("band", low, high, F.struct("key", "component", "chunk", "line").alias("member"))
+    member = F.struct("key", "component", "chunk", "n_shingles", "bands", "line").alias("member")
+    placed = placed.join(texts.select("key", "line"), "key").select("band", low, high, member)
     # A number of parts by setting: to compare costs more than the few bytes of a block show.
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = placed.repartition(parts, "band", "low", "high").groupBy("band", "low", "high").agg(F.collect_list("member").alias("members"))
 
     def with_hashes(m: Column) -> Column:
-        return F.struct(*[m[c].alias(c) for c in ("key", "component", "chunk")], shingle_hashes(m["line"]).alias("hashes"))
+        plain = [m[c].alias(c) for c in ("key", "component", "chunk", "n_shingles", "bands")]
+        return F.struct(*plain, bound(F.encode(m["line"], "UTF-16BE"), every_hash).alias("hashes"))
 
     def linked(members: Column) -> Column:
         def partners(a: Column) -> Column:
-            def alike(b: Column) -> Column:
+            def near(b: Column) -> Column:
                 apart = (a["key"] < b["key"]) & (a["component"] != b["component"])
-                apart = apart & ((F.col("low") == F.col("high")) | (a["chunk"] != b["chunk"]))
-                return apart & similar(a["hashes"], b["hashes"], percent)
+                apart = apart & ((F.col("low") == F.col("high")) | (a["chunk"] != b["chunk"])) & alike(a["n_shingles"], b["n_shingles"], percent)
+                first = F.get(F.array_intersect(a["bands"], b["bands"]), F.lit(0)) == F.col("band")
+                return F.when(~apart, False).when(~first, False).otherwise(similar(a["hashes"], b["hashes"], percent))
 
-            return F.transform(F.filter(members, alike), lambda b: F.struct(a["key"].alias("a"), b["key"].alias("b")))
+            return F.transform(F.filter(members, near), lambda b: F.struct(a["key"].alias("a"), b["key"].alias("b")))
 
         return F.flatten(F.transform(members, partners))
 
@@ -163,7 +179,7 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     with settings(spark, spark__sql__codegen__wholeStage="false"):
         unique = landed(signed, "unique")
 
-    # Lines by band. Every line of a shared band has its smallest line to meet.
+    # Lines by band; a line of two cases has bands of both. Every line of a shared band has its smallest line to meet.
     dealt = unique.select("node", F.explode("bands").alias("band"))
     met = dealt.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
     met = landed(met.select("band", "low"), "bands")
@@ -173,17 +189,21 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     known = landed(fixed_filter(hubs, "node"), "known")
     # The smallest line of a band is in it too, so all that are compared are nodes here.
     texts = passing(every.select("node", "key", "line"), "node", known).dropDuplicates(["key"])
-    texts = landed(texts.join(hubs.select("node"), "node", "left_semi"), "texts")
+    texts = texts.join(hubs.select("node"), "node", "left_semi")
+    texts = texts.withColumn("_h", bound(F.encode("line", "UTF-16BE"), every_hash))
+    texts = landed(texts.withColumn("n_shingles", F.size(F.array_distinct("_h"))).drop("_h"), "texts")
     pairs = hubs.where("node != hub").select(F.col("node").alias("x"), F.col("hub").alias("y"))
-    links = landed(verified_links(pairs, texts, percent), "links")
+    with settings(spark, spark__sql__codegen__wholeStage="false"):
+        links = landed(verified_links(pairs, texts, percent), "links")
     labels = components(links)
 
-    named = texts.select("node", "key", F.char_length("line").alias("n_shingles"))
+    named = texts.select("node", "key", "n_shingles")
     named = named.join(labels.withColumnRenamed("node", "key"), "key", "left")
     named = named.select("node", "key", F.coalesce("component", "key").alias("component"), "n_shingles")
     labelled = landed(members.select("band", "node").join(named, "node").drop("node"), "labelled")
     mixed = labelled.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low != _high")
-    mixed = landed(labelled.join(mixed.select("band"), "band"), "mixed")
+    mixed = labelled.join(mixed.select("band"), "band").join(unique.select("key", "bands"), "key")
+    mixed = landed(mixed, "mixed")
     more = block_links(mixed, texts, percent)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
