@@ -1,8 +1,9 @@
 """Secrets in text: candidates by pattern, false positives removed by a random forest.
 
-Candidates are long runs of the characters that keys and tokens are made of. The forest sees their length,
-how usual their character transitions are in the corpus, how much of them dictionary entries cover, the path
-of the document and the neighbouring words. It is trained from labelled findings.
+Candidates are the values that follow a key word, of whatever characters, and other long runs of the characters
+that keys and tokens are made of. The forest sees their length, how usual their character transitions are in
+the corpus, how much of them dictionary entries cover, the path of the document and the neighbouring words. It
+is trained from labelled findings.
 """
 
 from __future__ import annotations
@@ -29,7 +30,14 @@ LEAST_LENGTH = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Words whose assignment marks a sure finding, for labelled findings made by rule.
 KEY_WORDS = ("token", "secret", "password", "passwd", "apikey", "api_key", "access_key", "auth")
-_ASSIGNED = re.compile(rf"(?:{'|'.join(KEY_WORDS)})\s{{0,3}}[=:]\s{{0,3}}[\"']?\Z", re.IGNORECASE)
+_KEY = rf"(?:{'|'.join(KEY_WORDS)})[\"']?\s{{0,3}}[=:]\s{{0,3}}"
+_ASSIGNED = re.compile(rf"{_KEY}[\"']?\Z", re.IGNORECASE)
+#: What follows a key word: quoted, or up to white space or the end of a list or statement.
+VALUE = re.compile(rf"{_KEY}(?:\"([^\"\s]{{6,}})\"|'([^'\s]{{6,}})'|(?![\"'])([^\s,;)}}\]]{{6,}}))", re.IGNORECASE)
+#: Words before digests and identifiers that are no secrets, for labelled findings made by rule.
+PLAIN_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "hash", "uuid", "guid", "revision", "etag")
+_PLAIN = re.compile(rf"\b(?:{'|'.join(PLAIN_WORDS)})[\"']?\s{{0,3}}[=:]?\s{{0,3}}[\"']?\Z", re.IGNORECASE)
+_DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12})\Z", re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+")
 #: Characters around a candidate in which neighbouring words are looked for.
 NEAR = 48
@@ -93,7 +101,24 @@ def _bucket(word: str) -> int:
     return xxhash.xxh32_intdigest(word.lower()) % BUCKETS
 
 
+def candidates_in(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the candidates of a text, in order: values after key words, and long runs beside them."""
+    values = [m.span(m.lastindex) for m in VALUE.finditer(text)]
+    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    at = 0
+    for start, end in runs:
+        while at < len(values) and values[at][1] <= start:
+            yield values[at]
+            at += 1
+        if at == len(values) or end <= values[at][0]:
+            yield start, end
+    yield from values[at:]
+
+
 def features(candidate: str, before: str, after: str, path: str, costs: np.ndarray, entries: frozenset[str]) -> list[float]:
+    """What the forest sees. The words that rules make labels from are not among the neighbouring words, nor is the
+    mark of an assignment, so that the forest has to learn from the candidate what a secret looks like.
+    """
     counts = Counter(candidate)
     entropy = -sum(n / len(candidate) * math.log2(n / len(candidate)) for n in counts.values())
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s" for c in candidate]
@@ -102,12 +127,12 @@ def features(candidate: str, before: str, after: str, path: str, costs: np.ndarr
     out = [len(candidate), entropy, changes / len(candidate), float(steps.mean()), float(steps.max())]
     out += [kinds.count(k) / len(candidate) for k in "duls"]
     out.append(covered(candidate, entries))
-    words = [(_WORD.findall(before) or [""])[-1], (_WORD.findall(after) or [""])[0]]
+    told = {*KEY_WORDS, *PLAIN_WORDS, "key", "access", "api"}
+    words = [([w for w in _WORD.findall(before) if w.lower() not in told] or [""])[-1], (_WORD.findall(after) or [""])[0]]
     for word in (*words, path):
         row = [0.0] * BUCKETS
         row[_bucket(word)] = 1.0
         out += row
-    out += [float(before[-1:] in "\"'" and bool(before)), float(bool(re.search(r"[=:]\s*[\"']?\Z", before)))]
     return out
 
 
@@ -122,10 +147,13 @@ FINDING = T.ArrayType(
 
 
 def sure_label(candidate: str, before: str) -> int | None:
-    """1 and 0 where a rule is sure: assigned to a key word; only digits or only letters and not assigned."""
+    """1 and 0 where a rule is sure: assigned to a key word; only digits or only letters, or a digest or identifier
+    that is called one, and not assigned to a key word."""
     if _ASSIGNED.search(before):
         return 1
-    return 0 if candidate.isdigit() or candidate.isalpha() else None
+    if candidate.isdigit() or candidate.isalpha() or _DIGEST.match(candidate) and _PLAIN.search(before):
+        return 0
+    return None
 
 
 def find_candidates(
@@ -141,12 +169,11 @@ def find_candidates(
         entries, out = dictionary(vocabulary), []
         for text, path in zip(texts, paths, strict=True):
             rows = []
-            for match in CANDIDATE.finditer(text):
-                start, end = match.span()
-                before, after = text[max(0, start - NEAR) : start], text[end : end + NEAR]
-                digest = hashlib.sha256(match[0].encode()).hexdigest()
-                values = features(match[0], before, after, path, table.value, entries)
-                rows.append((start, end, digest, sure_label(match[0], before), values))
+            for start, end in candidates_in(text):
+                found, before, after = text[start:end], text[max(0, start - NEAR) : start], text[end : end + NEAR]
+                digest = hashlib.sha256(found.encode()).hexdigest()
+                values = features(found, before, after, path, table.value, entries)
+                rows.append((start, end, digest, sure_label(found, before), values))
             out.append(rows)
         return pd.Series(out, dtype=object)
 

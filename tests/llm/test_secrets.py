@@ -75,3 +75,54 @@ def test_odd_rows(spark):
     only = docs.where("doc_id is null")
     assert len(secrets.find_secrets(only, VOCABULARY).collect()) == 1
     assert secrets.find_secrets(docs.limit(0), VOCABULARY).collect() == []
+
+
+def test_values_after_key_words_are_candidates():
+    text = 'password = "Tr0ub4dor&3" key="sk.live!abc" api_key="sk.live!abc$9Z", token: abc12; \'secret\': \'é!xyz9\' auth=' + "Z" * 30
+    found = [text[a:b] for a, b in secrets.candidates_in(text)]
+    assert found == ["Tr0ub4dor&3", "sk.live!abc$9Z", "é!xyz9", "Z" * 30]
+    assert list(secrets.candidates_in("password = short")) == []
+    assert [a for a, _ in secrets.candidates_in("x" * 16 + " token=" + "y" * 40)] == [0, 23]
+
+
+def plain_features(candidate, before, after, path, costs, entries):
+    """The same numbers one character at a time."""
+    n = len(candidate)
+    probabilities = [candidate.count(c) / n for c in sorted(set(candidate))]
+    kind = lambda c: "d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s"
+    out = [n, -sum(p * np.log2(p) for p in probabilities)]
+    out.append(sum(kind(a) != kind(b) for a, b in zip(candidate, candidate[1:])) / n)
+
+    def symbol(b):
+        c = chr(b)
+        return 28 if b > 127 else 26 if c.isdigit() else ord(c.lower()) - 97 if c.isalpha() else 27
+
+    codes = [symbol(b) for b in candidate.encode()]
+    steps = [costs[a * secrets.N_SYMBOLS + b] for a, b in zip(codes, codes[1:])]
+    out += [sum(steps) / len(steps), max(steps)]
+    out += [sum(kind(c) == k for c in candidate) / n for k in "duls"]
+    out.append(secrets.covered(candidate, entries))
+    for word in (before, after, path):
+        bucket = [0.0] * secrets.BUCKETS
+        bucket[secrets._bucket(word)] = 1.0
+        out += bucket
+    return out
+
+
+def test_features_against_plain_ones():
+    draw = random.Random(9)
+    costs = np.array([draw.random() * 9 for _ in range(secrets.N_SYMBOLS**2)])
+    entries = frozenset(["house", "token", "live"])
+    for _ in range(200):
+        candidate = "".join(draw.choice(string.printable[:94] + "éß") for _ in range(draw.randrange(6, 40)))
+        got = secrets.features(candidate, 'the river token = "', " then more", "src1", costs, entries)
+        assert np.allclose(got, plain_features(candidate, "river", "then", "src1", costs, entries))
+
+
+def test_digests_that_are_called_so_are_no_secrets():
+    hexes = "0123456789abcdef" * 2 + "01234567"
+    assert secrets.sure_label(hexes, "see commit ") == 0 == secrets.sure_label("123e4567-e89b-12d3-a456-426614174000", "uuid: ")
+    assert secrets.sure_label(hexes, "token = ") == 1 and secrets.sure_label(hexes, "see ") is None
+    # neither the key word nor the assignment is among the features
+    costs, entries = np.ones(secrets.N_SYMBOLS**2), frozenset()
+    assert secrets.features(hexes, "river token = ", "", "", costs, entries) == secrets.features(hexes, "river commit ", "", "", costs, entries)
