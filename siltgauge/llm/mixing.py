@@ -145,3 +145,23 @@ def write_shards(mixed: DataFrame, path: str, *, seed: int = 17) -> None:
     place = F.xxhash64(F.lit(seed + 2), "shard", "doc_id", "turn")
     spread = rows.withColumn("_place", place).repartition("shard", F.pmod("_place", F.lit(64)))
     spread.sortWithinPartitions("shard", "_place").drop("_place").write.partitionBy("shard").parquet(path)
+
+
+def mix_through_shards(docs: DataFrame, path: str, *, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+    """The first table of :func:`mix_sources` without ``draws``, its ``taken`` summed over the shards as they are read
+    back from ``path``, where :func:`write_shards` has put them.
+
+    Rows of equal id, source and size are dealt alike, so a draw of theirs counts once for each.
+    """
+    keep = tuple(dict.fromkeys((source_col, *options.pop("keep", ()))))
+    mixed = landed(mix_sources(docs, id_col=id_col, source_col=source_col, keep=keep, **options)[0], "mixed")
+    name = ["doc_id", "source", "size"]
+    drawn = mixed.select("doc_id", F.col(f"`{source_col}`").alias("source"), "size", "draws")
+    write_shards(drawn, path)
+    back = docs.sparkSession.read.schema(drawn.drop("draws").schema.add("turn", "integer").add("words", "long").add("shard", "integer")).parquet(path)
+    draws = back.groupBy(*name, "shard", "turn").agg(F.max("words").alias("words"))
+    sums = draws.groupBy(*name).agg(F.sum("words").alias("_words")).withColumnsRenamed({n: f"_{n}" for n in name})
+    own = {"doc_id": F.col("doc_id"), "source": F.col(f"`{source_col}`"), "size": F.col("size")}
+    same = own["doc_id"].eqNullSafe(F.col("_doc_id")) & own["source"].eqNullSafe(F.col("_source")) & (own["size"] == F.col("_size"))
+    out = mixed.drop("draws", "taken").join(sums, same, "left").withColumn("taken", F.coalesce("_words", F.lit(0)).cast("long"))
+    return out.drop("_doc_id", "_source", "_size", "_words")

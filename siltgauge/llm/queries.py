@@ -52,7 +52,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, sf_dir, "documents"))[0].drop("draws")
+    return mixing.mix_through_shards(table(spark, sf_dir, "documents"), scratch_dir(spark, "shards")).drop("source")
 
 
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
