@@ -10,7 +10,7 @@ text; equal lines are one line from then on.
 Lines that share a band are compared by the Jaccard similarity of all their shingles. First every line meets
 one line, the smallest of all bands it is in, which joins groups of near copies of any size with one
 comparison a line. In bands that hold lines of several components even then, all lines of different
-components are compared, in blocks. So of the lines of a band every two are compared or already joined. Only
+components are compared, in pairs if there are few, else in blocks. So of the lines of a band every two are compared or already joined. Only
 the texts of lines that are compared are read again.
 """
 
@@ -28,6 +28,8 @@ SHINGLE = 5
 #: band with probability 1 - (1 - s ** hashes) ** bands: 0.995, 0.995 and 0.992 at 0.8. Lines whose numbers differ by
 #: a quarter at most, as those of similarity 0.8 do unless they repeat themselves, are both in one of these cases.
 CASES = ((0, 40, 8, 10, 4), (32, 200, 1, 10, 4), (160, 1 << 31, 1, 16, 6))
+#: A band of so many lines at most is compared pair by pair, each pair once over all such bands; others in blocks.
+PAIRED = 8
 #: A block of a band holds about so many lines and shingles at most; more make a band several blocks.
 BLOCK_LINES, BLOCK_SHINGLES = 256, 200_000
 #: Bits of a filter that spares rows a shuffle. Its size is fixed; it lets more through as it fills.
@@ -123,8 +125,7 @@ def verified_links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFram
 def block_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs a, b (keys) of similar lines of different components that share a band.
 
-    ``members``: band, key, component, n_shingles, bands (all of the line). A line is found in as many blocks as
-    its band has, and two lines are compared in the first band that they share.
+    ``members``: band, key, component, n_shingles. A line is found in as many blocks as its band has.
     """
     chunks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_LINES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
     shape = landed(members.groupBy("band").agg(chunks.alias("chunks")), "shape")
@@ -132,14 +133,14 @@ def block_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame
     placed = members.join(shape, "band").select(*members.columns, "chunks", chunk)
     placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     low, high = F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
-    member = F.struct("key", "component", "chunk", "n_shingles", "bands", "line").alias("member")
+    member = F.struct("key", "component", "chunk", "n_shingles", "line").alias("member")
     placed = placed.join(texts.select("key", "line"), "key").select("band", low, high, member)
     # A number of parts by setting: to compare costs more than the few bytes of a block show.
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = placed.repartition(parts, "band", "low", "high").groupBy("band", "low", "high").agg(F.collect_list("member").alias("members"))
 
     def with_hashes(m: Column) -> Column:
-        plain = [m[c].alias(c) for c in ("key", "component", "chunk", "n_shingles", "bands")]
+        plain = [m[c].alias(c) for c in ("key", "component", "chunk", "n_shingles")]
         return F.struct(*plain, bound(F.encode(m["line"], "UTF-16BE"), every_hash).alias("hashes"))
 
     def linked(members: Column) -> Column:
@@ -147,8 +148,7 @@ def block_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame
             def near(b: Column) -> Column:
                 apart = (a["key"] < b["key"]) & (a["component"] != b["component"])
                 apart = apart & ((F.col("low") == F.col("high")) | (a["chunk"] != b["chunk"])) & alike(a["n_shingles"], b["n_shingles"], percent)
-                first = F.get(F.array_intersect(a["bands"], b["bands"]), F.lit(0)) == F.col("band")
-                return F.when(~apart, False).when(~first, False).otherwise(similar(a["hashes"], b["hashes"], percent))
+                return F.when(~apart, False).otherwise(similar(a["hashes"], b["hashes"], percent))
 
             return F.transform(F.filter(members, near), lambda b: F.struct(a["key"].alias("a"), b["key"].alias("b")))
 
@@ -160,6 +160,25 @@ def block_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame
     return links
 
 
+def paired_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The same for bands of PAIRED lines at most. ``members`` has the node of the lines, too."""
+    member = F.struct("node", "component", "n_shingles")
+    groups = members.groupBy("band").agg(F.collect_list(member).alias("members"))
+
+    def partners(a: Column) -> Column:
+        def apart(b: Column) -> Column:
+            return (a["node"] < b["node"]) & (a["component"] != b["component"]) & alike(a["n_shingles"], b["n_shingles"], percent)
+
+        return F.transform(F.filter("members", apart), lambda b: F.struct(a["node"].alias("x"), b["node"].alias("y")))
+
+    pairs = groups.select(F.explode(F.flatten(F.transform("members", partners))).alias("p")).select("p.*").distinct()
+    pairs = landed(pairs, "pairs")
+    with settings(members.sparkSession, spark__sql__codegen__wholeStage="false"):
+        links = landed(verified_links(pairs, texts, percent), "links")
+    discard(pairs)
+    return links
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """place, key, node, line for every line with a word."""
     pieces = docs.select("doc_id", "ref", F.posexplode(_split("text")).alias("_n", "line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
@@ -192,28 +211,38 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     texts = texts.join(hubs.select("node"), "node", "left_semi")
     texts = texts.withColumn("_h", bound(F.encode("line", "UTF-16BE"), every_hash))
     texts = landed(texts.withColumn("n_shingles", F.size(F.array_distinct("_h"))).drop("_h"), "texts")
+    places = unique.select("key", "node", "first", "n")
+    places = places.where("n > 1").unionByName(passing(places.where("n = 1"), "node", known))
+    places = landed(places.drop("node"), "places")
+    for done in (unique, met, shared, known):
+        discard(done)
     pairs = hubs.where("node != hub").select(F.col("node").alias("x"), F.col("hub").alias("y"))
     with settings(spark, spark__sql__codegen__wholeStage="false"):
         links = landed(verified_links(pairs, texts, percent), "links")
+    discard(hubs)
     labels = components(links)
 
     named = texts.select("node", "key", "n_shingles")
     named = named.join(labels.withColumnRenamed("node", "key"), "key", "left")
     named = named.select("node", "key", F.coalesce("component", "key").alias("component"), "n_shingles")
-    labelled = landed(members.select("band", "node").join(named, "node").drop("node"), "labelled")
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low != _high")
-    mixed = labelled.join(mixed.select("band"), "band").join(unique.select("key", "bands"), "key")
-    mixed = landed(mixed, "mixed")
-    more = block_links(mixed, texts, percent)
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
-    for done in (met, shared, members, hubs, known, texts, links, labelled, mixed, more):
+    labelled = landed(members.select("band", "node").join(named, "node"), "labelled")
+    mixed = labelled.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_m"))
+    mixed = landed(labelled.join(mixed.where("_low != _high").select("band", "_m"), "band"), "mixed")
+    for done in (members, labelled):
+        discard(done)
+    more = [paired_links(mixed.where(F.col("_m") <= PAIRED), texts, percent)]
+    more.append(block_links(mixed.where(F.col("_m") > PAIRED).drop("node", "_m"), texts, percent))
+    for done in (texts, mixed):
+        discard(done)
+    if not all(found.isEmpty() for found in more):
+        labels = components(links.unionByName(more[0]).unionByName(more[1]))
+    for done in (links, *more):
         discard(done)
 
     # Of a component, and of equal lines, the first place stays.
-    joined = unique.select("key", "first", "n").join(labels.withColumnRenamed("node", "key"), "key", "left")
+    joined = places.join(labels.withColumnRenamed("node", "key"), "key", "left")
     joined = landed(joined.where("n > 1 or component is not null").select("key", "first", "component"), "joined")
-    discard(unique)
+    discard(places)
     kept = joined.where("component is not null").groupBy("component").agg(F.min("first").alias("_kept"))
     joined = landed(joined.join(kept, "component", "left").select("key", F.coalesce("_kept", "first").alias("kept")), "kept")
     again = landed(fixed_filter(joined.select(F.xxhash64("key").alias("node")), "node"), "again")
