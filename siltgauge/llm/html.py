@@ -216,17 +216,22 @@ def common(a: list[int], b: list[int], cells: int = 1 << 30) -> list[tuple[int,
 
 
 def shared_lines(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-    """Places of the lines of two pages that are template: those in common, unless the pages are equal."""
-    both = np.intersect1d(a, b)
-    if not len(both) or np.array_equal(a, b):
+    """Places of the lines of two pages (see :func:`_hashes`) that are template: those in common, unless the pages
+    are equal. Only open lines are told, for of the others none is deleted."""
+    words = (a >> 1, b >> 1)
+    both = np.intersect1d(*words)
+    if not len(both) or np.array_equal(*words):
         return [], []
-    places = [np.flatnonzero(np.isin(side, both)) for side in (a, b)]
-    pairs = common(a[places[0]].tolist(), b[places[1]].tolist())
-    return [int(places[0][i]) for i, _ in pairs], [int(places[1][j]) for _, j in pairs]
+    places = [np.flatnonzero(np.isin(side, both)) for side in words]
+    pairs = common(words[0][places[0]].tolist(), words[1][places[1]].tolist())
+    one, two = [int(places[0][i]) for i, _ in pairs], [int(places[1][j]) for _, j in pairs]
+    return [n for n in one if a[n] & 1], [n for n in two if b[n] & 1]
 
 
 def _hashes(found: list[tuple[str, bool, bool]]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(text) >> 1 for text, *_ in found], dtype=np.int64)
+    """A number per line. Equal lines have equal ones but for the last bit, which is set for open lines: those that
+    markup puts neither into the article nor beside it."""
+    return np.array([xxhash.xxh64_intdigest(text) >> 2 << 1 | (not inside and not named) for text, inside, named in found], dtype=np.int64)
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))

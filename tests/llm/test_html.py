@@ -120,9 +120,10 @@ def test_lines_in_articles_stay(spark):
 
 
 def test_copies_say_nothing():
-    a = np.arange(20)
+    a, b = 2 * np.arange(20) + 1, 2 * np.arange(10, 40) + 1  # open lines
     assert html.shared_lines(a, a) == ([], [])
-    assert html.shared_lines(a, np.arange(10, 40)) == (list(range(10, 20)), list(range(10)))
+    assert html.shared_lines(a, b) == (list(range(10, 20)), list(range(10)))
+    assert html.shared_lines(a - 1, b) == ([], list(range(10)))
 
 
 def texts(spark, rows):
