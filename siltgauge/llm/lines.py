@@ -10,8 +10,9 @@ text; equal lines are one line from then on.
 Lines that share a band are compared by the Jaccard similarity of all their shingles. First every line meets
 one line, the smallest of all bands it is in, which joins groups of near copies of any size with one
 comparison a line. In bands that hold lines of several components even then, all lines of different
-components are compared, in pairs if there are few, else in blocks. So of the lines of a band every two are compared or already joined. Only
-the texts of lines that are compared are read again.
+components are compared, in pairs if there are few, else in blocks. So of the lines of a band every two are
+compared or already joined. To compare is to look at an odd sketch of both, which tells most pairs below the
+similarity for sure, and then at all of their shingles.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ SHINGLE = 5
 CASES = ((0, 40, 8, 10, 4), (32, 200, 1, 10, 4), (160, 1 << 31, 1, 16, 6))
 #: A band of so many lines at most is compared pair by pair, each pair once over all such bands; others in blocks.
 PAIRED = 8
-#: A block of a band holds about so many lines and shingles at most; more make a band several blocks.
-BLOCK_LINES, BLOCK_SHINGLES = 256, 200_000
+#: A block of a band holds about so many lines at most; more make a band several blocks.
+BLOCK_LINES = 256
+#: Words of 64 bits in the odd sketch of a line.
+WORDS = 16
 #: Bits of a filter that spares rows a shuffle. Its size is fixed; it lets more through as it fills.
 FILTER_BITS = 1 << 25
 
@@ -90,9 +93,30 @@ def similar(a: Column, b: Column, percent: int = 80) -> Column:
     return 100 * F.size(F.array_intersect(a, b)) >= percent * F.size(F.array_union(a, b))
 
 
-def alike(a: Column, b: Column, percent: int = 80) -> Column:
-    """Whether sets of so many shingles can have that similarity."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def with_sketch(texts: DataFrame) -> DataFrame:
+    """node, key, n_shingles (different ones) and sketch for ``texts`` (node, key, line).
+
+    An odd sketch has a bit for whether an odd number of a line's shingles fall there, so a shingle that only one
+    of two lines has changes one bit: they have at least as many such shingles as bits that differ.
+    """
+    hashed = texts.select("node", "key", bound(F.encode("line", "UTF-16BE"), every_hash).alias("_h"))
+    hashed = hashed.select("node", "key", F.array_distinct("_h").alias("_h"))
+    single = hashed.select("node", "key", F.size("_h").alias("n_shingles"), F.explode("_h").alias("_s"))
+    word, bit = F.shiftrightunsigned("_s", 6).bitwiseAND(F.lit(WORDS - 1)), F.expr("shiftleft(1L, cast(_s & 63 AS INT))")
+    single = single.select("node", "key", "n_shingles", word.alias("_w"), bit.alias("_b"))
+    odd = [F.bit_xor(F.when(F.col("_w") == n, F.col("_b"))).alias(f"_o{n}") for n in range(WORDS)]
+    odd = single.groupBy("node", "key", "n_shingles").agg(*odd)
+    return odd.select("node", "key", "n_shingles", F.array(*[F.coalesce(f"_o{n}", F.lit(0).cast("bigint")) for n in range(WORDS)]).alias("sketch"))
+
+
+def can_be_similar(n_a: Column, sketch_a: Column, n_b: Column, sketch_b: Column, percent: int) -> Column:
+    """False only for lines that do not have that similarity, by their numbers of shingles and their sketches."""
+    differ = [F.bit_count(F.get(sketch_a, F.lit(k)).bitwiseXOR(F.get(sketch_b, F.lit(k)))) for k in range(WORDS)]
+    apart = differ[0]
+    for more in differ[1:]:
+        apart = apart + more
+    sizes = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    return F.when(~sizes, False).otherwise((100 + percent) * apart <= (100 - percent) * (n_a + n_b))
 
 
 def every_hash(units: Column) -> Column:
@@ -111,72 +135,69 @@ def _split(text: str) -> Column:
     return F.split(F.col(text), "\n", -1)
 
 
-def verified_links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b (keys) of similar lines for pairs x, y of nodes. ``texts``: node, key, line, n_shingles."""
+def likely_pairs(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b (keys) that can be similar for pairs x, y of nodes."""
 
     def side(node: str, key: str) -> DataFrame:
-        return texts.select(F.col("node").alias(node), F.col("key").alias(key), F.col("line").alias(f"_{key}"), F.col("n_shingles").alias(f"_n{key}"))
+        return sketches.select(F.col("node").alias(node), *[F.col(c).alias(f"{c}_{key}") for c in ("key", "n_shingles", "sketch")])
 
-    both = pairs.join(side("x", "a"), "x").join(side("y", "b"), "y").where(alike(F.col("_na"), F.col("_nb"), percent))
+    both = pairs.join(side("x", "a"), "x").join(side("y", "b"), "y")
+    near = can_be_similar(*[F.col(f"{c}_{k}") for k in "ab" for c in ("n_shingles", "sketch")], percent)
+    return both.where(near).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+
+
+def verified_links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b (keys) whose lines are similar by all of their shingles."""
+    one = texts.select(F.col("key").alias("a"), F.col("line").alias("_a"))
+    two = texts.select(F.col("key").alias("b"), F.col("line").alias("_b"))
+    both = landed(pairs, "likely").join(one, "a").join(two, "b")
     both = both.select("a", "b", *[bound(F.encode(f"_{c}", "UTF-16BE"), every_hash).alias(f"_{c}") for c in "ab"])
-    return both.where(similar(F.col("_a"), F.col("_b"), percent)).select("a", "b")
+    # As one generated method of a stage, these comparisons are not compiled.
+    with settings(texts.sparkSession, spark__sql__codegen__wholeStage="false"):
+        return landed(both.where(similar(F.col("_a"), F.col("_b"), percent)).select("a", "b"), "links")
+
+
+def paired_candidates(members: DataFrame) -> DataFrame:
+    """The pairs x, y (nodes) of lines of different components that share a band of PAIRED lines at most."""
+    groups = members.groupBy("band").agg(F.collect_list(F.struct("node", "component")).alias("members"))
+
+    def partners(a: Column) -> Column:
+        apart = F.filter("members", lambda b: (a["node"] < b["node"]) & (a["component"] != b["component"]))
+        return F.transform(apart, lambda b: F.struct(a["node"].alias("x"), b["node"].alias("y")))
+
+    return groups.select(F.explode(F.flatten(F.transform("members", partners))).alias("p")).select("p.*").distinct()
 
 
-def block_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b (keys) of similar lines of different components that share a band.
+def block_pairs(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b (keys) of lines of different components that share a band and can be similar.
 
-    ``members``: band, key, component, n_shingles. A line is found in as many blocks as its band has.
+    ``members``: band, node, key, component. A line is found in as many blocks as its band has; all lines of two
+    blocks are compared by their sketches, and what may be similar goes out.
     """
-    chunks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_LINES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+    chunks = F.ceil(F.count(F.lit(1)) / BLOCK_LINES).cast("int")
     shape = landed(members.groupBy("band").agg(chunks.alias("chunks")), "shape")
     chunk = F.pmod(F.xxhash64("key", F.lit(1)), F.col("chunks")).cast("int").alias("chunk")
-    placed = members.join(shape, "band").select(*members.columns, "chunks", chunk)
+    placed = members.join(shape, "band").select("band", "key", "component", "chunks", chunk)
     placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     low, high = F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
-    member = F.struct("key", "component", "chunk", "n_shingles", "line").alias("member")
-    placed = placed.join(texts.select("key", "line"), "key").select("band", low, high, member)
+    member = F.struct("key", "component", "chunk", "n_shingles", "sketch").alias("member")
+    placed = placed.join(sketches.drop("node"), "key").select("band", low, high, member)
     # A number of parts by setting: to compare costs more than the few bytes of a block show.
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = placed.repartition(parts, "band", "low", "high").groupBy("band", "low", "high").agg(F.collect_list("member").alias("members"))
 
-    def with_hashes(m: Column) -> Column:
-        plain = [m[c].alias(c) for c in ("key", "component", "chunk", "n_shingles")]
-        return F.struct(*plain, bound(F.encode(m["line"], "UTF-16BE"), every_hash).alias("hashes"))
-
-    def linked(members: Column) -> Column:
-        def partners(a: Column) -> Column:
-            def near(b: Column) -> Column:
-                apart = (a["key"] < b["key"]) & (a["component"] != b["component"])
-                apart = apart & ((F.col("low") == F.col("high")) | (a["chunk"] != b["chunk"])) & alike(a["n_shingles"], b["n_shingles"], percent)
-                return F.when(~apart, False).otherwise(similar(a["hashes"], b["hashes"], percent))
-
-            return F.transform(F.filter(members, near), lambda b: F.struct(a["key"].alias("a"), b["key"].alias("b")))
-
-        return F.flatten(F.transform(members, partners))
-
-    found = blocks.select(F.explode(bound(F.transform("members", with_hashes), linked)).alias("link"))
-    links = landed(found.select("link.*").distinct(), "links")
-    discard(shape)
-    return links
-
-
-def paired_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The same for bands of PAIRED lines at most. ``members`` has the node of the lines, too."""
-    member = F.struct("node", "component", "n_shingles")
-    groups = members.groupBy("band").agg(F.collect_list(member).alias("members"))
-
     def partners(a: Column) -> Column:
-        def apart(b: Column) -> Column:
-            return (a["node"] < b["node"]) & (a["component"] != b["component"]) & alike(a["n_shingles"], b["n_shingles"], percent)
+        def near(b: Column) -> Column:
+            apart = (a["key"] < b["key"]) & (a["component"] != b["component"])
+            apart = apart & ((F.col("low") == F.col("high")) | (a["chunk"] != b["chunk"]))
+            return F.when(~apart, False).otherwise(can_be_similar(a["n_shingles"], a["sketch"], b["n_shingles"], b["sketch"], percent))
 
-        return F.transform(F.filter("members", apart), lambda b: F.struct(a["node"].alias("x"), b["node"].alias("y")))
+        return F.transform(F.filter("members", near), lambda b: F.struct(a["key"].alias("a"), b["key"].alias("b")))
 
-    pairs = groups.select(F.explode(F.flatten(F.transform("members", partners))).alias("p")).select("p.*").distinct()
+    pairs = blocks.select(F.explode(F.flatten(F.transform("members", partners))).alias("p")).select("p.*").distinct()
     pairs = landed(pairs, "pairs")
-    with settings(members.sparkSession, spark__sql__codegen__wholeStage="false"):
-        links = landed(verified_links(pairs, texts, percent), "links")
-    discard(pairs)
-    return links
+    discard(shape)
+    return pairs
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -207,36 +228,34 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     hubs = landed(members.groupBy("node").agg(F.min("low").alias("hub")), "hubs")
     known = landed(fixed_filter(hubs, "node"), "known")
     # The smallest line of a band is in it too, so all that are compared are nodes here.
-    texts = passing(every.select("node", "key", "line"), "node", known).dropDuplicates(["key"])
-    texts = texts.join(hubs.select("node"), "node", "left_semi")
-    texts = texts.withColumn("_h", bound(F.encode("line", "UTF-16BE"), every_hash))
-    texts = landed(texts.withColumn("n_shingles", F.size(F.array_distinct("_h"))).drop("_h"), "texts")
+    texts = passing(every.select("node", "key", "line"), "node", known).join(hubs.select("node"), "node", "left_semi")
+    texts = landed(texts.dropDuplicates(["key"]), "texts")
     places = unique.select("key", "node", "first", "n")
     places = places.where("n > 1").unionByName(passing(places.where("n = 1"), "node", known))
     places = landed(places.drop("node"), "places")
     for done in (unique, met, shared, known):
         discard(done)
+    sketches = landed(with_sketch(texts), "sketches")
     pairs = hubs.where("node != hub").select(F.col("node").alias("x"), F.col("hub").alias("y"))
-    with settings(spark, spark__sql__codegen__wholeStage="false"):
-        links = landed(verified_links(pairs, texts, percent), "links")
+    links = verified_links(likely_pairs(pairs, sketches, percent), texts, percent)
     discard(hubs)
     labels = components(links)
 
-    named = texts.select("node", "key", "n_shingles")
-    named = named.join(labels.withColumnRenamed("node", "key"), "key", "left")
-    named = named.select("node", "key", F.coalesce("component", "key").alias("component"), "n_shingles")
-    labelled = landed(members.select("band", "node").join(named, "node"), "labelled")
+    named = sketches.select("node", "key").join(labels.withColumnRenamed("node", "key"), "key", "left")
+    named = named.select("node", "key", F.coalesce("component", "key").alias("component"))
+    labelled = landed(members.join(named, "node").select("band", "node", "key", "component"), "labelled")
     mixed = labelled.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_m"))
     mixed = landed(labelled.join(mixed.where("_low != _high").select("band", "_m"), "band"), "mixed")
     for done in (members, labelled):
         discard(done)
-    more = [paired_links(mixed.where(F.col("_m") <= PAIRED), texts, percent)]
-    more.append(block_links(mixed.where(F.col("_m") > PAIRED).drop("node", "_m"), texts, percent))
-    for done in (texts, mixed):
+    few = likely_pairs(paired_candidates(mixed.where(F.col("_m") <= PAIRED)), sketches, percent)
+    many = block_pairs(mixed.where(F.col("_m") > PAIRED), sketches, percent)
+    more = verified_links(few.unionByName(many).distinct(), texts, percent)
+    for done in (texts, sketches, mixed, many):
         discard(done)
-    if not all(found.isEmpty() for found in more):
-        labels = components(links.unionByName(more[0]).unionByName(more[1]))
-    for done in (links, *more):
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
+    for done in (links, more):
         discard(done)
 
     # Of a component, and of equal lines, the first place stays.

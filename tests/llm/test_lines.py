@@ -161,3 +161,24 @@ def test_long_lines_at_the_threshold_are_found(spark):
     assert len(want) >= 300
     assert found <= want
     assert len(found) >= 0.97 * len(want)
+
+
+def test_sketches_lose_no_similar_pair(spark):
+    draw = random.Random(8)
+    pairs = []
+    for n in range(300):
+        words = ["".join(draw.choice("abcdefgh ") for _ in range(6)) for _ in range(draw.choice([1, 4, 20, 80]))]
+        other = [draw.choice(["", w, w[::-1]]) if draw.random() < 0.12 else w for w in words]
+        pairs.append((n, "".join(words), "".join(other)))
+    texts = [(k * 1000 + n, t) for n, *both in pairs for k, t in enumerate(both)]
+    frame = spark.createDataFrame(texts, "node long, line string").withColumn("key", F.col("node").cast("string"))
+    sketches = lines.with_sketch(frame)
+    asked = spark.createDataFrame([(n, 1000 + n) for n, *_ in pairs], "x long, y long")
+    kept = {int(r.a) for r in lines.likely_pairs(asked, sketches, 80).collect()}
+
+    def jaccard(a, b):
+        return len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+
+    similar = {n for n, a, b in pairs if 10 * len(shingles(a) & shingles(b)) >= 8 * len(shingles(a) | shingles(b))}
+    assert similar and similar <= kept
+    assert len(kept) < len(pairs) - sum(jaccard(a, b) < 0.6 for _, a, b in pairs if len(a) > 40) / 2
