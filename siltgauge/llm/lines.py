@@ -11,7 +11,7 @@ Lines that share a band are compared by the Jaccard similarity of all their shin
 one line, the smallest of all bands it is in, which joins groups of near copies of any size with one
 comparison a line. In bands that hold lines of several components even then, all lines of different
 components are compared, in pairs if there are few, else in blocks. So of the lines of a band every two are
-compared or already joined. To compare is to look at an odd sketch of both, which tells most pairs below the
+compared or already joined. To compare is to look at a sketch of both, which tells most pairs below the
 similarity for sure, and then at all of their shingles.
 """
 
@@ -33,7 +33,7 @@ CASES = ((0, 40, 8, 10, 4), (32, 200, 1, 10, 4), (160, 1 << 31, 1, 16, 6))
 PAIRED = 8
 #: A block of a band holds about so many lines at most; more make a band several blocks.
 BLOCK_LINES = 256
-#: Words of 64 bits in the odd sketch of a line.
+#: Words of 64 bits in the sketch of a line.
 WORDS = 16
 #: Bits of a filter that spares rows a shuffle. Its size is fixed; it lets more through as it fills.
 FILTER_BITS = 1 << 25
@@ -94,29 +94,28 @@ def similar(a: Column, b: Column, percent: int = 80) -> Column:
 
 
 def with_sketch(texts: DataFrame) -> DataFrame:
-    """node, key, n_shingles (different ones) and sketch for ``texts`` (node, key, line).
+    """node, key, n_shingles (with repeats) and sketch for ``texts`` (node, key, line).
 
-    An odd sketch has a bit for whether an odd number of a line's shingles fall there, so a shingle that only one
-    of two lines has changes one bit: they have at least as many such shingles as bits that differ.
+    A sketch has a bit where a line has shingles, so where the bits of two lines differ, one has a shingle that
+    the other has not: there are at least as many of these as bits that differ.
     """
     hashed = texts.select("node", "key", bound(F.encode("line", "UTF-16BE"), every_hash).alias("_h"))
-    hashed = hashed.select("node", "key", F.array_distinct("_h").alias("_h"))
     single = hashed.select("node", "key", F.size("_h").alias("n_shingles"), F.explode("_h").alias("_s"))
     word, bit = F.shiftrightunsigned("_s", 6).bitwiseAND(F.lit(WORDS - 1)), F.expr("shiftleft(1L, cast(_s & 63 AS INT))")
     single = single.select("node", "key", "n_shingles", word.alias("_w"), bit.alias("_b"))
-    odd = [F.bit_xor(F.when(F.col("_w") == n, F.col("_b"))).alias(f"_o{n}") for n in range(WORDS)]
-    odd = single.groupBy("node", "key", "n_shingles").agg(*odd)
-    return odd.select("node", "key", "n_shingles", F.array(*[F.coalesce(f"_o{n}", F.lit(0).cast("bigint")) for n in range(WORDS)]).alias("sketch"))
+    held = [F.bit_or(F.when(F.col("_w") == n, F.col("_b"))).alias(f"_o{n}") for n in range(WORDS)]
+    held = single.groupBy("node", "key", "n_shingles").agg(*held)
+    return held.select("node", "key", "n_shingles", F.array(*[F.coalesce(f"_o{n}", F.lit(0).cast("bigint")) for n in range(WORDS)]).alias("sketch"))
 
 
 def can_be_similar(n_a: Column, sketch_a: Column, n_b: Column, sketch_b: Column, percent: int) -> Column:
-    """False only for lines that do not have that similarity, by their numbers of shingles and their sketches."""
+    """False only for lines that do not have that similarity, by their numbers of shingles and their sketches: lines
+    of that similarity have at most (100 - percent) / (100 + percent) of all their shingles not in common."""
     differ = [F.bit_count(F.get(sketch_a, F.lit(k)).bitwiseXOR(F.get(sketch_b, F.lit(k)))) for k in range(WORDS)]
     apart = differ[0]
     for more in differ[1:]:
         apart = apart + more
-    sizes = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-    return F.when(~sizes, False).otherwise((100 + percent) * apart <= (100 - percent) * (n_a + n_b))
+    return (100 + percent) * apart <= (100 - percent) * (n_a + n_b)
 
 
 def every_hash(units: Column) -> Column:
