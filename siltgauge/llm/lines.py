@@ -10,7 +10,8 @@ text; equal lines are one line from then on.
 Lines that share a band are compared by the Jaccard similarity of all their shingles. First every line meets
 one line, the smallest of all bands it is in, which joins groups of near copies of any size with one
 comparison a line. In bands that hold lines of several components even then, all lines of different
-components are compared, in pairs if there are few, else in blocks. So of the lines of a band every two are
+components are compared: in pairs if there are few; else with some lines of the band drawn at random, and what
+is of different components still, in blocks. So of the lines of a band every two are
 compared or already joined. To compare is to look at a sketch of both, which tells most pairs below the
 similarity for sure, and then at all of their shingles.
 """
@@ -31,6 +32,8 @@ SHINGLE = 5
 CASES = ((0, 40, 8, 10, 4), (32, 200, 1, 10, 4), (160, 1 << 31, 1, 16, 6))
 #: A band of so many lines at most is compared pair by pair, each pair once over all such bands; others in blocks.
 PAIRED = 8
+#: Larger bands first meet so many lines of theirs at random, which joins most of what is similar.
+ROUNDS = 2
 #: A block of a band holds about so many lines at most; more make a band several blocks.
 BLOCK_LINES = 256
 #: Words of 64 bits in the sketch of a line.
@@ -199,6 +202,13 @@ def block_pairs(members: DataFrame, sketches: DataFrame, percent: int) -> DataFr
     return pairs
 
 
+def random_hubs(members: DataFrame, turn: int) -> DataFrame:
+    """The pairs x, y (nodes) of the lines of each band with one of its lines, drawn by hash, of another component."""
+    drawn = F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("hub")
+    met = members.join(members.groupBy("band").agg(drawn), "band").where("component != hub.component")
+    return met.select(F.col("node").alias("x"), F.col("hub.node").alias("y")).distinct()
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """place, key, node, line for every line with a word."""
     pieces = docs.select("doc_id", "ref", F.posexplode(_split("text")).alias("_n", "line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
@@ -240,13 +250,25 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     discard(hubs)
     labels = components(links)
 
-    named = sketches.select("node", "key").join(labels.withColumnRenamed("node", "key"), "key", "left")
-    named = named.select("node", "key", F.coalesce("component", "key").alias("component"))
-    labelled = landed(members.join(named, "node").select("band", "node", "key", "component"), "labelled")
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_m"))
-    mixed = landed(labelled.join(mixed.where("_low != _high").select("band", "_m"), "band"), "mixed")
-    for done in (members, labelled):
-        discard(done)
+    def mixed_bands(rows: DataFrame) -> DataFrame:
+        """band, node, key, component, _m of the lines (band, node, key) of bands with several components; _m: their lines."""
+        named = rows.join(labels.withColumnRenamed("node", "key"), "key", "left")
+        named = landed(named.select("band", "node", "key", F.coalesce("component", "key").alias("component")), "labelled")
+        bands = named.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_m"))
+        out = landed(named.join(bands.where("_low != _high").select("band", "_m"), "band"), "mixed")
+        discard(named)
+        return out
+
+    mixed = mixed_bands(members.select("band", "node").join(sketches.select("node", "key"), "node"))
+    discard(members)
+    for turn in range(ROUNDS):
+        found = verified_links(likely_pairs(random_hubs(mixed.where(F.col("_m") > PAIRED), turn), sketches, percent), texts, percent)
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        labels, before = components(links), mixed
+        mixed = mixed_bands(before.select("band", "node", "key"))
+        discard(before)
     few = likely_pairs(paired_candidates(mixed.where(F.col("_m") <= PAIRED)), sketches, percent)
     many = block_pairs(mixed.where(F.col("_m") > PAIRED), sketches, percent)
     more = verified_links(few.unionByName(many).distinct(), texts, percent)
