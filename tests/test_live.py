@@ -359,3 +359,15 @@ def test_integer_ids_are_keys(spark):
 def test_array_reader_of_whole_files_still_reads(spark, tmp_path):
     (tmp_path / "a.json").write_text(f"[{changed()}]")
     assert readers.read_json_array(spark, str(tmp_path)).count() == 1
+
+
+def test_records_are_parsed_once_for_a_result(spark, sf_dir):
+    from siltgauge.plans.queries import QUERIES
+
+    def parses(name):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("parseJson")
+
+    # windows and key counts are landed, so status, alerts and marks go over the records once
+    assert [parses(n) for n in ("alerts", "flow_status", "system_health", "recent_alerts")] == [0, 0, 0, 0]
+    assert [parses(n) for n in ("quality_per_window", "dq_duplicate_rows", "dq_product_catalogue", "validate")] == [1, 1, 1, 1]
