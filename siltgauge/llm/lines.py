@@ -152,11 +152,14 @@ def verified_links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFram
     """The pairs a, b (keys) whose lines are similar by all of their shingles."""
     one = texts.select(F.col("key").alias("a"), F.col("line").alias("_a"))
     two = texts.select(F.col("key").alias("b"), F.col("line").alias("_b"))
-    both = landed(pairs, "likely").join(one, "a").join(two, "b")
+    pairs = landed(pairs, "likely")
+    both = pairs.join(one, "a").join(two, "b")
     both = both.select("a", "b", *[bound(F.encode(f"_{c}", "UTF-16BE"), every_hash).alias(f"_{c}") for c in "ab"])
     # As one generated method of a stage, these comparisons are not compiled.
     with settings(texts.sparkSession, spark__sql__codegen__wholeStage="false"):
-        return landed(both.where(similar(F.col("_a"), F.col("_b"), percent)).select("a", "b"), "links")
+        links = landed(both.where(similar(F.col("_a"), F.col("_b"), percent)).select("a", "b"), "links")
+    discard(pairs)
+    return links
 
 
 def paired_candidates(members: DataFrame) -> DataFrame:
@@ -266,6 +269,7 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
         if found.isEmpty():
             break
         links = links.unionByName(found)
+        discard(labels)
         labels, before = components(links), mixed
         mixed = mixed_bands(before.select("band", "node", "key"))
         discard(before)
@@ -275,6 +279,7 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     for done in (texts, sketches, mixed, many):
         discard(done)
     if not more.isEmpty():
+        discard(labels)
         labels = components(links.unionByName(more))
     for done in (links, more):
         discard(done)

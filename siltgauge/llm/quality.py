@@ -86,20 +86,22 @@ def host_verdicts(scored: DataFrame, *, reject_from: float = 0.5) -> DataFrame:
     return hosts.withColumn("rejected", F.col("shrunk_rate") >= reject_from)
 
 
-def judge(docs: DataFrame, row: list[str], *, host_col: str = "source", text_col: str = "text") -> DataFrame:
+def judge(docs: DataFrame, row: list[str], *, host_col: str = "source", text_col: str = "text", land: bool = True) -> DataFrame:
     """``row`` (a struct of the columns named), f (features), base_failed, kept per row of ``docs``.
 
     A document is kept if it passes the base rules and, where its host is rejected, all other rules too.
     A NULL text has no words and so fails; documents without a host are the documents of one host of
     their own; repeated rows are judged alike; an empty table gives an empty one. The columns of the
-    caller stay inside ``row``, whatever their names.
+    caller stay inside ``row``, whatever their names. Without ``land``, features are worked out twice, for the
+    hosts and for the result, and nothing of the rows is written in between: for rows with their texts.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in row]).alias("row")
     scored = docs.select(whole, F.col(f"`{host_col}`").alias("host"), _features(whole_text(text_col)).alias("f"))
     failed = F.filter(
         F.array(*[F.when(broken, F.lit(rule)) for rule, broken in rule_failures(F.col("f")).items()]), F.isnotnull
     )
-    scored = landed(scored.withColumn("failed_rules", failed).withColumn("base_failed", base_failed(F.col("f"))), "quality")
+    scored = scored.withColumn("failed_rules", failed).withColumn("base_failed", base_failed(F.col("f")))
+    scored = landed(scored, "quality") if land else scored
     bad = host_verdicts(scored).where("rejected").select(F.col("host").alias("_bad"), F.lit(True).alias("_rejected"))
     # Landed, so that its size is known when Spark plans the join.
     joined = scored.join(landed(bad, "hosts"), F.col("host").eqNullSafe(F.col("_bad")), "left")
@@ -116,4 +118,4 @@ def rate_documents(docs: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows that :func:`judge` keeps, with the columns they came with."""
-    return judge(docs, docs.columns).where("kept").select("row.*")
+    return judge(docs, docs.columns, land=False).where("kept").select("row.*")
