@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import pairwise
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -182,35 +185,60 @@ def edge_value(quoted_timestamp: str) -> str:
     return f"CASE kind WHEN 47 THEN '{{\"order_id\":\"broken' ELSE {body} END"
 
 
-def edge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record per event, about half of them faulty in one of many ways."""
-    drawn = clean(spark, sf_dir).withColumns(
+def edge_from_events(events: DataFrame) -> DataFrame:
+    """One record per event, about half of them faulty in one of many ways, with its arrival time."""
+    drawn = clean_from_events(events).withColumns(
         {
             "kind": draw(SEED, "edge", F.col("event_id")) % EDGE_KINDS,
             "time_index": draw(SEED, "edge_time", F.col("event_id")) % len(EDGE_TIMES),
         }
     )
-    return drawn.select("event_id", F.expr(edge_value("`timestamp`")).alias("value"))
-
-
-def edge_stream(spark: SparkSession, sf_dir: str, files: int = 5) -> DataFrame:
-    """The ``edge`` records with their arrival times as a stream of one file per micro-batch, in order of arrival."""
-    path = scratch_dir(spark, "edge")
-    rows = edge(spark, sf_dir).join(clean(spark, sf_dir).select("event_id", "ingest_ts"), "event_id")
-    rows.repartitionByRange(files, "ingest_ts").write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
-def dirty_stream(spark: SparkSession, sf_dir: str, files: int = 6) -> DataFrame:
-    """The corrupted records as a stream of one file per micro-batch, in order of arrival."""
-    path = scratch_dir(spark, "dirty")
-    rows = dirty(spark, sf_dir)
-    last = table(spark, sf_dir, "events").agg(F.max("event_id")).scalar()
-    for n in range(files):
-        # a source takes files by their time, so they are written one after another
-        part = F.floor(F.col("event_id") * files / (last + 1)) == n
-        rows.where(part).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return drawn.select("event_id", F.expr(edge_value("`timestamp`")).alias("value"), "ingest_ts")
+
+
+def edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edge_from_events(table(spark, sf_dir, "events")).drop("ingest_ts")
+
+
+#: rows of a file of a stream, about
+FILE_ROWS = 25_000
+
+
+def _stream_of(events: DataFrame, batches: list[Column], make: Callable[[DataFrame], DataFrame], purpose: str) -> DataFrame:
+    """What ``make`` makes of the events as a stream of a micro-batch per condition, in this order.
+
+    A micro-batch is as many files as the largest one asks for, so that as many tasks make and read it.
+    """
+    spark = events.sparkSession
+    path = scratch_dir(spark, purpose)
+    files = max(1, -(-max(events.agg(*[F.count_if(b) for b in batches]).first()) // FILE_ROWS))
+    for batch in batches:
+        # a source takes files by their time, so micro-batches are written one after another
+        part = events.where(batch)
+        rows = make(part.coalesce(1) if files == 1 else part.repartition(files, "event_id"))
+        rows.write.mode("append").parquet(path)
+    # counted, as a session may deal rows to other numbers of tasks than it is asked for
+    per_batch = -(-len(spark.read.parquet(path).inputFiles()) // len(batches))
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
+
+
+def edge_stream(spark: SparkSession, sf_dir: str, batches: int = 5) -> DataFrame:
+    """The ``edge`` records with their arrival times as a stream of several micro-batches, in order of arrival."""
+    events = table(spark, sf_dir, "events")
+    places = F.percentile_approx("ts", [n / batches for n in range(1, batches)]).cast("array<string>")
+    limits = [F.lit(t).cast("timestamp_ntz") for t in events.agg(places).first()[0] or [None] * (batches - 1)]
+    ts = F.col("ts")
+    parts = [ts.isNull() | (ts < limits[0]), *[(ts >= a) & (ts < b) for a, b in pairwise(limits)], ts >= limits[-1]]
+    return _stream_of(events, parts, edge_from_events, "edge")
+
+
+def dirty_stream(spark: SparkSession, sf_dir: str, batches: int = 6) -> DataFrame:
+    """The corrupted records as a stream of several micro-batches, in order of arrival."""
+    events = table(spark, sf_dir, "events")
+    ids = events.agg(F.max("event_id")).first()[0] + 1
+    limits = [-(-n * ids // batches) for n in range(batches + 1)]
+    key = F.col("event_id")
+    return _stream_of(events, [(key >= a) & (key < b) for a, b in pairwise(limits)], dirty_from_events, "dirty")
 
 
 #: a stage loses the records with these ids, and is late by two hours with those: (modulus, rest) of each
