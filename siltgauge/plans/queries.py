@@ -280,7 +280,8 @@ def detection_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (product.isNotNull() & ~product.isin(*SYNTH_PRODUCTS)).alias("by_domain"),
         F.col("record.order_id").alias("order_id"),
     )
-    flagged = duplicates.flag_duplicates(narrow, ["order_id"], ["event_id"], "by_duplicates")
+    # landed, as marking duplicates reads the rows twice and the records behind them are read once
+    flagged = duplicates.flag_duplicates(landed(narrow, "detected"), ["order_id"], ["event_id"], "by_duplicates")
     return checks.detection_matrix(flagged, detectors=("by_rules", "by_fields", "by_domain", "by_duplicates"))
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltgauge.plans import fixtures as fx
+from siltgauge.plans.queries import QUERIES
 
 
 @pytest.mark.parametrize(("make", "batches"), [(fx.dirty_stream, 6), (fx.edge_stream, 5)])
@@ -21,3 +22,8 @@ def test_a_micro_batch_is_several_files(spark, sf_dir, tmp_path, monkeypatch, ma
     assert len(seen) == batches and all(files > 1 for *_, files in seen)
     assert sum(n for n, *_ in seen) == fx.table(spark, sf_dir, "events").count()
     assert all(before[2] <= after[1] for before, after in zip(seen, seen[1:], strict=False))
+
+
+def test_detections_parse_records_once(spark, sf_dir):
+    plan = QUERIES["detection_matrix"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parse_json" not in plan
