@@ -271,16 +271,22 @@ def stage_logs(spark: SparkSession, sf_dir: str, files: int = 2) -> dict[str, Da
     return logs
 
 
+#: ids of the records that may share an array file
+ARRAY_IDS = 500_000
+
+
 def write_arrays(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """The corrupted records as JSON array files, one per flow, with a line per field."""
-    flow = Window.partitionBy("event_type").orderBy("event_id")
-    rows = dirty(spark, sf_dir).select(
-        "event_type", "event_id", "value", F.row_number().over(flow).alias("n"), F.lead("event_id").over(flow).isNull().alias("last")
+    """The corrupted records as JSON array files of one flow each, with a line per field."""
+    keys = ["event_type", "chunk"]
+    flow = Window.partitionBy(*keys).orderBy("event_id")
+    rows = dirty(spark, sf_dir).withColumn("chunk", F.floor(F.col("event_id") / ARRAY_IDS))
+    rows = rows.select(
+        *keys, "event_id", "value", F.row_number().over(flow).alias("n"), F.lead("event_id").over(flow).isNull().alias("last")
     )
     pretty = F.replace("value", F.lit(',"'), F.lit(',\n  "'))
     text = F.concat(F.when(F.col("n") == 1, F.lit("[\n")).otherwise(F.lit("")), pretty, F.when(F.col("last"), F.lit("\n]")).otherwise(F.lit(",")))
-    lines = rows.select("event_type", "event_id", text.alias("line")).repartition("event_type").sortWithinPartitions("event_type", "event_id")
-    lines.select("event_type", "line").write.partitionBy("event_type").text(path)
+    lines = rows.select(*keys, "event_id", text.alias("line")).repartition(*keys).sortWithinPartitions(*keys, "event_id")
+    lines.select(*keys, "line").write.partitionBy(*keys).text(path)
 
 
 def clean_from_orders(orders: DataFrame) -> DataFrame:

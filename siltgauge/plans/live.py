@@ -89,8 +89,10 @@ def ingest_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Array files of one flow each, of records over many lines, read in splits: records by verdict."""
     path = scratch_dir(spark, "arrays")
     fx.write_arrays(spark, sf_dir, path)
-    with settings(spark, spark__sql__files__maxPartitionBytes="256k", spark__sql__files__openCostInBytes="1k"):
-        records = landed(arrays.read_json_array_split(spark, path), "elements")
+    # several splits a file at any size, and not more than some hundreds of tasks for large ones
+    split = max(256 << 10, upkeep.size_of(spark, path) // 512)
+    with settings(spark, spark__sql__files__maxPartitionBytes=str(split), spark__sql__files__openCostInBytes="1k"):
+        records = arrays.read_json_array_split(spark, path)
     return validate(records).select(joined("errors")).groupBy("errors").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -21,7 +21,8 @@ def _folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return sorted(n for n in names if n.startswith(prefix))
 
 
-def _bytes(spark: SparkSession, path: str) -> int:
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
 
@@ -54,7 +55,7 @@ def pack(spark: SparkSession, path: str, arrival: Column | str, upto: int, file_
         folders = [f"{path}/batch_id={b}" for b in todo]
         rows = spark.read.option("basePath", path).parquet(*folders).drop("batch_id")
         date = F.to_date(F.col(arrival) if isinstance(arrival, str) else arrival)
-        files = max(1, -(-sum(_bytes(spark, f) for f in folders) // file_bytes))
+        files = max(1, -(-sum(size_of(spark, f) for f in folders) // file_bytes))
         dealt = rows.withColumn("arrival_date", date)
         keys = ["arrival_date", "is_valid"]
         if files > 1:

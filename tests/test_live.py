@@ -207,6 +207,18 @@ def test_a_broken_element_harms_no_other(spark, tmp_path):
     assert errors == [[], [], ["Malformed record"]]
 
 
+@pytest.mark.parametrize("size", ["300", "1000000"])
+def test_long_strings_and_elements_over_splits(spark, tmp_path, size):
+    records = [{"t": ", [" * 30_000}, [{"n": n, "s": "\\\"]"} for n in range(400)], "x", {}, {"a": [1, {}]}]
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text(json.dumps(records, indent=1) + "\nno, record")
+    (tmp_path / "c.json").write_text("[1,\n2,,\n {}\n")
+    with settings(spark, spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes="0"):
+        rows = arrays.read_json_array_split(spark, str(tmp_path)).orderBy("file", "position").collect()
+    got = [(r.file[-6:], r.position, json.loads(r.value)) for r in rows]
+    assert got == [(f"{f}.json", n, v) for f in "ab" for n, v in enumerate(records)] + [("c.json", 0, 1), ("c.json", 1, 2), ("c.json", 3, {})]
+
+
 # --- sketches
 
 
