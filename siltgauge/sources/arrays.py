@@ -14,7 +14,7 @@ from ..session import landed
 #: a string of one line; possessive, so that long ones need no stack
 _STRING = r'"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"'
 _MARK = re.compile(_STRING + r"|[\[\]{},]")
-PIECES = "file string, split bigint, place bigint, ends boolean, text string"
+PIECES = "no bigint, place bigint, ends boolean, text string"
 
 
 class _Cutter:
@@ -60,18 +60,16 @@ def _cut_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     at, cutter = None, None
     for batch in batches:
         rows: list[tuple] = []
-        keys = batch[["file", "split"]]
-        turns = (keys != keys.shift()).any(axis=1).cumsum()
-        for _, lines in batch.groupby(turns, sort=False):
-            here = (lines["file"].iloc[0], int(lines["split"].iloc[0]))
+        for _, lines in batch.groupby((batch["no"] != batch["no"].shift()).cumsum(), sort=False):
+            here = int(lines["no"].iloc[0])
             if here != at:
                 if cutter is not None:
-                    rows += [(*at, *piece) for piece in cutter.rest()]
+                    rows += [(at, *piece) for piece in cutter.rest()]
                 at, cutter = here, _Cutter(int(lines["ahead"].iloc[0]))
-            rows += [(*at, *piece) for piece in cutter.cut("\n".join(lines["value"]))]
-        yield pd.DataFrame(rows, columns=["file", "split", "place", "ends", "text"])
+            rows += [(at, *piece) for piece in cutter.cut("\n".join(lines["value"]))]
+        yield pd.DataFrame(rows, columns=["no", "place", "ends", "text"])
     if cutter is not None:
-        yield pd.DataFrame([(*at, *piece) for piece in cutter.rest()], columns=["file", "split", "place", "ends", "text"])
+        yield pd.DataFrame([(at, *piece) for piece in cutter.rest()], columns=["no", "place", "ends", "text"])
 
 
 def _nesting(line: Column) -> Column:
@@ -82,10 +80,10 @@ def _nesting(line: Column) -> Column:
     return (opened - F.length(F.regexp_replace(bare, r"[^\]}]++", ""))).cast("bigint")
 
 
-def _before(splits: DataFrame, name: str) -> DataFrame:
+def _before(splits: DataFrame, name: str, *others: str) -> DataFrame:
     """file, split and the sum of column ``n`` over the splits before it in its file; one row per split."""
     earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    return splits.select("file", "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(name))
+    return splits.select("file", "split", *others, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(name))
 
 
 def read_json_array_split(spark: SparkSession, path: str) -> DataFrame:
@@ -102,11 +100,12 @@ def read_json_array_split(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.text(path)
     lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value")
     depths = lines.groupBy("file", "split").agg(F.sum(_nesting(F.col("value"))).alias("n"))
+    splits = landed(_before(depths, "ahead").withColumn("no", F.monotonically_increasing_id()), "splits")
     # one row per split; broadcast, because the lines of a split have to stay in order
-    opened = F.broadcast(landed(_before(depths, "ahead"), "splits"))
-    pieces = landed(lines.join(opened, ["file", "split"]).mapInPandas(_cut_splits, PIECES), "pieces")
-    ends = pieces.groupBy("file", "split").agg(F.count_if("ends").alias("n"))
-    numbered = pieces.join(_before(ends, "before"), ["file", "split"]).withColumn("position", F.col("before") + F.col("place"))
+    opened = lines.join(F.broadcast(splits), ["file", "split"]).select("no", "ahead", "value")
+    pieces = landed(opened.mapInPandas(_cut_splits, PIECES), "pieces")
+    ends = splits.join(pieces.groupBy("no").agg(F.count_if("ends").alias("n")), "no")
+    numbered = pieces.join(_before(ends, "before", "no"), "no").withColumn("position", F.col("before") + F.col("place"))
     # an element that begins and ends in its split is whole: all pieces of a split but the first and the last
     inner = (F.col("place") > 0) & F.col("ends")
     whole = numbered.where(inner).select("file", "position", F.col("text").alias("value"))
