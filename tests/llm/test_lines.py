@@ -182,3 +182,20 @@ def test_sketches_lose_no_similar_pair(spark):
     similar = {n for n, a, b in pairs if 10 * len(shingles(a) & shingles(b)) >= 8 * len(shingles(a) | shingles(b))}
     assert similar and similar <= kept
     assert len(kept) < len(pairs) - sum(jaccard(a, b) < 0.6 for _, a, b in pairs if len(a) > 40) / 2
+
+
+def test_unlike_lines_that_repeat_themselves_are_no_candidates(spark):
+    draw = random.Random(9)
+
+    def word(size):
+        return "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size))
+
+    texts = []
+    for n in range(60):
+        common = word(30)
+        texts += [(n, (common + word(30)) * 20), (1000 + n, (common + word(30)) * 20)]
+    frame = spark.createDataFrame(texts, "node long, line string").withColumn("key", F.col("node").cast("string"))
+    bands = {r.node: set(r.bands) for r in lines.with_bands(frame.select("node", "line")).collect()}
+    assert sum(bool(bands[n] & bands[1000 + n]) for n in range(60)) < 20
+    asked = spark.createDataFrame([(n, 1000 + n) for n in range(60)], "x long, y long")
+    assert lines.likely_pairs(asked, lines.with_sketch(frame), 80).isEmpty()
