@@ -6,10 +6,12 @@
     into more parts than that, so two linked rows have a part in common with the same shingles in it.
     Rows that share a part, directly or over others, form a cluster; a large cluster is cut into blocks,
     and every two blocks of it are multiplied.
-3.  A product of blocks accumulates overlap counts over stripes of shingles. A pair of rows goes as soon
+3.  Sketches of the rows, a few bits a shingle, meet first. The shingles themselves go only to products in
+    which their row may have a link.
+4.  A product of blocks accumulates overlap counts over stripes of shingles. A pair of rows goes as soon
     as its overlap so far and what either row has left stay below the bound that the sizes give. Of the
     links found, a spanning forest of the block is put out, so a cluster of any size gives few rows.
-4.  The forests are joined to components by union-find over the whole table.
+5.  The forests are joined to components by union-find over the whole table.
 
 No step lists the pairs of a group. What a cluster of m rows costs is (m / block) ** 2 tasks.
 """
@@ -28,6 +30,7 @@ from pyspark.sql import types as T
 
 from .common import discard, landed, whole_text
 from .components import components
+from .lines import fixed_filter, passing
 from .words import mixed, shingles, word_hashes
 
 #: A block holds about so many rows and shingles at most; more make a cluster several blocks.
@@ -36,6 +39,12 @@ BLOCK_ROWS, BLOCK_SHINGLES = 256, 400_000
 STRIPE = 4096
 #: Parts at least beyond those that differences can spoil, so that empty parts need not be compared.
 SPARE = 2
+#: Turns in which shared parts are looked for, each with so large a share of the parts: a shuffle takes that share of their disk.
+TURNS = 4
+#: Bits a hash in the sketch of a set: with so many, sets of similarity 0.7 differ in too many bits for 0.8.
+WIDE = 4
+#: Blocks whose sketches are compared at once, and bits of sketches unpacked at a time.
+SKETCHED, TILE_BITS = 16, 1 << 23
 #: Standard deviations by which the parts exceed the likely number of empty ones.
 CERTAIN = 4.5
 
@@ -102,15 +111,67 @@ def _key(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-ROW = T.StructType().add("key", T.BinaryType()).add("size", T.LongType()).add("parts", T.ArrayType(T.LongType()))
+def sketch(hashes: np.ndarray) -> bytes:
+    """A bit wherever the set has hashes, of WIDE bits a hash or more: the next power of two, 64 at least."""
+    width = max(64, 1 << (WIDE * len(hashes) - 1).bit_length())
+    bits = np.zeros(width, dtype=bool)
+    bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def open_rows(sketches: list[bytes], sizes: np.ndarray, chunk: np.ndarray, side: np.ndarray, cross: bool, percent: int) -> np.ndarray:
+    """Row and chunk for every row that may link with a row of the chunk; what is left out does not link.
+
+    Where the sketches of two sets differ, one has an element that the other has not, and linked sets differ in
+    (100 - percent) / (100 + percent) of all their elements at most. Sketches of twice the width are folded.
+    ``cross``: only pairs of rows from different sides count.
+    """
+    bits = [np.unpackbits(np.frombuffer(s, dtype=np.uint8)) for s in sketches]
+    widths = np.array([len(b) for b in bits])
+    by_size = np.argsort(sizes, kind="stable")
+    found = [np.empty((0, 2), dtype=np.int64)]
+    for width in np.unique(widths):
+        rows = by_size[(widths[by_size] == width) | (widths[by_size] == 2 * width)]
+        n, tile = sizes[rows].astype(np.float64), max(1, min(512, TILE_BITS // int(width)))
+
+        def unpacked(some: np.ndarray, width: int = width) -> np.ndarray:
+            return np.stack([bits[r] if len(bits[r]) == width else bits[r][:width] | bits[r][width:] for r in some]).astype(np.float32)
+
+        for at in range(0, len(rows), tile):
+            one = rows[at : at + tile]
+            own, n_one = unpacked(one), n[at : at + tile]
+            stop = int(np.searchsorted(percent * n, 100 * n_one[-1], side="right"))
+            for to in range(at, stop, tile):
+                two, n_two = rows[to : to + tile], n[to : to + tile]
+                other = own if to == at else unpacked(two)
+                apart = own.sum(axis=1)[:, None] + other.sum(axis=1)[None, :] - 2 * (own @ other.T)
+                near = (100 + percent) * apart <= (100 - percent) * (n_one[:, None] + n_two[None, :])
+                near &= percent * n_two[None, :] <= 100 * n_one[:, None]
+                near &= (widths[one] == width)[:, None] | (widths[two] == width)[None, :]
+                if to == at:
+                    near = np.triu(near, 1)
+                if cross:
+                    near &= side[one][:, None] != side[two][None, :]
+                x, y = np.nonzero(near)
+                met = np.concatenate([np.stack([one[x], chunk[two[y]]], axis=1), np.stack([two[y], chunk[one[x]]], axis=1)])
+                found.append(np.unique(met, axis=0))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+ROW = T.StructType().add("key", T.BinaryType()).add("size", T.LongType()).add("sketch", T.BinaryType())
+for _turn in range(TURNS):
+    ROW = ROW.add(f"parts_{_turn}", T.ArrayType(T.LongType()))
 
 
 def _matrix_rows(length: int, percent: int):
     @F.pandas_udf(ROW)
     def rows(texts: pd.Series) -> pd.DataFrame:
         sets = [_set(t, length) for t in texts]
-        keys = [parts(s, percent).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
-        return pd.DataFrame({"key": list(map(_key, sets)), "size": list(map(len, sets)), "parts": keys})
+        keys = [parts(s, percent) if len(s) else np.empty(0, np.uint64) for s in sets]
+        # Parts are hashes, so equal ranges of them are equal shares.
+        turns = [(k >> np.uint64(32)) * np.uint64(TURNS) >> np.uint64(32) for k in keys]
+        dealt = {f"parts_{n}": [k[t == n].view(np.int64) for k, t in zip(keys, turns, strict=True)] for n in range(TURNS)}
+        return pd.DataFrame({"key": list(map(_key, sets)), "size": list(map(len, sets)), "sketch": [sketch(s) if len(s) else b"" for s in sets], **dealt})
 
     return rows
 
@@ -167,6 +228,18 @@ def linked(sets: list[np.ndarray], side: np.ndarray, cross: bool, percent: int)
     return first
 
 
+def _open(percent: int):
+    def rows(block: pd.DataFrame) -> pd.DataFrame:
+        cross = bool(block["low"].iloc[0] != block["high"].iloc[0])
+        chunk = block["chunk"].to_numpy()
+        found = open_rows(list(block["sketch"]), block["size"].to_numpy(), chunk, chunk // SKETCHED, cross, percent)
+        row, other = found[:, 0], found[:, 1]
+        out = block.iloc[row][["key", "cluster", "chunk"]]
+        return out.assign(low=np.minimum(chunk[row], other), high=np.maximum(chunk[row], other))
+
+    return rows
+
+
 def _forest(percent: int):
     def forest(block: pd.DataFrame) -> pd.DataFrame:
         sets = [np.asarray(h, dtype=np.int64).view(np.uint64) for h in block["hashes"]]
@@ -179,6 +252,25 @@ def _forest(percent: int):
     return forest
 
 
+def shared_parts(signed: DataFrame) -> DataFrame:
+    """hub, node: every node of ``signed`` (node and the parts by turns) with the smallest nodes it shares parts with, landed."""
+    found = []
+    for turn in range(TURNS):
+        some = signed.select("node", F.explode(f"parts_{turn}").alias("part"))
+        met = some.groupBy("part").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).where("hub != _last")
+        met = landed(met.drop("_last"), "parts")
+        known = landed(fixed_filter(met, "part"), "known")
+        # Copies of a set repeat its node; they are one row before the join.
+        near = passing(some, "part", known).distinct().join(met, "part").where("hub != node")
+        found.append(landed(near.select("hub", "node").distinct(), "near"))
+        for done in (met, known):
+            discard(done)
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
+    return pairs
+
+
 def link_documents(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 3, percent: int = 90
 ) -> DataFrame:
@@ -193,33 +285,39 @@ def link_documents(
     """
     text = whole_text(text_col)
     named = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
-    rows = landed(named.select("doc_id", _matrix_rows(length, percent)("text").alias("m")).select("doc_id", "m.*"), "rows")
+    signed = landed(named.select("doc_id", _matrix_rows(length, percent)("text").alias("m")).select("doc_id", "m.*"), "signed")
+
+    # Nodes of the candidate graph are 64 bits of the key: a clash only joins clusters. The parts, which take
+    # more disk than the texts, are held once and go as soon as it is known which are shared.
+    met = shared_parts(signed.withColumn("node", F.xxhash64("key")))
+    rows = landed(signed.select("doc_id", "key", "size", "sketch"), "rows")
+    discard(signed)
+    near = components(met, "hub", "node")
 
-    # One row per set. Nodes of the candidate graph are 64 bits of the key: a clash only joins clusters.
+    # One row per set.
     filled = rows.where("size > 0")
     sets = filled.groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.max(F.col("doc_id").isNull()).alias("nameless"), F.any_value("size").alias("size"), F.any_value("parts").alias("parts")
+        F.min("doc_id").alias("rep"), F.max(F.col("doc_id").isNull()).alias("nameless"), F.any_value("size").alias("size"), F.any_value("sketch").alias("sketch")
     )
     sets = landed(sets.withColumn("node", F.xxhash64("key")), "sets")
-    dealt = sets.select("node", F.explode("parts").alias("part"))
-    met = dealt.groupBy("part").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).where("hub != _last")
-    met = landed(met.drop("_last"), "parts")
-    near = components(dealt.join(met, "part").select(F.col("hub").alias("a"), F.col("node").alias("b")))
-    clustered = landed(sets.drop("parts").join(near, "node").withColumnRenamed("component", "cluster"), "clustered")
+    clustered = landed(sets.join(near, "node").withColumnRenamed("component", "cluster"), "clustered")
     shape = clustered.groupBy("cluster").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("chunks")
     )
     chunk = F.pmod(F.xxhash64("key", F.lit(1)), F.col("chunks")).cast("int").alias("chunk")
-    wanted = landed(clustered.join(landed(shape, "shape"), "cluster").select("rep", "key", "cluster", "chunks", chunk), "wanted")
-
-    # Only texts of clustered sets are read again; a text is known by its set, as ids may repeat.
-    ids = wanted.select(F.col("rep").alias("_id")).distinct()
+    wanted = landed(clustered.join(landed(shape, "shape"), "cluster").select("rep", "key", "size", "sketch", "cluster", "chunks", chunk), "wanted")
+    own = F.floor(F.col("chunk") / SKETCHED).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.floor((F.col("chunks") - 1) / SKETCHED).cast("int"))).alias("other")
+    pairs = wanted.select("key", "size", "sketch", "cluster", "chunk", own.alias("own"), other)
+    blocks = pairs.select("*", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).drop("own", "other")
+    place = "key binary, cluster long, chunk int, low int, high int"
+    left = landed(blocks.groupBy("cluster", "low", "high").applyInPandas(_open(percent), place), "open")
+
+    # Only texts of sets that may link are read again; a text is known by its set, as ids may repeat.
+    ids = wanted.join(left, "key", "left_semi").select(F.col("rep").alias("_id")).distinct()
     texts = named.join(ids, F.col("doc_id").eqNullSafe(F.col("_id"))).select(_hashes(length)("text").alias("h"))
-    members = texts.select("h.*").join(wanted, "key")
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    pairs = members.select("key", "hashes", "cluster", "chunk", other)
-    blocks = pairs.select("*", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
-    found = blocks.groupBy("cluster", "low", "high").applyInPandas(_forest(percent), "a binary, b binary")
+    members = texts.select("h.*").join(left, "key")
+    found = members.groupBy("cluster", "low", "high").applyInPandas(_forest(percent), "a binary, b binary")
 
     # An id with several texts joins their sets.
     several = filled.where("doc_id is not null").groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("_b"))
@@ -233,7 +331,7 @@ def link_documents(
     owner = landed(owner.join(least, "component").select("key", "component_id"), "owner")
     placed = rows.select("doc_id", "key", "size").join(owner, "key", "left")
     component = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    for done in (met, near, clustered, wanted):
+    for done in (met, near, clustered, wanted, left):
         discard(done)
     return placed.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id")).distinct()
 

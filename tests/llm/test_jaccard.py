@@ -99,3 +99,28 @@ def test_chains_and_stars(spark):
     draw.shuffle(edges)
     out = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert out == {n: 0 for n in range(301)} | {n: 1000 for n in range(1000, 1400)} | {2000: 2000, 2001: 2000}
+
+
+def test_sketches_lose_no_link():
+    draw = np.random.default_rng(1)
+    for percent in (80, 90):
+        sets = []
+        for _ in range(150):
+            n = int(draw.choice([1, 3, 20, 63, 64, 65, 130, 500, 1030]))
+            base = draw.integers(0, 1 << 63, n, dtype=np.uint64)
+            gone = int(n * draw.choice([0, 0.05, 0.1, 0.2, 0.25]))
+            more = draw.integers(0, 1 << 63, int(draw.integers(0, gone + 1)), dtype=np.uint64)
+            sets += [np.unique(base), np.unique(np.concatenate([base[gone:], more]))]
+        sizes, chunk = np.array([len(s) for s in sets]), draw.integers(0, 40, len(sets))
+        for cross in (False, True):
+            want = set()
+            for x, one in enumerate(sets):
+                for y, two in enumerate(sets):
+                    both = len(np.intersect1d(one, two))
+                    apart = not cross or chunk[x] // 16 != chunk[y] // 16
+                    if x != y and apart and 100 * both >= percent * (len(one) + len(two) - both):
+                        want.add((x, int(chunk[y])))
+            open_rows = jaccard.open_rows([jaccard.sketch(s) for s in sets], sizes, chunk, chunk // 16, cross, percent)
+            found = {(int(r), int(c)) for r, c in open_rows}
+            assert want and want <= found
+            assert len(found) < 1.6 * len(want) + 20
