@@ -271,6 +271,18 @@ def shared_parts(signed: DataFrame) -> DataFrame:
     return pairs
 
 
+def hashed_texts(named: DataFrame, ids: DataFrame, length: int) -> DataFrame:
+    """key, hashes of the texts of ``named`` (doc_id, text) whose id is one of ``ids`` (_id).
+
+    A filter of fixed size goes first: of the other texts hardly any is shuffled, and none is hashed.
+    """
+    known = landed(fixed_filter(ids.select(F.xxhash64("_id").alias("_ref")), "_ref"), "asked")
+    near = passing(named.withColumn("_ref", F.xxhash64("doc_id")), "_ref", known).drop("_ref")
+    sets = near.join(ids, F.col("doc_id").eqNullSafe(F.col("_id"))).select(_hashes(length)("text").alias("h"))
+    # A key that may be NULL makes a join ask for those that are not, below the other join, of every text.
+    return sets.select(F.coalesce("h.key", F.lit(b"")).alias("key"), "h.hashes")
+
+
 def link_documents(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 3, percent: int = 90
 ) -> DataFrame:
@@ -314,9 +326,8 @@ def link_documents(
     left = landed(blocks.groupBy("cluster", "low", "high").applyInPandas(_open(percent), place), "open")
 
     # Only texts of sets that may link are read again; a text is known by its set, as ids may repeat.
-    ids = wanted.join(left, "key", "left_semi").select(F.col("rep").alias("_id")).distinct()
-    texts = named.join(ids, F.col("doc_id").eqNullSafe(F.col("_id"))).select(_hashes(length)("text").alias("h"))
-    members = texts.select("h.*").join(left, "key")
+    ids = landed(wanted.join(left, "key", "left_semi").select(F.col("rep").alias("_id")).distinct(), "ids")
+    members = hashed_texts(named, ids, length).join(left, "key")
     found = members.groupBy("cluster", "low", "high").applyInPandas(_forest(percent), "a binary, b binary")
 
     # An id with several texts joins their sets.

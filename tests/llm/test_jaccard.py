@@ -124,3 +124,18 @@ def test_sketches_lose_no_link():
             found = {(int(r), int(c)) for r, c in open_rows}
             assert want and want <= found
             assert len(found) < 1.6 * len(want) + 20
+
+
+def test_only_texts_asked_for_are_hashed(spark, rows):
+    named = spark.createDataFrame([(i, t or "") for i, t in rows], "doc_id long, text string")
+    ids = spark.createDataFrame([(rows[0][0],), (rows[9][0],), (None,)], "_id long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = jaccard.hashed_texts(named, ids, 3)
+        met = found.join(spark.createDataFrame([(b"k", 1)], "key binary, chunk int"), "key")
+        assert met._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+        want = [jaccard._key(jaccard._set(t or "", 3)) for i, t in rows if i in (rows[0][0], rows[9][0], None)]
+        assert sorted(bytes(r.key) for r in found.select("key").collect()) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
