@@ -199,3 +199,29 @@ def test_unlike_lines_that_repeat_themselves_are_no_candidates(spark):
     assert sum(bool(bands[n] & bands[1000 + n]) for n in range(60)) < 20
     asked = spark.createDataFrame([(n, 1000 + n) for n in range(60)], "x long, y long")
     assert lines.likely_pairs(asked, lines.with_sketch(frame), 80).isEmpty()
+
+
+def test_long_lines_of_a_family_that_are_not_similar_are_no_candidates(spark):
+    draw = random.Random(10)
+
+    def word(size):
+        return "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size))
+
+    # Lines of 100 to 1,200 shingles, some 0.70 to 0.76 alike in a family and 0.85 and more in pairs.
+    texts = []
+    for size in (10, 26, 60, 120):
+        base = [word(9) for _ in range(size)]
+        for n in range(24):
+            words = [word(9) if draw.random() < 0.08 else w for w in base]
+            other = [word(9) if draw.random() < 0.04 else w for w in words]
+            texts += [" ".join(words), " ".join(other)]
+    rows = [(n, str(n).encode(), t) for n, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "node long, key binary, line string")
+    members = frame.select(F.lit(1).alias("band"), "node", "key", F.col("key").alias("component"))
+    found = {(int(r.a), int(r.b)) for r in lines.block_pairs(members, lines.with_sketch(frame), frame, 80).collect()}
+    found = {(min(p), max(p)) for p in found}
+    sets = [shingles(t) for t in texts]
+    alike = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in range(len(sets)) for b in range(a + 1, len(sets))}
+    assert {p for p, s in alike.items() if s >= 0.8} <= found
+    below = {p for p, s in alike.items() if 0.6 < s < 0.76}
+    assert len(below) > 1000 and len(found & below) < 0.05 * len(below)
