@@ -225,3 +225,31 @@ def test_long_lines_of_a_family_that_are_not_similar_are_no_candidates(spark):
     assert {p for p, s in alike.items() if s >= 0.8} <= found
     below = {p for p, s in alike.items() if 0.6 < s < 0.76}
     assert len(below) > 1000 and len(found & below) < 0.05 * len(below)
+
+
+def test_keys_of_several_rows_are_found_without_their_rows(spark):
+    keys = spark.range(50_000).select("id", F.xxhash64("id").alias("key"))
+    twice = keys.where("id % 100 = 0").select((F.col("id") + 50_000).alias("id"), "key")
+    found = {r.id for r in lines.held_twice(keys.unionByName(twice), "key").collect()}
+    assert {100 * n for n in range(500)} | {100 * n + 50_000 for n in range(500)} <= found
+    assert len(found) < 1_100
+
+
+def test_only_documents_that_lose_lines_are_shuffled(spark, monkeypatch):
+    sides = []
+
+    def seen(rows, key, words, real=lines.parted):
+        sides.append(real(rows, key, words))
+        return sides[-1]
+
+    monkeypatch.setattr(lines, "parted", seen)
+    docs = [(n, f"this is what only document {n} says, {n * n} times\nand {n ** 3} other words: {n * 'ab'} {n}") for n in range(100, 300)]
+    docs += [(n, "one line that two documents have in common") for n in (1, 2)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    losing = {i for (_, i), *_ in brute(docs)}
+    out = {r.doc_id: r.n_removed for r in lines.deduplicate_lines(frame).collect()}
+    assert {n for n, gone in out.items() if gone} == losing == {2}
+    ((some, others),) = sides
+    moved, stay = {r.row.doc_id for r in some.collect()}, {r.row.doc_id for r in others.collect()}
+    assert losing <= moved and len(moved) < 5
+    assert not moved & stay and moved | stay == set(out)
