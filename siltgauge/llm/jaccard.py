@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .common import discard, landed, whole_text
 from .components import components
-from .lines import fixed_filter, passing
+from .lines import fixed_filter, held_twice, parted, passing
 from .words import mixed, shingles, word_hashes
 
 #: A block holds about so many rows and shingles at most; more make a cluster several blocks.
@@ -257,14 +257,14 @@ def shared_parts(signed: DataFrame) -> DataFrame:
     found = []
     for turn in range(TURNS):
         some = signed.select("node", F.explode(f"parts_{turn}").alias("part"))
-        met = some.groupBy("part").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).where("hub != _last")
-        met = landed(met.drop("_last"), "parts")
-        known = landed(fixed_filter(met, "part"), "known")
-        # Copies of a set repeat its node; they are one row before the join.
-        near = passing(some, "part", known).distinct().join(met, "part").where("hub != node")
+        # Copies of a set repeat its node; they are one row from here on.
+        twice = held_twice(some, "part")
+        shared = landed(twice.distinct(), "shared")
+        discard(twice)
+        met = shared.groupBy("part").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).where("hub != _last")
+        near = shared.join(met.drop("_last"), "part").where("hub != node")
         found.append(landed(near.select("hub", "node").distinct(), "near"))
-        for done in (met, known):
-            discard(done)
+        discard(shared)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
@@ -302,16 +302,16 @@ def link_documents(
     # Nodes of the candidate graph are 64 bits of the key: a clash only joins clusters. The parts, which take
     # more disk than the texts, are held once and go as soon as it is known which are shared.
     met = shared_parts(signed.withColumn("node", F.xxhash64("key")))
-    rows = landed(signed.select("doc_id", "key", "size", "sketch"), "rows")
+    # One row per set. Nothing else holds a sketch.
+    sets = signed.where("size > 0").groupBy("key").agg(
+        F.min("doc_id").alias("rep"), F.max(F.col("doc_id").isNull()).alias("nameless"), F.any_value("size").alias("size"), F.any_value("sketch").alias("sketch")
+    )
+    sets = landed(sets.withColumn("node", F.xxhash64("key")), "sets")
+    rows = landed(signed.select("doc_id", "key", "size"), "rows")
     discard(signed)
     near = components(met, "hub", "node")
 
-    # One row per set.
     filled = rows.where("size > 0")
-    sets = filled.groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.max(F.col("doc_id").isNull()).alias("nameless"), F.any_value("size").alias("size"), F.any_value("sketch").alias("sketch")
-    )
-    sets = landed(sets.withColumn("node", F.xxhash64("key")), "sets")
     clustered = landed(sets.join(near, "node").withColumnRenamed("component", "cluster"), "clustered")
     shape = clustered.groupBy("cluster").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("chunks")
@@ -342,7 +342,7 @@ def link_documents(
     owner = landed(owner.join(least, "component").select("key", "component_id"), "owner")
     placed = rows.select("doc_id", "key", "size").join(owner, "key", "left")
     component = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    for done in (met, near, clustered, wanted, left):
+    for done in (met, near, sets, clustered, wanted, left):
         discard(done)
     return placed.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id")).distinct()
 
@@ -353,6 +353,15 @@ def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     Documents without words stay. Rows without id stay where no document of their component has one.
     """
     linked_docs = link_documents(docs, id_col=id_col, text_col=text_col, length=length, percent=percent)
-    first = linked_docs.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(landed(first, "first"), F.col(f"`{id_col}`").eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.dropDuplicates([id_col, text_col])
+    linked_docs = landed(linked_docs.select("doc_id", "component_id"), "linked")
+    whole = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    first = landed(linked_docs.where(whole).select(F.col("doc_id").alias("_kept")).distinct(), "first")
+    # A row of an id that no other row has and that stays is not shuffled; the others may be some of few.
+    ids = docs.select(F.col(f"`{id_col}`").alias("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+    asked = ids.where("_n > 1").select("doc_id").unionByName(linked_docs.where(~whole).select("doc_id"))
+    asked = landed(fixed_filter(asked.select(F.xxhash64("doc_id").alias("_ref")), "_ref"), "asked")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    some, others = parted(docs.select(row, F.xxhash64(f"`{id_col}`").alias("_ref")), "_ref", asked)
+    kept = some.select("_row.*").join(first, F.col(f"`{id_col}`").eqNullSafe(F.col("_kept")), "left_semi")
+    discard(linked_docs)
+    return others.select("_row.*").unionByName(kept.dropDuplicates([id_col, text_col]))

@@ -139,3 +139,23 @@ def test_only_texts_asked_for_are_hashed(spark, rows):
         assert sorted(bytes(r.key) for r in found.select("key").collect()) == sorted(want)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_that_stay_are_not_shuffled(spark, monkeypatch):
+    sides = []
+
+    def seen(rows, key, words, real=jaccard.parted):
+        sides.append(real(rows, key, words))
+        return sides[-1]
+
+    monkeypatch.setattr(jaccard, "parted", seen)
+    draw = random.Random(13)
+    docs = [(n, " ".join(f"w{draw.randrange(10**6)}" for _ in range(30)), "k", 1) for n in range(200)]
+    docs += [(500, docs[3][1], "k", 2), (501, "the same row", "k", 3), (501, "the same row", "k", 3), (None, "a row without id", None, 4)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, word string, bits int")
+    kept = jaccard.keep_first(frame)
+    assert kept.columns == frame.columns
+    want = [*docs[:200], (501, "the same row", "k", 3), (None, "a row without id", None, 4)]
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, want))
+    ((some, others),) = sides
+    assert some.count() < 10 and some.count() + others.count() == len(docs)
