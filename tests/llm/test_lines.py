@@ -253,3 +253,23 @@ def test_only_documents_that_lose_lines_are_shuffled(spark, monkeypatch):
     moved, stay = {r.row.doc_id for r in some.collect()}, {r.row.doc_id for r in others.collect()}
     assert losing <= moved and len(moved) < 5
     assert not moved & stay and moved | stay == set(out)
+
+
+def test_only_lines_of_pairs_are_read_to_verify(spark, monkeypatch):
+    read = []
+
+    def seen(rows, key, words, real=lines.passing):
+        near = real(rows, key, words)
+        read.append(near.count())
+        return near
+
+    monkeypatch.setattr(lines, "passing", seen)
+    line = "these words are the same in both lines of a pair, all but the last"
+    rows = {f"k{n}": f"{line[n % 7:]} {n // 7}" for n in range(300)}
+    texts = spark.createDataFrame([(k.encode(), t) for k, t in rows.items()], "key binary, line string")
+    asked = [("k0", "k7"), ("k1", "k8"), ("k2", "k299")]
+    pairs = spark.createDataFrame([(a.encode(), b.encode()) for a, b in asked], "a binary, b binary")
+    found = {(r.a.decode(), r.b.decode()) for r in lines.verified_links(pairs, texts, 80).collect()}
+    sets = {k: shingles(rows[k]) for pair in asked for k in pair}
+    assert found == {(a, b) for a, b in asked if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])} != set()
+    assert 6 <= read[0] < 12
