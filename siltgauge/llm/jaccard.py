@@ -4,8 +4,10 @@
 2.  Rows are put into blocks so that no link crosses two blocks that are not multiplied with each other.
     The threshold bounds how far two linked sets differ by their sizes. The shingles of a row are dealt
     into more parts than that, so two linked rows have a part in common with the same shingles in it.
-    Rows that share a part, directly or over others, form a cluster; a large cluster is cut into blocks,
-    and every two blocks of it are multiplied.
+    Of the rows that share a part, those may link whose narrow sketches, a bit a shingle, do not differ too
+    much; most rows share a part by chance, and the more there are, the more of them. Rows that may link,
+    directly or over others, form a cluster; a large cluster is cut into blocks, and every two blocks of it
+    are multiplied.
 3.  Sketches of the rows, a few bits a shingle, meet first. The shingles themselves go only to products in
     which their row may have a link.
 4.  A product of blocks accumulates overlap counts over stripes of shingles. A pair of rows goes as soon
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 
 from .common import discard, landed, whole_text
 from .components import components
-from .lines import fixed_filter, held_twice, parted, passing
+from .lines import fixed_filter, held_twice, parted, passing, wide_can_be_similar
 from .words import mixed, shingles, word_hashes
 
 #: A block holds about so many rows and shingles at most; more make a cluster several blocks.
@@ -43,6 +45,10 @@ SPARE = 2
 TURNS = 4
 #: Bits a hash in the sketch of a set: with so many, sets of similarity 0.7 differ in too many bits for 0.8.
 WIDE = 4
+#: Bits a hash in the narrow sketch, which tells sets of similarity 0.4 from those of 0.8; sets that share a part meet by it.
+NARROW = 1
+#: Sets that share a part are compared at once up to so many; more make several cells. Rows of cells a Python call has about.
+CELL_ROWS, CALL_ROWS = 1024, 4096
 #: Blocks whose sketches are compared at once, and bits of sketches unpacked at a time.
 SKETCHED, TILE_BITS = 16, 1 << 23
 #: Standard deviations by which the parts exceed the likely number of empty ones.
@@ -111,9 +117,9 @@ def _key(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def sketch(hashes: np.ndarray) -> bytes:
-    """A bit wherever the set has hashes, of WIDE bits a hash or more: the next power of two, 64 at least."""
-    width = max(64, 1 << (WIDE * len(hashes) - 1).bit_length())
+def sketch(hashes: np.ndarray, wide: int = WIDE) -> bytes:
+    """A bit wherever the set has hashes, of ``wide`` bits a hash or more: the next power of two, 64 at least."""
+    width = max(64, 1 << (wide * len(hashes) - 1).bit_length())
     bits = np.zeros(width, dtype=bool)
     bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
@@ -158,7 +164,35 @@ def open_rows(sketches: list[bytes], sizes: np.ndarray, chunk: np.ndarray, side:
     return np.unique(np.concatenate(found), axis=0)
 
 
-ROW = T.StructType().add("key", T.BinaryType()).add("size", T.LongType()).add("sketch", T.BinaryType())
+def bridges(component: np.ndarray, sizes: np.ndarray, words: list[np.ndarray], side: np.ndarray, cross: bool, percent: int) -> list[tuple[int, int]]:
+    """Pairs of rows that may link, by their narrow sketches ``words``: a forest that joins all components that
+    such pairs join. Rows of one component are not compared.
+
+    ``cross``: only pairs of rows from different sides count.
+    """
+    component = np.unique(component, return_inverse=True)[1]
+    widths = np.array([len(w) for w in words])
+    found = []
+    for width in np.unique(widths):
+        rows = np.flatnonzero((widths == width) | (widths == 2 * width))
+        bits = np.stack([words[r] if widths[r] == width else words[r][:width] | words[r][width:] for r in rows])
+        for at, one in enumerate(rows[:-1]):
+            two = rows[at + 1 :]
+            near = (component[two] != component[one]) & ((widths[two] == width) | (widths[one] == width))
+            near &= 100 * np.minimum(sizes[two], sizes[one]) >= percent * np.maximum(sizes[two], sizes[one])
+            if cross:
+                near &= side[two] != side[one]
+            near = np.flatnonzero(near)
+            apart = np.bitwise_count(bits[at + 1 + near] ^ bits[at]).sum(axis=1, dtype=np.int64)
+            two = two[near]
+            for other in two[(100 + percent) * apart <= (100 - percent) * (sizes[two] + sizes[one])]:
+                if component[other] != component[one]:
+                    found.append((int(one), int(other)))
+                    component[component == component[other]] = component[one]
+    return found
+
+
+ROW = T.StructType().add("key", T.BinaryType()).add("size", T.LongType()).add("sketch", T.BinaryType()).add("narrow", T.ArrayType(T.LongType()))
 for _turn in range(TURNS):
     ROW = ROW.add(f"parts_{_turn}", T.ArrayType(T.LongType()))
 
@@ -171,7 +205,9 @@ def _matrix_rows(length: int, percent: int):
         # Parts are hashes, so equal ranges of them are equal shares.
         turns = [(k >> np.uint64(32)) * np.uint64(TURNS) >> np.uint64(32) for k in keys]
         dealt = {f"parts_{n}": [k[t == n].view(np.int64) for k, t in zip(keys, turns, strict=True)] for n in range(TURNS)}
-        return pd.DataFrame({"key": list(map(_key, sets)), "size": list(map(len, sets)), "sketch": [sketch(s) if len(s) else b"" for s in sets], **dealt})
+        narrow = [np.frombuffer(sketch(s, NARROW) if len(s) else b"", dtype=np.int64) for s in sets]
+        wide = [sketch(s) if len(s) else b"" for s in sets]
+        return pd.DataFrame({"key": list(map(_key, sets)), "size": list(map(len, sets)), "sketch": wide, "narrow": narrow, **dealt})
 
     return rows
 
@@ -240,6 +276,23 @@ def _open(percent: int):
     return rows
 
 
+def _bridges(percent: int):
+    def rows(cells: pd.DataFrame) -> pd.DataFrame:
+        cells = cells.sort_values(["part", "low", "high"])
+        place = cells[["part", "low", "high"]].to_numpy()
+        borders = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]).any(axis=1), [True])))
+        node, component, size, chunk, words = (cells[c].to_numpy() for c in ("node", "component", "size", "chunk", "narrow"))
+        out = []
+        for start, stop in zip(borders[:-1], borders[1:], strict=True):
+            cross = bool(place[start, 1] != place[start, 2])
+            own = slice(start, stop)
+            found = bridges(component[own], size[own], list(words[own]), chunk[own], cross, percent)
+            out += [(node[start + x], node[start + y]) for x, y in found]
+        return pd.DataFrame(out, columns=["hub", "node"], dtype=np.int64)
+
+    return rows
+
+
 def _forest(percent: int):
     def forest(block: pd.DataFrame) -> pd.DataFrame:
         sets = [np.asarray(h, dtype=np.int64).view(np.uint64) for h in block["hashes"]]
@@ -252,23 +305,82 @@ def _forest(percent: int):
     return forest
 
 
-def shared_parts(signed: DataFrame) -> DataFrame:
-    """hub, node: every node of ``signed`` (node and the parts by turns) with the smallest nodes it shares parts with, landed."""
-    found = []
+def shared_parts(signed: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """hub, node: every node of ``signed`` (node and the parts by turns) with the smallest nodes it shares parts with;
+    and by turns part, node of the parts that three nodes have, or more."""
+    found, larger = [], []
     for turn in range(TURNS):
         some = signed.select("node", F.explode(f"parts_{turn}").alias("part"))
         # Copies of a set repeat its node; they are one row from here on.
         twice = held_twice(some, "part")
         shared = landed(twice.distinct(), "shared")
         discard(twice)
-        met = shared.groupBy("part").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).where("hub != _last")
-        near = shared.join(met.drop("_last"), "part").where("hub != node")
+        met = shared.groupBy("part").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        near = shared.join(met, "part").where("hub != node")
         found.append(landed(near.select("hub", "node").distinct(), "near"))
+        larger.append(landed(shared.join(met.where("_n > 2").select("part"), "part").select("part", "node"), "larger"))
         discard(shared)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return pairs
+    return pairs, larger
+
+
+def may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs hub, node whose sets (node, size, narrow) may link by their sizes and narrow sketches."""
+
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), F.col("size").alias(f"_n_{name}"), F.col("narrow").alias(f"_bits_{name}"))
+
+    both = pairs.distinct().join(side("hub"), "hub").join(side("node"), "node")
+    n_hub, n_node = F.col("_n_hub"), F.col("_n_node")
+    near = 100 * F.least(n_hub, n_node) >= percent * F.greatest(n_hub, n_node)
+    return both.where(near & wide_can_be_similar(n_hub, F.col("_bits_hub"), n_node, F.col("_bits_node"), percent)).select("hub", "node")
+
+
+def bridged(larger: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """hub, node, landed: pairs of sets that share a part and may link, which join all components that such pairs join.
+
+    ``larger``: part, node; ``labels``: node, component, of all nodes that are not components of their own.
+    The sets of the largest component of a part do not meet each other, so they are not repeated for that.
+    """
+    named = larger.join(labels, "node", "left").select("part", "node", F.coalesce("component", "node").alias("component"))
+    held = named.groupBy("part", "component").agg(F.count(F.lit(1)).alias("_n"))
+    shape = held.groupBy("part").agg(F.max(F.struct("_n", "component")).alias("_main"), F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_several"))
+    shape = landed(shape.where("_several > 1").select("part", F.col("_main.component").alias("_main"), F.col("_main._n").alias("_n_main"), "_all"), "shape")
+    rest, main = (F.ceil(n / CELL_ROWS).cast("int") for n in (F.col("_all") - F.col("_n_main"), F.col("_n_main")))
+    one, is_main = F.col("_all") <= CELL_ROWS, F.col("component") == F.col("_main")
+    drawn = F.xxhash64("node", F.lit(1))
+    # The cells of the other components come first.
+    chunk = F.when(one, 0).when(is_main, rest + F.pmod(drawn, main)).otherwise(F.pmod(drawn, rest)).cast("int")
+    last = F.when(one, 0).when(is_main, rest - 1).otherwise(rest + main - 1)
+    placed = named.join(shape, "part").select("part", "node", "component", chunk.alias("chunk"), last.alias("_last"))
+    placed = landed(placed.select("part", "node", "component", "chunk", F.explode(F.sequence(F.lit(0), F.col("_last"))).alias("_other")), "placed")
+    cells = placed.join(sets.select("node", "size", "narrow"), "node")
+    cells = cells.select("part", "node", "component", "chunk", "size", "narrow", F.least("chunk", "_other").alias("low"), F.greatest("chunk", "_other").alias("high"))
+    calls = max(1, placed.count() // CALL_ROWS)
+    cells = cells.withColumn("_call", F.pmod(F.xxhash64("part", "low", "high"), F.lit(calls)))
+    found = landed(cells.groupBy("_call").applyInPandas(_bridges(percent), "hub long, node long"), "bridges")
+    for done in (shape, placed):
+        discard(done)
+    return found
+
+
+def candidates(pairs: DataFrame, larger: list[DataFrame], sets: DataFrame, percent: int) -> DataFrame:
+    """node, component: the sets that may link with others, with components in which every link lies.
+
+    ``pairs``, ``larger``: what sets share parts, see :func:`shared_parts`.
+    """
+    links = landed(may_link(pairs, sets, percent), "may-link")
+    labels = components(links, "hub", "node")
+    for groups in larger:
+        more = bridged(groups, labels, sets, percent)
+        discard(groups)
+        links = links.unionByName(more)
+    discard(labels)
+    labels = components(links, "hub", "node")
+    discard(links)
+    return labels
 
 
 def hashed_texts(named: DataFrame, ids: DataFrame, length: int) -> DataFrame:
@@ -301,15 +413,15 @@ def link_documents(
 
     # Nodes of the candidate graph are 64 bits of the key: a clash only joins clusters. The parts, which take
     # more disk than the texts, are held once and go as soon as it is known which are shared.
-    met = shared_parts(signed.withColumn("node", F.xxhash64("key")))
+    met, larger = shared_parts(signed.withColumn("node", F.xxhash64("key")))
     # One row per set. Nothing else holds a sketch.
     sets = signed.where("size > 0").groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.max(F.col("doc_id").isNull()).alias("nameless"), F.any_value("size").alias("size"), F.any_value("sketch").alias("sketch")
+        F.min("doc_id").alias("rep"), F.max(F.col("doc_id").isNull()).alias("nameless"), *[F.any_value(c).alias(c) for c in ("size", "sketch", "narrow")]
     )
     sets = landed(sets.withColumn("node", F.xxhash64("key")), "sets")
     rows = landed(signed.select("doc_id", "key", "size"), "rows")
     discard(signed)
-    near = components(met, "hub", "node")
+    near = candidates(met, larger, sets, percent)
 
     filled = rows.where("size > 0")
     clustered = landed(sets.join(near, "node").withColumnRenamed("component", "cluster"), "clustered")

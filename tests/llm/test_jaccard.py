@@ -159,3 +159,48 @@ def test_rows_that_stay_are_not_shuffled(spark, monkeypatch):
     assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, want))
     ((some, others),) = sides
     assert some.count() < 10 and some.count() + others.count() == len(docs)
+
+
+def test_sets_that_share_parts_by_chance_are_no_cluster(spark, monkeypatch):
+    wanted = []
+
+    def seen(df, purpose, real=jaccard.landed):
+        out = real(df, purpose)
+        if purpose == "wanted":
+            wanted.append({r.rep for r in out.select("rep").collect()})
+        return out
+
+    monkeypatch.setattr(jaccard, "landed", seen)
+    monkeypatch.setattr(jaccard, "CELL_ROWS", 7, raising=False)
+    draw = random.Random(21)
+    # Every text has half of its words from the one before, and a tenth from a passage of all.
+    half = [[f"w{draw.randrange(10**9)}" for _ in range(60)] for _ in range(121)]
+    common = [f"c{k}" for k in range(20)]
+    rows = [(n, " ".join(half[n] + half[n + 1] + common)) for n in range(120)]
+    rows += [(200 + n, " ".join(edited(draw, rows[n][1].split(" "), 2))) for n in (3, 50, 51)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = jaccard.link_documents(docs, length=5, percent=80).collect()
+    assert {tuple(r) for r in out} == brute(rows, 5, 80)
+    assert {3, 50, 51} <= wanted[0] and len(wanted[0]) < 40
+
+
+def test_bridges_join_what_links():
+    draw = np.random.default_rng(4)
+    sets = []
+    for _ in range(30):
+        base = np.unique(draw.integers(0, 1 << 63, int(draw.choice([6, 30, 60, 70, 300])), dtype=np.uint64))
+        sets += [base[int(len(base) * draw.choice([0, 0.05, 0.1, 0.19, 0.5])) :] for _ in range(4)]
+    sizes, component, side = np.array([len(s) for s in sets]), draw.integers(0, 100, len(sets)), draw.integers(0, 2, len(sets))
+    words = [np.frombuffer(jaccard.sketch(s, jaccard.NARROW), dtype=np.int64) for s in sets]
+    for cross in (False, True):
+        found = jaccard.bridges(component, sizes, words, side, cross, 80)
+        assert len(found) < len(set(component.tolist()))
+        assert not cross or all(side[x] != side[y] for x, y in found)
+        joined = component.copy()
+        for x, y in found:
+            assert joined[x] != joined[y]
+            joined[joined == joined[x]] = joined[y]
+        links = [(x, y) for x in range(len(sets)) for y in range(x) if not (cross and side[x] == side[y])]
+        for x, y in links:
+            both = len(np.intersect1d(sets[x], sets[y]))
+            assert joined[x] == joined[y] or 100 * both < 80 * (len(sets[x]) + len(sets[y]) - both)
